@@ -99,11 +99,9 @@ def bucket_summary(buckets: DataFrame, cap=500_000) -> DataFrame:
 
 
 def column_classes(columns: DataFrame) -> DataFrame:
-    """Counts of solid, built and natural columns from their top block name."""
-    flags = columns.select(rules.man_made(F.col("name")).alias("b"),
-                           rules.natural(F.col("name")).alias("n"))
-    return flags.agg(n_rows("solid"), F.count_if("b").alias("built"),
-                     F.count_if("n").alias("natural")) \
+    """Counts of solid, built and natural columns from their top block."""
+    return columns.agg(n_rows("solid"), F.count_if("built").alias("built"),
+                       F.count_if("natural").alias("natural")) \
         .withColumn("built_pct", F.round(100.0 * F.col("built")
                                          / F.greatest(F.col("solid"), F.lit(1)), 6))
 
@@ -122,11 +120,14 @@ def cell_density(mask: DataFrame, bounds, cell=32) -> DataFrame:
 
 
 def density_diagnostics(density: DataFrame, threshold=0.10) -> DataFrame:
-    return density.agg(
-        n_rows("cells_nonzero"), F.round(F.max("fraction"), 6).alias("frac_max"),
-        F.round(F.percentile("fraction", F.lit(0.99)), 6).alias("frac_p99"),
-        F.round(F.percentile("fraction", F.lit(0.95)), 6).alias("frac_p95"),
-        F.count_if(F.col("fraction") >= threshold).alias("cells_over_threshold"))
+    # a cell holds few distinct counts, so the percentile reads counted values
+    counted = density.groupBy("fraction").agg(n_rows("k"))
+    return counted.agg(
+        F.sum("k").alias("cells_nonzero"), F.round(F.max("fraction"), 6).alias("frac_max"),
+        F.round(F.percentile("fraction", F.lit(0.99), F.col("k")), 6).alias("frac_p99"),
+        F.round(F.percentile("fraction", F.lit(0.95), F.col("k")), 6).alias("frac_p95"),
+        F.sum(F.when(F.col("fraction") >= threshold, F.col("k")).otherwise(0))
+        .alias("cells_over_threshold"))
 
 
 def landmark_group(name):
@@ -169,21 +170,32 @@ def landmark_blobs(named: DataFrame, blob=8, top=8, origin=(0, 0)) -> DataFrame:
     return top_per_group(blobs, ["grp"], [F.desc("n"), "bx", "bz"], top)
 
 
-def building_mass_center(named: DataFrame) -> DataFrame:
+def building_mass_center_exact(named: DataFrame) -> DataFrame:
     bare = rules.strip_ns(F.col("name"))
     return named.filter(bare.isin(V.LANDMARK_GROUPS["building"])).agg(
-        n_rows(), F.round(F.avg("x"), 6).alias("build_x"), F.round(F.avg("z"), 6).alias("build_z"))
+        n_rows(), F.avg("x").alias("build_x"), F.avg("z").alias("build_z"))
+
+
+def building_mass_center(named: DataFrame) -> DataFrame:
+    return building_mass_center_exact(named).select(
+        "n", F.round("build_x", 6).alias("build_x"), F.round("build_z", 6).alias("build_z"))
+
+
+def map_symbols(named: DataFrame) -> DataFrame:
+    """Map symbol of every block name; the rule runs once per name."""
+    symbol = rules.literal_map(V.FAMILY_SYMBOLS)[rules.material_family(F.col("name"))]
+    return named.select("name").distinct() \
+        .withColumn("symbol", F.coalesce(symbol, F.lit("#")))
 
 
 def cell_role_mode(named: DataFrame, step=12, origin=(0, 0)) -> DataFrame:
     """Commonest map symbol per cell; ground cover only where nothing else is.
     Of equal symbols the smallest wins."""
-    symbol = F.coalesce(rules.literal_map(V.FAMILY_SYMBOLS)[
-        rules.material_family(F.col("name"))], F.lit("#"))
-    counted = (named.withColumn("symbol", symbol)
-               .withColumn("i", floor_div(F.col("x") - origin[0], step))
-               .withColumn("j", floor_div(F.col("z") - origin[1], step))
-               .groupBy("i", "j", "symbol").agg(n_rows(), F.max("y").alias("y")))
+    per_name = (named.withColumn("i", floor_div(F.col("x") - origin[0], step))
+                .withColumn("j", floor_div(F.col("z") - origin[1], step))
+                .groupBy("i", "j", "name").agg(n_rows(), F.max("y").alias("y")))
+    counted = (per_name.join(map_symbols(named), "name")
+               .groupBy("i", "j", "symbol").agg(F.sum("n").alias("n"), F.max("y").alias("y")))
     rank = F.struct(F.col("symbol").isin("G", "#").cast("int"), -F.col("n"), F.col("symbol"))
     return counted.groupBy("i", "j").agg(F.min_by("symbol", rank).alias("symbol"),
                                          F.max("y").alias("top_y"))

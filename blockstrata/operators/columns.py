@@ -11,12 +11,12 @@ from ..functions import fixed_values as V
 from .census import n_rows
 from .voxels import filter_labels
 
-PAYLOAD = ["name", "label", "role", "family"]
+PAYLOAD = ["name", "label", "role", "family", "built", "natural"]
 
 
 def top_voxel_per_column(named: DataFrame, payload=PAYLOAD) -> DataFrame:
-    return named.groupBy("x", "z").agg(
-        F.max("y").alias("y"), *[F.max_by(c, "y").alias(c) for c in payload])
+    top = named.groupBy("x", "z").agg(F.max_by(F.struct("y", *payload), "y").alias("top"))
+    return top.select("x", "z", "top.*")
 
 
 def full_grid(bounds: DataFrame) -> DataFrame:

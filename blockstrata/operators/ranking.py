@@ -30,3 +30,19 @@ def top_per_group(df: DataFrame, group, order, n: int) -> DataFrame:
     """First n rows of each group; Spark prunes each partition before the shuffle."""
     w = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+
+
+def with_sorted_rank(df: DataFrame, value) -> DataFrame:
+    """Rows with ``rank0`` in value order and the row count ``total``."""
+    ranked = cut_lineage(global_row_number(df, [value], "rank0"))
+    return ranked.withColumn("total", ranked.select(F.count(F.lit(1))).scalar())
+
+
+def percentile_of(value, q):
+    """Linear percentile as an aggregate over with_sorted_rank rows. Only the
+    two rows around the position count, so no task holds the whole column."""
+    at = (F.col("total") - 1) * F.lit(float(q))
+    low = F.floor(at)
+    part = at - low
+    return F.sum(F.when(F.col("rank0") == low, F.col(value) * (1.0 - part)).otherwise(0.0)
+                 + F.when(F.col("rank0") == low + 1, F.col(value) * part).otherwise(0.0))

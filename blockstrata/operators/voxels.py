@@ -128,7 +128,9 @@ def classify_palette(palette: DataFrame) -> DataFrame:
     name = F.col("name")
     label = rules.waterlogged_override(rules.semantic_label(name), F.col("properties"))
     return (palette.withColumn("label", label).withColumn("role", rules.role(name))
-            .withColumn("family", rules.atlas_family(name)))
+            .withColumn("family", rules.atlas_family(name))
+            .withColumn("built", rules.man_made(name))
+            .withColumn("natural", rules.natural(name)))
 
 
 def lookup_palette(voxels: DataFrame, palette: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 """Named queries; importing this package registers all of them."""
 
 from . import tables  # noqa: F401
+from . import spatial  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

@@ -256,8 +256,9 @@ BUILT = ("density", f"""SELECT CAST(floor((x - x0) / 8) AS INT) AS cell_x, CAST(
 
 
 def built_density(w, cell=8):
+    """Share of built columns in each cell of the map."""
     top = top_voxel_per_column(w.solid())
-    return C.cell_density(top.filter(rules.man_made(F.col("name"))), C.world_bounds(top), cell)
+    return C.cell_density(top.filter("built"), C.world_bounds(top), cell)
 
 
 @query("cell_density", "SELECT * FROM density", ["solid"], [TOP, BUILT])

@@ -19,7 +19,7 @@ def connect(sf_dir):
 
 def plain(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else repr(v + 0.0)
+        return "nan" if math.isnan(v) else repr(v)
     if hasattr(v, "asDict"):
         return repr({k: plain(x) for k, x in v.asDict().items()})
     if isinstance(v, dict):

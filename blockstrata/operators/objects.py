@@ -314,7 +314,7 @@ def seating_stats(seats: DataFrame) -> DataFrame:
 def spawn_candidates(solid: DataFrame, grid: DataFrame, center: DataFrame) -> DataFrame:
     """Every inner grid cell with the outcome of each test, first to last."""
     from .neighbors import box_max
-    bit = F.shiftleft(F.lit(1).cast("bigint"), F.least(F.col("y"), F.lit(62)))
+    bit = F.expr("shiftleft(1L, least(y, 62))")
     cols = solid.groupBy("x", "z").agg(
         F.max("y").alias("top"), F.bit_or(bit).alias("levels"),
         F.max(F.col("name").endswith("_wool").cast("int")).alias("wool"))

@@ -428,8 +428,9 @@ def _(w):
 def _(w):
     made = O.model_recipe(composition(w)).withColumn("cell_x", F.floor(F.col("sum_x") / F.col("voxels") / 64).cast("int")) \
         .withColumn("cell_z", F.floor(F.col("sum_z") / F.col("voxels") / 64).cast("int"))
-    return made.groupingSets([[made["class"]], [made["primitive"], made["class"]], [made["class"], made["cell_x"], made["cell_z"]]],
-                             made["class"], made["primitive"], made["cell_x"], made["cell_z"]).agg(C.n_rows())
+    return made.select("class", "primitive", "cell_x", "cell_z").groupingSets(
+        [["class"], ["primitive", "class"], ["class", "cell_x", "cell_z"]],
+        "class", "primitive", "cell_x", "cell_z").agg(C.n_rows())
 
 
 # --- buildings ---------------------------------------------------------------

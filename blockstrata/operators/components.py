@@ -1,9 +1,9 @@
 """Connected components of cells on an integer lattice.
 
-Cells are first joined inside blocks of 32 cells per axis, each block in one
-task with a bounded number of cells. Only links across block borders remain;
-they form a much smaller graph that is contracted by alternating large and
-small stars until nothing changes.
+Cells are first joined inside blocks of 64 x 64 columns, each block in one
+task with a bounded number of cells. Only links across block borders remain.
+They form a much smaller graph: one task settles it while it is under a
+checked size, and alternating large and small stars contract it beyond that.
 """
 
 import numpy as np
@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .voxels import floor_div
 
-BLOCK = 32
+BLOCK = 64
+# border links that one task may hold (two numbers each)
+SMALL_GRAPH = 1_000_000
 FACES_2D = [(1, 0, 0), (0, 0, 1)]
 FACES_3D = [(1, 0, 0), (0, 1, 0), (0, 0, 1)]
 HALF_26 = [(dx, dy, dz) for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1)
@@ -28,30 +30,42 @@ def cell_key(x, y, z):
     return ((big[0] + SHIFT) * (1 << 35) + (big[2] + SHIFT) * (1 << 9) + big[1])
 
 
+def _smallest_label(n, a, b):
+    """Smallest index reachable from each of n nodes over the pairs (a, b)."""
+    label = np.arange(n)
+    while True:
+        la, lb = label[a], label[b]
+        if np.array_equal(la, lb):
+            return label
+        low = np.minimum(la, lb)
+        np.minimum.at(label, la, low)
+        np.minimum.at(label, lb, low)
+        while not np.array_equal(label, label[label]):
+            label = label[label]
+
+
 def _join_inside_block(offsets):
     def run(cells: pd.DataFrame) -> pd.DataFrame:
         cells = cells.sort_values("key", ignore_index=True)
-        at = cells[["x", "y", "z"]].to_numpy() % BLOCK
-        volume = np.full((BLOCK + 2,) * 3, -1)
-        volume[tuple((at + 1).T)] = np.arange(len(cells))
-        label = np.arange(len(cells))
-        ends = [(label, volume[tuple((at + 1 + o).T)]) for o in np.array(offsets)]
-        a = np.concatenate([u[v >= 0] for u, v in ends])
-        b = np.concatenate([v[v >= 0] for u, v in ends])
-        while True:
-            la, lb = label[a], label[b]
-            if np.array_equal(la, lb):
-                break
-            low = np.minimum(la, lb)
-            np.minimum.at(label, la, low)
-            np.minimum.at(label, lb, low)
-            while not np.array_equal(label, label[label]):
-                label = label[label]
-        cells["root"] = cells["key"].to_numpy()[label]
+        at = cells[["x", "y", "z"]].to_numpy()
+        at = at - at.min(axis=0) + 1
+        volume = np.full(at.max(axis=0) + 2, -1)
+        volume[tuple(at.T)] = np.arange(len(cells))
+        near = [volume[tuple((at + o).T)] for o in np.array(offsets)]
+        a = np.concatenate([np.flatnonzero(v >= 0) for v in near])
+        b = np.concatenate([v[v >= 0] for v in near])
+        cells["root"] = cells["key"].to_numpy()[_smallest_label(len(cells), a, b)]
         return cells[["x", "y", "z", "key", "root"]]
     return run
 
 
+def _join_links(links: pd.DataFrame) -> pd.DataFrame:
+    nodes, pos = np.unique(links[["u", "v"]].to_numpy(), return_inverse=True)
+    pos = pos.reshape(-1, 2)
+    label = _smallest_label(len(nodes), pos[:, 0], pos[:, 1])
+    return pd.DataFrame({"node": nodes, "comp": nodes[label]})
+
+
 def salted_join(big: DataFrame, small: DataFrame, key: str, spread: str, salts=16) -> DataFrame:
     """Join in which rows of a hot key on the big side go to several tasks.
     The small side has one row per key and is repeated once per salt."""
@@ -77,7 +91,7 @@ def contract_stars(edges: DataFrame) -> DataFrame:
         low = near.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = salted_join(near.filter("v > u"), low, "u", "v") \
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = cut_lineage(large.filter("u <> v").distinct())
+        large = large.filter("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = salted_join(large, low, "u", "v")
         edges = cut_lineage(small.select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -90,10 +104,17 @@ def contract_stars(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
 
 
-def connected_components(cells: DataFrame, offsets=FACES_3D) -> DataFrame:
+def contract(links: DataFrame, small_graph=SMALL_GRAPH) -> DataFrame:
+    links = cut_lineage(links)
+    if links.count() <= small_graph:
+        return links.withColumn("g", F.lit(0)).groupBy("g").applyInPandas(_join_links, "node bigint, comp bigint")
+    return contract_stars(links)
+
+
+def connected_components(cells: DataFrame, offsets=FACES_3D, small_graph=SMALL_GRAPH) -> DataFrame:
     """Add ``component``, the smallest cell key in the component, to x, y, z."""
     keyed = cells.select("x", "y", "z").distinct().withColumn("key", cell_key("x", "y", "z"))
-    blocks = [floor_div(F.col(c), BLOCK).alias("b" + c) for c in "xyz"]
+    blocks = [floor_div(F.col(c), BLOCK).alias("b" + c) for c in "xz"]
     local = cut_lineage(keyed.groupBy(*blocks).applyInPandas(
         _join_inside_block(offsets), "x int, y int, z int, key bigint, root bigint"))
     steps = F.explode(F.array(*[F.struct(*[F.lit(v).alias("d" + c) for v, c in zip(o, "xyz")])
@@ -101,13 +122,13 @@ def connected_components(cells: DataFrame, offsets=FACES_3D) -> DataFrame:
     moved = local.select("root", "x", "y", "z", steps) \
         .select(F.col("root").alias("u"), *[c for a in "xyz" for c in (F.col(a), (F.col(a) + F.col("o.d" + a)).alias("n" + a))])
     crosses = None
-    for c in "xyz":
+    for c in "xz":
         leaves = floor_div(F.col(c), BLOCK) != floor_div(F.col("n" + c), BLOCK)
         crosses = leaves if crosses is None else crosses | leaves
     border = moved.filter(crosses).select("u", cell_key(F.col("nx").cast("bigint"), F.col("ny").cast("bigint"),
                                                        F.col("nz").cast("bigint")).alias("key"))
     links = border.join(local.select("key", F.col("root").alias("v")), "key").select("u", "v").distinct()
-    roots = contract_stars(links)
+    roots = contract(links, small_graph)
     # a root covers at most one block of cells, so no key is hot here
     return (local.join(roots, local["root"] == roots["node"], "left")
             .select("x", "y", "z", F.coalesce("comp", "root").alias("component")))

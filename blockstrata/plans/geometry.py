@@ -154,18 +154,18 @@ def _(w):
 TRIS = [("sq", f"""SELECT x, z, h00, h10, lead(h00) OVER ({P.COL}) AS h01, lead(h10) OVER ({P.COL}) AS h11, x1, lead(z) OVER ({P.COL}) AS z1 FROM (
     SELECT x, z, height * 100.0::DOUBLE AS h00, lead(height * 100.0::DOUBLE) OVER ({P.ROW}) AS h10, lead(x) OVER ({P.ROW}) AS x1 FROM hm)"""),
         ("flips", "SELECT *, abs(h01 - h10) < abs(h00 - h11) AS flip FROM sq WHERE x1 IS NOT NULL AND z1 IS NOT NULL"),
-        ("tris", """SELECT x, z, t, x * 100.0::DOUBLE + CASE WHEN NOT flip AND t = 1 THEN 0 ELSE 0 END AS ax,
-    CASE WHEN NOT flip AND t = 1 THEN h01 ELSE h00 END AS ay, (CASE WHEN NOT flip AND t = 1 THEN z1 ELSE z END) * 100.0::DOUBLE AS az,
-    (CASE WHEN t = 0 THEN x ELSE x1 END) * 100.0::DOUBLE AS bx, CASE WHEN t = 0 THEN h01 ELSE h11 END AS by, z1 * 100.0::DOUBLE AS bz,
-    x1 * 100.0::DOUBLE AS cx, CASE WHEN flip AND t = 0 THEN h11 ELSE h10 END AS cy, (CASE WHEN flip AND t = 0 THEN z1 ELSE z END) * 100.0::DOUBLE AS cz
+        ("tris", """SELECT x, z, t, x * 100.0::DOUBLE + CASE WHEN NOT flip AND t = 1 THEN 0 ELSE 0 END AS a_x,
+    CASE WHEN NOT flip AND t = 1 THEN h01 ELSE h00 END AS a_y, (CASE WHEN NOT flip AND t = 1 THEN z1 ELSE z END) * 100.0::DOUBLE AS a_z,
+    (CASE WHEN t = 0 THEN x ELSE x1 END) * 100.0::DOUBLE AS b_x, CASE WHEN t = 0 THEN h01 ELSE h11 END AS b_y, z1 * 100.0::DOUBLE AS b_z,
+    x1 * 100.0::DOUBLE AS c_x, CASE WHEN flip AND t = 0 THEN h11 ELSE h10 END AS c_y, (CASE WHEN flip AND t = 0 THEN z1 ELSE z END) * 100.0::DOUBLE AS c_z
    FROM flips, (SELECT unnest([0, 1]) AS t)"""),
-        ("normals", """SELECT *, (by - ay) * (cz - az) - (bz - az) * (cy - ay) AS nx, (bz - az) * (cx - ax) - (bx - ax) * (cz - az) AS ny,
-    (bx - ax) * (cy - ay) - (by - ay) * (cx - ax) AS nz FROM tris""")]
+        ("normals", """SELECT *, (b_y - a_y) * (c_z - a_z) - (b_z - a_z) * (c_y - a_y) AS nx, (b_z - a_z) * (c_x - a_x) - (b_x - a_x) * (c_z - a_z) AS ny,
+    (b_x - a_x) * (c_y - a_y) - (b_y - a_y) * (c_x - a_x) AS nz FROM tris""")]
 TRI_VIEWS = HMV + TRIS
 
 
 def flat_points(df):
-    return df.select("x", "z", "t", *[F.col(f"{p}.{c}").alias(p + c) for p in "abc" for c in "xyz"])
+    return df.select("x", "z", "t", *[F.col(f"{p}.{c}").alias(f"{p}_{c}") for p in "abc" for c in "xyz"])
 
 
 @query("heightfield_mesh", "SELECT * FROM tris", GRID, TRI_VIEWS)
@@ -174,23 +174,23 @@ def _(w):
 
 
 @query("mesh_stats", """SELECT count(*) AS triangles, count(*) FILTER (len * 0.5 <= 1e-9) AS degenerate, count(*) FILTER (ny / len < -1e-6) AS down_facing,
-   count(*) FILTER (ny / len > 1e-6) AS up_facing, round(sum(len * 0.5::DOUBLE), 2) AS area_cm2, min(least(ay, by, cy)) AS y_min_cm,
-   max(greatest(ay, by, cy)) AS y_max_cm, CAST(0 AS BIGINT) AS nan FROM (SELECT *, sqrt(nx * nx + ny * ny + nz * nz) AS len FROM normals)""",
+   count(*) FILTER (ny / len > 1e-6) AS up_facing, round(sum(len * 0.5::DOUBLE), 2) AS area_cm2, min(least(a_y, b_y, c_y)) AS y_min_cm,
+   max(greatest(a_y, b_y, c_y)) AS y_max_cm, CAST(0 AS BIGINT) AS nan FROM (SELECT *, sqrt(nx * nx + ny * ny + nz * nz) AS len FROM normals)""",
        GRID, TRI_VIEWS)
 def _(w):
     return M.mesh_stats(M.heightfield_mesh(filled(w)))
 
 
-@query("repair_mesh", """SELECT x, z, t, ax, ay, az, CASE WHEN ny < 0 THEN cx ELSE bx END AS bx, CASE WHEN ny < 0 THEN cy ELSE by END AS by,
-  CASE WHEN ny < 0 THEN cz ELSE bz END AS bz, CASE WHEN ny < 0 THEN bx ELSE cx END AS cx, CASE WHEN ny < 0 THEN by ELSE cy END AS cy,
-  CASE WHEN ny < 0 THEN bz ELSE cz END AS cz FROM normals WHERE sqrt(nx * nx + ny * ny + nz * nz) > 1e-9""", GRID, TRI_VIEWS)
+@query("repair_mesh", """SELECT x, z, t, a_x, a_y, a_z, CASE WHEN ny < 0 THEN c_x ELSE b_x END AS b_x, CASE WHEN ny < 0 THEN c_y ELSE b_y END AS b_y,
+  CASE WHEN ny < 0 THEN c_z ELSE b_z END AS b_z, CASE WHEN ny < 0 THEN b_x ELSE c_x END AS c_x, CASE WHEN ny < 0 THEN b_y ELSE c_y END AS c_y,
+  CASE WHEN ny < 0 THEN b_z ELSE c_z END AS c_z FROM normals WHERE sqrt(nx * nx + ny * ny + nz * nz) > 1e-9""", GRID, TRI_VIEWS)
 def _(w):
     return flat_points(M.repair_mesh(M.heightfield_mesh(filled(w))))
 
 
 VERTS = ("verts", """SELECT x, y, z, sum(nx) AS nx, sum(ny) AS ny, sum(nz) AS nz FROM (
-   SELECT ax AS x, ay AS y, az AS z, nx, ny, nz FROM normals UNION ALL SELECT bx, by, bz, nx, ny, nz FROM normals
-   UNION ALL SELECT cx, cy, cz, nx, ny, nz FROM normals) GROUP BY 1, 2, 3""")
+   SELECT a_x AS x, a_y AS y, a_z AS z, nx, ny, nz FROM normals UNION ALL SELECT b_x, b_y, b_z, nx, ny, nz FROM normals
+   UNION ALL SELECT c_x, c_y, c_z, nx, ny, nz FROM normals) GROUP BY 1, 2, 3""")
 
 
 @query("vertex_normals", """SELECT x, y, z, round(nx / sqrt(nx * nx + ny * ny + nz * nz), 6) + 0.0::DOUBLE AS nx,
@@ -447,14 +447,15 @@ def _(w):
     return T.upsample_grid(filled(w), C.world_bounds(w.solid()), 2).select("u", "v", *r6("h"))
 
 
-STRETCH = ("stretch", "SELECT x, z, least(greatest((smooth - lo) / (hi - lo), 0), 1) * 5 AS at FROM flatted, "
+STRETCH = ("stretch", "SELECT x, z, least(greatest((smooth - lo) / (hi - lo), 0), 1) * 5 AS pos FROM flatted, "
            "(SELECT quantile_cont(smooth, 0.01) AS lo, quantile_cont(smooth, 0.995) AS hi FROM flatted)")
 
 
 def ramp_sql(ch):
     stops = "[" + ", ".join(f"{s[ch]}::DOUBLE" for s in T.RAMP) + "]"
-    i = "CAST(least(floor(at), 4) AS INT)"
-    return f"CAST(floor(round(({stops}[{i} + 1] + ({stops}[{i} + 2] - {stops}[{i} + 1]) * (at - {i})) * 255, 9)) AS INT)"
+    i = "CAST(least(floor(pos), 4) AS INT)"
+    lo, hi = f"list_extract({stops}, {i} + 1)", f"list_extract({stops}, {i} + 2)"
+    return f"CAST(floor(round(({lo} + ({hi} - {lo}) * (pos - {i})) * 255, 9)) AS INT)"
 
 
 @query("hypsometric_colour", f"SELECT x, z, {ramp_sql(0)} AS r, {ramp_sql(1)} AS g, {ramp_sql(2)} AS b FROM stretch", GRID, FLAT + [STRETCH])

@@ -427,3 +427,122 @@ RECIPES = {
 }
 ASSET_EXTENSIONS = [".glb", ".gltf", ".fbx", ".obj"]
 SECTION_SIZES = [7, 15, 31, 63, 127]
+
+# --- placeholder colours ---------------------------------------------------
+# name red green blue, 0..1
+WORD_COLOURS = {r.split()[0]: tuple(float(v) for v in r.split()[1:]) for r in """
+white 0.89 0.89 0.89
+orange 0.95 0.55 0.16
+magenta 0.86 0.35 0.79
+light_blue 0.42 0.66 0.93
+yellow 0.96 0.79 0.25
+lime 0.55 0.82 0.24
+pink 0.93 0.60 0.73
+gray 0.42 0.42 0.42
+light_gray 0.63 0.63 0.64
+cyan 0.28 0.77 0.78
+purple 0.51 0.32 0.71
+blue 0.24 0.40 0.75
+brown 0.53 0.35 0.22
+green 0.36 0.62 0.22
+red 0.70 0.24 0.22
+black 0.16 0.16 0.17
+""".strip().splitlines()}
+DARKENED_TOKENS, DARKEN = ["terracotta", "concrete"], 0.94
+NO_COLOUR = (0.55, 0.55, 0.58)
+PLACEHOLDER_COLOURS = {r.split()[0]: tuple(float(v) for v in r.split()[1:]) for r in """
+stone 0.51 0.51 0.53
+granite 0.64 0.40 0.33
+diorite 0.86 0.86 0.87
+andesite 0.55 0.55 0.56
+grass_block 0.42 0.66 0.28
+dirt 0.53 0.38 0.25
+coarse_dirt 0.51 0.37 0.25
+podzol 0.42 0.31 0.18
+cobblestone 0.48 0.48 0.49
+bedrock 0.42 0.42 0.44
+sand 0.91 0.86 0.65
+red_sand 0.85 0.44 0.24
+gravel 0.55 0.53 0.53
+clay 0.62 0.66 0.70
+netherrack 0.55 0.22 0.22
+nether_bricks 0.24 0.13 0.14
+end_stone 0.85 0.84 0.60
+end_stone_bricks 0.83 0.82 0.58
+obsidian 0.11 0.09 0.20
+crying_obsidian 0.28 0.13 0.42
+water 0.25 0.42 0.75
+lava 0.85 0.35 0.05
+ice 0.55 0.72 0.85
+packed_ice 0.53 0.70 0.83
+blue_ice 0.40 0.60 0.80
+frosted_ice 0.65 0.80 0.90
+snow_block 0.92 0.95 0.98
+soul_sand 0.44 0.35 0.31
+soul_soil 0.36 0.28 0.24
+magma_block 0.42 0.20 0.11
+glowstone 0.98 0.83 0.55
+sea_lantern 0.85 0.92 0.88
+shroomlight 0.96 0.65 0.30
+redstone_lamp 0.75 0.24 0.12
+netherite_block 0.32 0.28 0.27
+quartz_block 0.92 0.90 0.87
+smooth_sandstone 0.90 0.85 0.65
+sandstone 0.87 0.80 0.58
+prismarine 0.60 0.79 0.75
+terracotta 0.66 0.40 0.31
+brick 0.60 0.34 0.28
+bookshelf 0.60 0.44 0.28
+iron_block 0.78 0.78 0.80
+gold_block 0.98 0.82 0.30
+diamond_block 0.09 0.80 0.79
+emerald_block 0.24 0.79 0.44
+lapis_block 0.16 0.31 0.62
+coal_block 0.10 0.10 0.10
+obsidian_peak 0.11 0.09 0.20
+basalt 0.35 0.33 0.34
+blackstone 0.16 0.14 0.16
+polished_blackstone 0.20 0.18 0.20
+deepslate 0.24 0.24 0.26
+tuff 0.44 0.42 0.39
+calcite 0.90 0.89 0.85
+dripstone_block 0.72 0.66 0.58
+moss_block 0.30 0.42 0.22
+sculk 0.12 0.20 0.22
+mud 0.35 0.27 0.22
+packed_mud 0.48 0.38 0.30
+honey_block 0.90 0.66 0.20
+slime_block 0.42 0.72 0.42
+glass 0.80 0.88 0.88
+white_stained_glass 0.90 0.93 0.93
+oak_log 0.55 0.43 0.24
+birch_log 0.83 0.79 0.68
+spruce_log 0.35 0.25 0.14
+jungle_log 0.53 0.40 0.24
+acacia_log 0.55 0.35 0.24
+dark_oak_log 0.35 0.25 0.14
+oak_planks 0.68 0.56 0.36
+oak_leaves 0.32 0.58 0.24
+oak_sapling 0.36 0.62 0.26
+coal_ore 0.42 0.42 0.42
+iron_ore 0.72 0.65 0.58
+gold_ore 0.78 0.68 0.42
+diamond_ore 0.53 0.60 0.61
+emerald_ore 0.44 0.57 0.48
+lapis_ore 0.30 0.40 0.58
+redstone_ore 0.55 0.22 0.20
+gravel_placeholder 0.55 0.53 0.53
+""".strip().splitlines()}
+
+# --- graphics adapters: part of the name, in order ---------------------------
+ADAPTER_HIGH = """
+rtx 40;rtx 50;rtx 3090;rtx 3080;rtx 4070;rtx 4080;rtx 4090;rx 7900;rx 7800;rx 6800;arc a7
+""".strip().split(";")
+ADAPTER_MID = """
+rtx 30;rtx 20;gtx 16;gtx 10;rx 6000;rx 5000;arc a5;arc a3;quadro rtx
+""".strip().split(";")
+ADAPTER_SHARED = """
+iris xe;iris(r) xe;iris(tm) xe;iris plus;iris(tm) plus;uhd graphics 620;uhd graphics 630;uhd graphics 605;uhd graphics;hd graphics 520;hd graphics 550;hd graphics;vega 3;vega 6;vega 8;vega 11;vega graphics;radeon(tm) graphics;radeon graphics;apple m1;apple m2;microsoft basic;llvmpipe;swiftshader;basic render driver
+""".strip().split(";")
+ADAPTER_MAKERS = ["nvidia", "geforce", "quadro", "radeon rx"]
+TIER_INDEX = (30.0, 120.0, 400.0)

@@ -3,4 +3,5 @@
 from . import tables  # noqa: F401
 from . import spatial  # noqa: F401
 from . import geometry  # noqa: F401
+from . import looks  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

@@ -5,4 +5,5 @@ from . import spatial  # noqa: F401
 from . import geometry  # noqa: F401
 from . import looks  # noqa: F401
 from . import checks  # noqa: F401
+from . import io  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

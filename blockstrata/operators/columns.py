@@ -20,9 +20,17 @@ def top_voxel_per_column(named: DataFrame, payload=PAYLOAD) -> DataFrame:
 
 
 def full_grid(bounds: DataFrame) -> DataFrame:
-    """Every (x, z) inside a one-row extent."""
-    return (bounds.select(F.explode(F.sequence("min_x", "max_x")).alias("x"), "min_z", "max_z")
-            .select("x", F.explode(F.sequence("min_z", "max_z")).alias("z")))
+    """Every (x, z) inside a one-row extent. The x values are spread over all
+    tasks before each grows its line of cells."""
+    lines = bounds.select(F.explode(F.sequence("min_x", "max_x")).alias("x"), "min_z", "max_z")
+    return spread(lines, "x").select("x", F.explode(F.sequence("min_z", "max_z")).alias("z"))
+
+
+def spread(df: DataFrame, *keys) -> DataFrame:
+    """Repartition a short table that is about to grow; the explicit number
+    keeps adaptive execution from merging the small partitions again."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
 
 
 def on_full_grid(columns: DataFrame, bounds: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from . import components as K
 from .census import n_rows
 from .nearest import nearest_points
 from .neighbors import neighborhood_range
-from .ranking import percentile_of, with_sorted_rank
+from .ranking import percentile_of, sorted_counts, weighted_mean
 from .voxels import filter_labels
 
 
@@ -176,7 +176,10 @@ def asset_tokens(files: DataFrame) -> DataFrame:
 
 
 def asset_token_match(objects: DataFrame, files: DataFrame) -> DataFrame:
-    return objects.join(asset_tokens(files), objects["class"] == F.col("token"), "left").drop("token")
+    classes = objects.select(F.col("class").alias("token")).distinct()
+    # at most one row per class is left, however many files there are
+    known = asset_tokens(files).join(classes, "token", "left_semi")
+    return objects.join(known, objects["class"] == known["token"], "left").drop("token")
 
 
 # --- buildings and trees ----------------------------------------------------
@@ -304,8 +307,8 @@ def partition_accounting(members: DataFrame, solid: DataFrame, min_blocks=40) ->
 
 def seating_stats(seats: DataFrame) -> DataFrame:
     d = seats.select(F.abs("drop").cast("double").alias("d"))
-    return with_sorted_rank(d, "d").agg(
-        n_rows("objects"), F.round(F.avg("d"), 6).alias("mean_abs"),
+    return sorted_counts(d, "d").agg(
+        F.sum("k").alias("objects"), F.round(weighted_mean("d"), 6).alias("mean_abs"),
         F.round(percentile_of("d", 0.95), 6).alias("p95_abs"), F.round(F.max("d"), 6).alias("max_abs"))
 
 

@@ -32,17 +32,37 @@ def top_per_group(df: DataFrame, group, order, n: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
-def with_sorted_rank(df: DataFrame, value) -> DataFrame:
-    """Rows with ``rank0`` in value order and the row count ``total``."""
-    ranked = cut_lineage(global_row_number(df, [value], "rank0"))
-    return ranked.withColumn("total", ranked.select(F.count(F.lit(1))).scalar())
+def sorted_counts(df: DataFrame, value) -> DataFrame:
+    """Distinct values with their count ``k``, the place ``start`` of their
+    first row in value order, and the row count ``total``. Equal values are
+    counted before the shuffle, so a common value makes no hot partition."""
+    counted = df.groupBy(value).agg(F.count(F.lit(1)).alias("k"))
+    ranged = cut_lineage(counted.repartitionByRange(value).withColumn("_part", F.spark_partition_id()))
+    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (ranged.groupBy("_part").agg(F.sum("k").alias("_n"))
+             .select("_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_first"),
+                     F.sum("_n").over(Window.partitionBy()).alias("total")))
+    inside = Window.partitionBy("_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition: the size of this side is the partition count
+    return (ranged.withColumn("_before", F.coalesce(F.sum("k").over(inside), F.lit(0)))
+            .join(F.broadcast(parts), "_part")
+            .select(value, "k", (F.col("_first") + F.col("_before")).alias("start"), "total"))
 
 
 def percentile_of(value, q):
-    """Linear percentile as an aggregate over with_sorted_rank rows. Only the
-    two rows around the position count, so no task holds the whole column."""
+    """Linear percentile as an aggregate over sorted_counts rows. Only the rows
+    around the position add to it, so no task holds the whole column."""
     at = (F.col("total") - 1) * F.lit(float(q))
     low = F.floor(at)
     part = at - low
-    return F.sum(F.when(F.col("rank0") == low, F.col(value) * (1.0 - part)).otherwise(0.0)
-                 + F.when(F.col("rank0") == low + 1, F.col(value) * part).otherwise(0.0))
+
+    def holds(place):
+        return (F.col("start") <= place) & (place < F.col("start") + F.col("k"))
+
+    return F.sum(F.when(holds(low), F.col(value) * (1.0 - part)).otherwise(0.0)
+                 + F.when(holds(low + 1), F.col(value) * part).otherwise(0.0))
+
+
+def weighted_mean(value):
+    """Mean over sorted_counts rows."""
+    return F.sum(F.col(value) * F.col("k")) / F.sum("k")

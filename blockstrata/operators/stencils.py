@@ -9,7 +9,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import percentile_of, with_sorted_rank
+from .ranking import percentile_of, sorted_counts, weighted_mean
 
 
 def row():
@@ -115,7 +115,8 @@ def height_gradient_normals(grid: DataFrame, value="height", step_cm=100.0) -> D
 
 def smoothing_error(grid: DataFrame, before="height", after="smooth") -> DataFrame:
     d = F.abs(F.col(after) - F.col(before)).cast("double")
-    return with_sorted_rank(grid.select(d.alias("d")), "d").agg(
-        F.round(F.avg("d"), 6).alias("mean_abs"), F.round(percentile_of("d", 0.95), 6).alias("p95_abs"),
-        F.round(F.max("d"), 6).alias("max_abs"), F.count_if(F.col("d") > 1.0).alias("moved"),
-        F.round(100.0 * F.avg((F.col("d") > 1.0).cast("double")), 6).alias("moved_pct"))
+    far = F.sum(F.when(F.col("d") > 1.0, F.col("k")).otherwise(0))
+    return sorted_counts(grid.select(d.alias("d")), "d").agg(
+        F.round(weighted_mean("d"), 6).alias("mean_abs"), F.round(percentile_of("d", 0.95), 6).alias("p95_abs"),
+        F.round(F.max("d"), 6).alias("max_abs"), far.alias("moved"),
+        F.round(100.0 * far / F.sum("k"), 6).alias("moved_pct"))

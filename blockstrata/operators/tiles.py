@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from .census import n_rows
+from .columns import spread
 from .stencils import column, row
 
 # fixed values of the planner
@@ -159,8 +160,8 @@ def resample_to_grid(tiles: DataFrame, grid: DataFrame, value="height") -> DataF
         F.lit("vertex grid smaller than the field"))).otherwise(F.col("size_x"))) \
         .withColumn("size_y", F.when(F.col("size_y") < F.col("depth"), F.raise_error(
             F.lit("vertex grid smaller than the field"))).otherwise(F.col("size_y")))
-    samples = (checked.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("size_y") - 1)))
-               .withColumn("col", F.explode(F.sequence(F.lit(0), F.col("size_x") - 1))))
+    rows = checked.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("size_y") - 1)))
+    samples = (spread(rows, "tile", "row").withColumn("col", F.explode(F.sequence(F.lit(0), F.col("size_x") - 1))))
 
     def source(i, n, size):
         at = F.rint(F.col(i) * (F.col(n).cast("double") / F.col(size))).cast("int")

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..fixture_bytes import scratch
 from ..functions import fixed_values as V
 from ..functions import rules
 from ..operators import assets as A
@@ -167,6 +168,34 @@ def _(w):
     return T.scan_kv_log(w.kv_log()).select("source_id", "line_no", F.col("spec")["vox"].alias("vox"), F.col("spec")["struct"].alias("struct"))
 
 
+STREAM_SQL = WINDOWS[1].replace("k <= 64", "k <= 64 AND epoch(start) + 86400 < (SELECT epoch(max(ts)) - 10 FROM events)")
+
+
+def run_stream(w, df, name):
+    """Run a stream over what is there, into files, and read them back."""
+    out, marks = scratch(w.spark, name), scratch(w.spark, name + "-marks")
+    q = df.writeStream.format("parquet").option("checkpointLocation", marks).trigger(availableNow=True).start(out)
+    q.awaitTermination()
+    return w.spark.read.schema(df.schema).parquet(out)
+
+
+@query("stream_frame_time_windows", """SELECT event_type AS key, CAST(epoch(start) AS BIGINT) AS start, CAST(len(s) AS INT) AS n, s[1] AS min_ms, s[len(s) // 2 + 1] AS p50_ms,
+   s[CAST(floor(len(s) * 0.95) AS INT) + 1] AS p95_ms, s[len(s)] AS max_ms FROM stats""", [], [("stats", STREAM_SQL)])
+def _(w):
+    stream = w.spark.readStream.schema(w.table("events").schema).option("pathGlobFilter", "events.parquet").parquet(w.sf_dir) \
+        .select("event_type", "ts", F.col("value").alias("ms"))
+    out = run_stream(w, T.stream_frame_time_windows(stream, "event_type", 86400, ring=64), "frames")
+    return out.select("key", F.unix_timestamp("start").alias("start"), "n", "min_ms", "p50_ms", "p95_ms", "max_ms")
+
+
+@query("log_tail", "SELECT CAST(line_no % 2 AS INT) AS vox, CAST(source_id % 2 AS INT) AS struct, count(*) AS n FROM kv_log GROUP BY 1, 2", ["kv_log"])
+def _(w):
+    folder = scratch(w.spark, "log")
+    w.kv_log().select(F.col("line").alias("value")).write.text(folder)
+    back = run_stream(w, T.log_tail(w.spark, folder), "tail")
+    return back.groupBy(F.col("spec")["vox"].alias("vox"), F.col("spec")["struct"].alias("struct")).agg(C.n_rows())
+
+
 # --- quality -----------------------------------------------------------------
 
 @query("reconcile_counts", """SELECT name, n - (n + CASE WHEN length(name) % 3 = 0 THEN 1 ELSE 0 END) AS diff_n, 0 AS diff_min_y,

@@ -9,7 +9,7 @@ from ..operators import mesh as M
 from ..operators import objects as O
 from ..operators import stencils as S
 from ..operators import tiles as T
-from ..operators.ranking import percentile_of, with_sorted_rank
+from ..operators.ranking import percentile_of, sorted_counts
 from ..session import cut_lineage
 from . import rule_sql as R
 from . import sql_parts as P
@@ -461,7 +461,7 @@ def ramp_sql(ch):
 @query("hypsometric_colour", f"SELECT x, z, {ramp_sql(0)} AS r, {ramp_sql(1)} AS g, {ramp_sql(2)} AS b FROM stretch", GRID, FLAT + [STRETCH])
 def _(w):
     h = cut_lineage(S.flat_restore_smooth(filled(w)).select("x", "z", "smooth"))
-    ends = with_sorted_rank(h.select("smooth"), "smooth").agg(
+    ends = sorted_counts(h.select("smooth"), "smooth").agg(
         percentile_of("smooth", 0.01).alias("lo"), percentile_of("smooth", 0.995).alias("hi"))
     lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
     t = h.withColumn("t", (F.col("smooth") - lo) / (hi - lo))

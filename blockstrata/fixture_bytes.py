@@ -3,25 +3,20 @@
 import gzip
 import os
 import struct
+import uuid
 import zlib
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from .session import shared_folder
 from .sources.voxel_files import CHUNK, HEADER
 
 
 def scratch(spark, name):
-    """New folder for files of this session, next to its checkpoints."""
-    import tempfile
-    import uuid
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a shared folder")
-        base = tempfile.mkdtemp(prefix="blockstrata-files-")
-    return f"{base.removeprefix('file:')}/{name}-{uuid.uuid4().hex}"
+    """Path of a new folder for files of this session, in the shared folder."""
+    return f"{shared_folder(spark).removeprefix('file:')}/{name}-{uuid.uuid4().hex}"
 
 
 def nbt_bytes(value, name=""):

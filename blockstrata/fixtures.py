@@ -131,6 +131,11 @@ class World:
         from .operators.voxels import solid_voxels
         return solid_voxels(self.voxels(), self.palette())
 
+    def stored_solid(self):
+        """The same as a stored table, for plans that read it several times."""
+        from .session import cut_lineage
+        return cut_lineage(self.solid())
+
     def dim_solid(self):
         """The same, spread over three dimensions chunk by chunk."""
         from pyspark.sql import functions as F

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions import rules
 from .ranking import top_per_group
-from .voxels import floor_div, with_chunk
+from .voxels import corners, floor_div, with_chunk
 
 
 def n_rows(name="n"):
@@ -109,8 +109,7 @@ def column_classes(columns: DataFrame) -> DataFrame:
 def cell_density(mask: DataFrame, bounds, cell=32) -> DataFrame:
     """True cells per full cell x cell square; remainders at the far edge are
     left out. ``bounds`` is the one-row extent of the whole grid."""
-    x0, z0 = bounds.select("min_x").scalar(), bounds.select("min_z").scalar()
-    x1, z1 = bounds.select("max_x").scalar(), bounds.select("max_z").scalar()
+    x0, x1, z0, z1 = corners(bounds)
     return (mask.withColumn("cell_x", F.floor((F.col("x") - x0) / cell).cast("int"))
             .withColumn("cell_z", F.floor((F.col("z") - z0) / cell).cast("int"))
             .filter((F.col("cell_x") < F.floor((x1 - x0 + 1) / cell))

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .voxels import floor_div
+from .columns import spread
+from .voxels import corners, floor_div
 
 BLOCK = 64
 # border links that one task may hold (two numbers each)
@@ -114,8 +115,9 @@ def contract(links: DataFrame, small_graph=SMALL_GRAPH) -> DataFrame:
 def connected_components(cells: DataFrame, offsets=FACES_3D, small_graph=SMALL_GRAPH) -> DataFrame:
     """Add ``component``, the smallest cell key in the component, to x, y, z."""
     keyed = cells.select("x", "y", "z").distinct().withColumn("key", cell_key("x", "y", "z"))
-    blocks = [floor_div(F.col(c), BLOCK).alias("b" + c) for c in "xz"]
-    local = cut_lineage(keyed.groupBy(*blocks).applyInPandas(
+    keyed = keyed.withColumn("bx", floor_div(F.col("x"), BLOCK)).withColumn("bz", floor_div(F.col("z"), BLOCK))
+    # few bytes but much work per block: keep the blocks spread out
+    local = cut_lineage(spread(keyed, "bx", "bz").groupBy("bx", "bz").applyInPandas(
         _join_inside_block(offsets), "x int, y int, z int, key bigint, root bigint"))
     steps = F.explode(F.array(*[F.struct(*[F.lit(v).alias("d" + c) for v, c in zip(o, "xyz")])
                                 for o in offsets])).alias("o")
@@ -159,9 +161,8 @@ def find_built_region(density: DataFrame, bounds: DataFrame, cell=32, threshold=
     sizes = labelled.groupBy("component").agg(F.count(F.lit(1)).alias("n")) \
         .filter(F.col("n") >= min_cells).orderBy(F.desc("n"), "component").limit(largest)
     kept = labelled.join(sizes.select("component"), "component", "left_semi")
-    x0, z0 = bounds.select("min_x").scalar(), bounds.select("min_z").scalar()
-    total = (F.floor((bounds.select("max_x").scalar() - x0 + 1) / cell)
-             * F.floor((bounds.select("max_z").scalar() - z0 + 1) / cell))
+    x0, x1, z0, z1 = corners(bounds)
+    total = F.floor((x1 - x0 + 1) / cell) * F.floor((z1 - z0 + 1) / cell)
     return kept.agg(
         (F.min("cell_x") * cell).alias("x0"), ((F.max("cell_x") + 1) * cell).alias("x1"),
         (F.min("cell_z") * cell).alias("z0"), ((F.max("cell_z") + 1) * cell).alias("z1"),

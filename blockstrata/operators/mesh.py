@@ -12,6 +12,7 @@ from .census import n_rows
 from .neighbors import with_face_flags
 from .ranking import global_row_number
 from .stencils import column, row
+from .voxels import corners
 
 OTHER = {"x": ("y", "z"), "y": ("x", "z"), "z": ("x", "y")}
 # +1 where (row axis, col axis, face axis) is an even permutation of x, y, z
@@ -194,8 +195,8 @@ def heightfield_mesh(grid: DataFrame, value="height") -> DataFrame:
 
 def strided_mesh(grid: DataFrame, bounds: DataFrame, stride: int) -> DataFrame:
     """Every stride-th row and column and the last ones."""
-    for c in ("x", "z"):
-        lo, hi = bounds.select("min_" + c).scalar(), bounds.select("max_" + c).scalar()
+    x0, x1, z0, z1 = corners(bounds)
+    for c, lo, hi in (("x", x0, x1), ("z", z0, z1)):
         grid = grid.filter((F.pmod(F.col(c) - lo, F.lit(stride)) == 0) | (F.col(c) == hi))
     return grid
 
@@ -301,8 +302,8 @@ def liquid_mesh(liquid: DataFrame) -> DataFrame:
 
 def quads_by_family(grid: DataFrame, bounds: DataFrame, tile=128) -> DataFrame:
     """Terrain squares, tiles and triangles per surface family."""
-    for c in ("x", "z"):
-        lo, hi = bounds.select("min_" + c).scalar(), bounds.select("max_" + c).scalar()
+    x0, x1, z0, z1 = corners(bounds)
+    for c, lo, hi in (("x", x0, x1), ("z", z0, z1)):
         local = F.col(c) - lo
         # the last row of every tile, and of the grid, opens no square
         grid = grid.filter((F.pmod(local, F.lit(tile)) != tile - 1) & (F.col(c) < hi)) \

@@ -1,9 +1,11 @@
 """Exact nearest neighbour on integer coordinates, by growing buckets.
 
-Each round looks at the buckets around a query. Before points are read, the
-occupied sub-buckets bound the distance from above and below, so only points
-that can win are joined. A round settles every query whose best distance is
-no larger than the bucket; the rest goes on with buckets four times as wide.
+The first round joins queries and points of neighbouring buckets. Later rounds
+look from each occupied query cell at the occupied point cells around it:
+bounds on the distance between two cells leave only the cells that can hold a
+winner, and only their points are joined. A round settles every query whose
+best distance is no larger than the bucket; the rest goes on with buckets four
+times as wide.
 """
 
 from functools import reduce
@@ -29,11 +31,12 @@ def nearest_points(queries: DataFrame, points: DataFrame, dims, values) -> DataF
     """For each distinct query position the values of the closest point.
 
     Of equally close points the one with the smallest coordinates wins. Gives
-    the query coordinates, the values and ``d2``, the squared distance.
+    the query coordinates, the values and ``d2``, the squared distance. Both
+    inputs are read once per round, so pass stored tables.
     """
     keys = ["q" + d for d in dims]
-    pts = cut_lineage(points.select(*dims, *values))
-    left = cut_lineage(queries.select(*[F.col(d).alias("q" + d) for d in dims]).distinct())
+    pts = points.select(*dims, *values)
+    left = queries.select(*[F.col(d).alias("q" + d) for d in dims]).distinct()
     if pts.isEmpty():
         return left.select(*[F.col("q" + d).alias(d) for d in dims],
                            *[F.lit(None).cast(pts.schema[v].dataType).alias(v) for v in values],
@@ -41,34 +44,39 @@ def nearest_points(queries: DataFrame, points: DataFrame, dims, values) -> DataF
     d2 = reduce(lambda a, b: a + b, [(F.col("q" + d).cast("bigint") - F.col(d))
                                      * (F.col("q" + d).cast("bigint") - F.col(d)) for d in dims])
     best = F.min_by(F.struct(d2.alias("d2"), *values), F.struct(d2, *dims)).alias("best")
-    done, unit = [], 1
+    done, unit, wide = [], 1, 4
     while not left.isEmpty():
-        wide = unit * 4
-        asked = _around(left.select(*keys, *[F.floor(F.col("q" + d) / wide).alias("k" + d) for d in dims]), dims)
         on = ["b" + d for d in dims]
         if unit == 1:
+            asked = _around(left.select(*keys, *[F.floor(F.col("q" + d) / wide).alias("k" + d) for d in dims]), dims)
             found = asked.join(pts.select("*", *_bucket(dims, wide, "b")), on)
         else:
-            subs = pts.select(*_bucket(dims, unit, "s")).distinct() \
-                .select("*", *[F.floor(F.col("s" + d) / 4).alias("b" + d) for d in dims])
-            lo = [F.greatest(F.col("s" + d) * unit - F.col("q" + d),
-                             F.col("q" + d) - (F.col("s" + d) * unit + unit - 1), F.lit(0)) for d in dims]
-            hi = [F.greatest(F.abs(F.col("s" + d) * unit - F.col("q" + d)),
-                             F.abs(F.col("s" + d) * unit + unit - 1 - F.col("q" + d))) for d in dims]
-            square = lambda parts: reduce(lambda a, b: a + b, [p * p for p in parts])
-            subkeys = ["s" + d for d in dims]
-            # at most 12 sub-buckets per axis, so the list is bounded
-            near = asked.join(subs, on).groupBy(*keys).agg(
-                F.min(square(hi)).alias("ub"),
-                F.collect_list(F.struct(square(lo).alias("lb"), *subkeys)).alias("cand"))
-            near = near.select(*keys, "ub", F.explode("cand").alias("c")) \
-                .filter(F.col("c.lb") <= F.col("ub")).select(*keys, *["c." + s for s in subkeys])
-            found = near.join(pts.select("*", *_bucket(dims, unit, "s")), subkeys)
+            ratio = wide // unit
+            home, there = ["c" + d for d in dims], ["s" + d for d in dims]
+            placed = left.select(*keys, *[F.floor(F.col("q" + d) / unit).alias("c" + d) for d in dims])
+            asked = _around(placed.select(*home).distinct().select(
+                "*", *[F.floor(F.col("c" + d) / ratio).alias("k" + d) for d in dims]), dims)
+            held = pts.select(*_bucket(dims, unit, "s")).distinct() \
+                .select("*", *[F.floor(F.col("s" + d) / ratio).alias("b" + d) for d in dims])
+            apart = [F.abs(F.col("s" + d) - F.col("c" + d)) for d in dims]
+            least = [F.greatest((k - 1) * unit + 1, F.lit(0)) for k in apart]
+            most = [(k + 1) * unit - 1 for k in apart]
+
+            def square(parts):
+                return reduce(lambda x, y: x + y, [p * p for p in parts])
+
+            # at most 12 cells per axis, so the list of a query cell is bounded
+            near = asked.join(held, on).groupBy(*home).agg(
+                F.min(square(most)).alias("ub"),
+                F.collect_list(F.struct(square(least).alias("lb"), *there)).alias("cand"))
+            near = near.select(*home, "ub", F.explode("cand").alias("c")) \
+                .filter(F.col("c.lb") <= F.col("ub")).select(*home, *["c." + c for c in there])
+            found = placed.join(near, home).join(pts.select("*", *_bucket(dims, unit, "s")), there)
         round_best = found.groupBy(*keys).agg(best)
         settled = cut_lineage(round_best.filter(F.col("best.d2") <= wide * wide))
         done.append(settled)
         left = cut_lineage(left.join(settled.select(*keys), keys, "left_anti"))
-        unit = wide
+        unit, wide = wide, wide * 4
     out = reduce(DataFrame.unionByName, done) if done else None
     if out is None:
         return pts.limit(0).select(*dims, *values, F.lit(0).cast("bigint").alias("d2"))
@@ -78,6 +86,7 @@ def nearest_points(queries: DataFrame, points: DataFrame, dims, values) -> DataF
 
 def nearest_valid(grid: DataFrame, value="height") -> DataFrame:
     """Fill null cells of a grid with the value of the nearest valid cell."""
+    grid = cut_lineage(grid)
     valid = grid.filter(F.col(value).isNotNull())
     holes = grid.filter(F.col(value).isNull())
     filled = nearest_points(holes, valid, ["x", "z"], [value])

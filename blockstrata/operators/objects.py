@@ -5,12 +5,13 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions import rules
+from ..session import cut_lineage
 from . import components as K
 from .census import n_rows
 from .nearest import nearest_points
 from .neighbors import neighborhood_range
 from .ranking import percentile_of, sorted_counts, weighted_mean
-from .voxels import filter_labels
+from .voxels import corners, filter_labels
 
 
 def extents():
@@ -216,14 +217,14 @@ def wall_core(solid: DataFrame, terrain: DataFrame, wall_rise=3) -> DataFrame:
 
 def nearest_core_label(voxels: DataFrame, core: DataFrame) -> DataFrame:
     """Every voxel takes the component of the closest core voxel."""
-    rest = voxels.join(core, ["x", "y", "z"], "left_anti")
+    rest = cut_lineage(voxels.join(core, ["x", "y", "z"], "left_anti"))
     grown = nearest_points(rest, core, ["x", "y", "z"], ["component"])
     return core.select("x", "y", "z", "component").unionByName(grown.select("x", "y", "z", "component"))
 
 
 def segment_buildings(solid: DataFrame, terrain: DataFrame, wall_rise=3) -> DataFrame:
     """Building of every structure and detail voxel: (x, y, z, component)."""
-    core = K.connected_components(wall_core(solid, terrain, wall_rise), K.FACES_3D)
+    core = cut_lineage(K.connected_components(wall_core(solid, terrain, wall_rise), K.FACES_3D))
     objects = solid.filter(F.col("role").isin("structure", "detail")).select("x", "y", "z")
     return nearest_core_label(objects, core)
 
@@ -253,11 +254,9 @@ def fill_ratio(members: DataFrame) -> DataFrame:
 
 def sample_height_at(objects: DataFrame, grid: DataFrame, bounds: DataFrame, height="smooth") -> DataFrame:
     """Ground height at each object's middle, clamped into the grid."""
-    def clamp(c):
-        return F.least(F.greatest(F.col("centre_" + c), bounds.select("min_" + c).scalar()),
-                       bounds.select("max_" + c).scalar())
-
-    at = objects.withColumn("x", clamp("x")).withColumn("z", clamp("z"))
+    x0, x1, z0, z1 = corners(bounds)
+    at = objects.withColumn("x", F.least(F.greatest("centre_x", x0), x1)) \
+                .withColumn("z", F.least(F.greatest("centre_z", z0), z1))
     return at.join(grid.select("x", "z", F.col(height).alias("ground_y")), ["x", "z"]) \
         .withColumn("drop", F.col("min_y") - F.col("ground_y")).drop("x", "z")
 
@@ -331,7 +330,8 @@ def spawn_candidates(solid: DataFrame, grid: DataFrame, center: DataFrame) -> Da
     # nothing lies above the topmost voxel of a column
     g = g.withColumn("ok_sky", F.col("ok_headroom"))
     g = g.withColumn("ok_field", F.col("ok_sky") & (F.col("near_wool") == 1))
-    bx, bz = center.select("build_x").scalar(), center.select("build_z").scalar()
+    at = center.select(F.struct("build_x", "build_z")).scalar()
+    bx, bz = at["build_x"], at["build_z"]
     g = g.withColumn("dx", bx - F.col("x")).withColumn("dz", bz - F.col("z"))
     dist = F.greatest(F.sqrt(F.col("dx") * F.col("dx") + F.col("dz") * F.col("dz")), F.lit(1.0))
     return g.withColumn("dist", dist).select(

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import colours as L
 from .census import n_rows
+from .columns import spread
 
 
 def rgb():
@@ -158,8 +159,10 @@ def channel_histograms(pixels: DataFrame) -> DataFrame:
     tall = pixels.select("image_id", F.explode(F.array(*[F.struct(F.lit(c).alias("channel"), F.col(c).alias("v"))
                                                          for c in "rgb"])).alias("e"))
     counted = tall.groupBy("image_id", "e.channel", "e.v").agg(n_rows("k"))
-    return counted.groupBy("image_id", "channel").agg(
+    hists = counted.groupBy("image_id", "channel").agg(
         F.array_sort(F.collect_list(F.struct("v", "k"))).alias("hist"), F.sum("k").alias("total"))
+    # few bytes but much work per row follows
+    return spread(hists, "image_id", "channel")
 
 
 def mean_after_gain(hist, total, gain):

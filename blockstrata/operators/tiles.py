@@ -7,6 +7,7 @@ from ..functions import fixed_values as V
 from .census import n_rows
 from .columns import spread
 from .stencils import column, row
+from .voxels import corners
 
 # fixed values of the planner
 MAX_PER_AXIS, MAX_TOTAL, TOLERANCE = 64, 1024, 0.06
@@ -176,9 +177,8 @@ def resample_to_grid(tiles: DataFrame, grid: DataFrame, value="height") -> DataF
 def upsample_grid(grid: DataFrame, bounds: DataFrame, factor=4, value="height") -> DataFrame:
     """Bilinear grid of ``factor`` times the cells per axis, ends aligned. Each
     source cell emits the samples that fall into it, so nothing is joined."""
-    x0, z0 = bounds.select("min_x").scalar(), bounds.select("min_z").scalar()
-    w = bounds.select(F.col("max_x") - F.col("min_x") + 1).scalar()
-    d = bounds.select(F.col("max_z") - F.col("min_z") + 1).scalar()
+    x0, x1, z0, z1 = corners(bounds)
+    w, d = x1 - x0 + 1, z1 - z0 + 1
     g = grid.select((F.col("x") - x0).alias("x"), (F.col("z") - z0).alias("z"), F.col(value).cast("double").alias("h00"))
     g = g.withColumn("h10", F.coalesce(F.lead("h00").over(row()), "h00"))
     g = g.withColumn("h01", F.coalesce(F.lead("h00").over(column()), "h00")) \
@@ -243,8 +243,7 @@ def mosaic_tiles(tiles: DataFrame, samples: DataFrame, scale_cm, offset_cm, stri
 def tile_partition_check(tiles: DataFrame, bounds: DataFrame) -> DataFrame:
     """Tiles that start at the wrong edge, leave a gap, overlap or stop short."""
     from pyspark.sql import Window
-    x0, z0 = bounds.select("min_x").scalar(), bounds.select("min_z").scalar()
-    x1, z1 = bounds.select("max_x").scalar(), bounds.select("max_z").scalar()
+    x0, x1, z0, z1 = corners(bounds)
     in_row, in_col = Window.partitionBy("zno").orderBy("xno"), Window.partitionBy("xno").orderBy("zno")
     want_x = F.coalesce(F.lag(F.col("x0") + F.col("width")).over(in_row), x0)
     want_z = F.coalesce(F.lag(F.col("z0") + F.col("depth")).over(in_col), z0)

@@ -16,6 +16,12 @@ def floor_div(col, size):
     return F.floor(col / size).cast("int")
 
 
+def corners(bounds: DataFrame):
+    """min_x, max_x, min_z, max_z of a one-row extent, as one subquery."""
+    box = bounds.select(F.struct("min_x", "max_x", "min_z", "max_z")).scalar()
+    return [box[c] for c in ("min_x", "max_x", "min_z", "max_z")]
+
+
 def with_chunk(df: DataFrame) -> DataFrame:
     return df.withColumn("cx", floor_div(F.col("x"), 16)) \
              .withColumn("cz", floor_div(F.col("z"), 16))

@@ -9,6 +9,7 @@ from ..operators import mesh as M
 from ..operators import objects as O
 from ..operators import stencils as S
 from ..operators import tiles as T
+from ..operators import voxels as X
 from ..operators.ranking import percentile_of, sorted_counts
 from ..session import cut_lineage
 from . import rule_sql as R
@@ -39,13 +40,14 @@ QUAD_VIEWS = FACE_VIEWS + [RUNS, QUADS]
 
 
 def members(w):
-    solid = w.solid()
+    """Object voxels with object and material, as a stored table."""
+    solid = w.stored_solid()
     comp = O.object_components(solid)
     return cut_lineage(comp.select("x", "y", "z", F.col("component").alias("object_id"), F.col("family").alias("material")))
 
 
 def faces(w, m=None):
-    return M.exposed_face_rows(m if m is not None else members(w), w.solid())
+    return M.exposed_face_rows(m if m is not None else members(w), w.voxels().join(X.air_ids(w.palette()), "palette_id", "left_anti"))
 
 
 @query("exposed_face_rows", "SELECT * FROM faces", SOLID, FACE_VIEWS)

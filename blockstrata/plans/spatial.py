@@ -27,7 +27,7 @@ def r6(*cols):
 
 def surface_grid(w):
     """Ground surface on the full grid; cells without ground are null."""
-    solid = w.solid()
+    solid = w.stored_solid()
     return L.on_full_grid(L.surface_columns(solid), C.world_bounds(solid))
 
 
@@ -37,7 +37,7 @@ def filled(w):
 
 
 def tops(w):
-    solid = w.solid()
+    solid = w.stored_solid()
     return O.column_tops(solid, L.full_grid(C.world_bounds(solid)))
 
 
@@ -368,7 +368,9 @@ INSTANCES = """SELECT component, class, voxels, round(cx, 6) AS cx, round(cy, 6)
 
 
 def instances(w):
-    return O.extract_instances(w.solid(), filled(w), 6)
+    solid = w.stored_solid()
+    ground = nearest_valid(L.on_full_grid(L.surface_columns(solid), C.world_bounds(solid)))
+    return O.extract_instances(solid, cut_lineage(ground), 6)
 
 
 @query("extract_instances", INSTANCES, GRID, PLANE_VIEWS)
@@ -445,12 +447,10 @@ GROWN = ("grown", f"""SELECT x, y, z, component FROM corec UNION ALL
   WHERE abs(o.x - c.x) <= 24 AND abs(o.z - c.z) <= 24 GROUP BY 1, 2, 3""")
 
 
-def stored_terrain(w):
-    return cut_lineage(O.terrain_height(tops(w)))
-
-
 def buildings(w):
-    return O.segment_buildings(cut_lineage(w.solid()), stored_terrain(w))
+    solid = w.stored_solid()
+    terrain = O.terrain_height(O.column_tops(solid, L.full_grid(C.world_bounds(solid))))
+    return O.segment_buildings(solid, cut_lineage(terrain))
 
 
 @query("wall_core", "SELECT x, y, z, role FROM core", GRID, TERR + [CORE])
@@ -566,7 +566,7 @@ SPAWN.insert(3, ("wools", "SELECT DISTINCT x, z FROM solid WHERE ends_with(name,
 
 
 def spawn_cells(w):
-    solid = cut_lineage(w.solid())
+    solid = w.stored_solid()
     grid = L.full_grid(C.world_bounds(solid))
     cand = O.spawn_candidates(solid, grid, C.building_mass_center_exact(solid))
     return O.sightline(cut_lineage(cand), O.column_tops(solid, grid))

@@ -9,6 +9,7 @@ from ..operators import census as C
 from ..operators import voxels as X
 from ..operators.columns import top_voxel_per_column
 from ..operators.ranking import global_row_number, top_per_group
+from ..session import cut_lineage
 from . import rule_sql as R
 from .registry import query
 
@@ -257,7 +258,7 @@ BUILT = ("density", f"""SELECT CAST(floor((x - x0) / 8) AS INT) AS cell_x, CAST(
 
 def built_density(w, cell=8):
     """Share of built columns in each cell of the map."""
-    top = top_voxel_per_column(w.solid())
+    top = cut_lineage(top_voxel_per_column(w.solid()))
     return C.cell_density(top.filter("built"), C.world_bounds(top), cell)
 
 

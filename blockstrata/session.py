@@ -1,7 +1,7 @@
 """Session settings for jobs and the cut of long lineages."""
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -19,6 +19,7 @@ def local_session(cores="*", partitions=8, app="blockstrata"):
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.ui.enabled", "false")
                .config("spark.driver.memory", "16g")
+               .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
                .config("spark.sql.shuffle.partitions", str(partitions)))
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
@@ -27,18 +28,24 @@ def local_session(cores="*", partitions=8, app="blockstrata"):
     return spark
 
 
+def shared_folder(spark):
+    """Folder for intermediate tables: the session's ``spark.checkpoint.dir``.
+    A folder of this machine is made only in local mode without that setting."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder")
+        folder = tempfile.mkdtemp(prefix="blockstrata-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
 def cut_lineage(df):
-    """Materialize an intermediate table on reliable storage.
+    """Write an intermediate table to the shared folder and read it back.
 
-    The folder is the one named by ``spark.checkpoint.dir``; a folder of this
-    machine is taken only when the session runs in local mode without one.
+    The table outlives lost executors, starts a new plan, and gives the next
+    steps columns to prune and sizes to plan with.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="blockstrata-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

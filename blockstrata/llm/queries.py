@@ -1,6 +1,19 @@
 """Named queries of this subpackage with the SQL that states the same result."""
 
+import os
+
+from pyspark.sql import functions as F
+
+from . import archives as _archives
+from . import decontamination as _decontamination
+from . import exact_dedup as _exact
+from . import language as _language
+from . import lm_scores as _lm
+from . import mixing as _mixing
 from . import near_dedup as _near
+from . import quality as _quality
+from . import surrogates as _surrogates
+from . import token_counts as _tokens
 
 QUERIES, ORACLES = {}, {}
 
@@ -23,7 +36,7 @@ WORDS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOP
 NEAR_SQL = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
 sets AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' ')) END)) AS s FROM w),
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END)) AS s FROM w),
 sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
 shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
 links AS (SELECT s.a, s.b FROM shared s JOIN sizes x ON x.doc_id = s.a JOIN sizes y ON y.doc_id = s.b
@@ -40,3 +53,104 @@ JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = d.doc_i
 def op1_near_duplicates(spark, sf_dir):
     """Near-duplicate components of all documents on four-word shingles."""
     return _near.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=4, percent=80)
+
+
+@query("op2_surrogates")
+def op2_surrogates(spark, sf_dir):
+    """All documents with personal data replaced by surrogates."""
+    return _surrogates.replace_entities(_table(spark, sf_dir, "documents"))
+
+
+EXACT_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS plain FROM documents)
+SELECT doc_id, first_value(doc_id) OVER (PARTITION BY plain ORDER BY length(text) DESC, doc_id) AS keep_id,
+    count(*) OVER (PARTITION BY plain)::BIGINT AS group_size,
+    doc_id = first_value(doc_id) OVER (PARTITION BY plain ORDER BY length(text) DESC, doc_id) AS kept,
+    sha256(plain) AS text_sha256
+FROM d
+"""
+
+
+@query("op3_exact_duplicates", EXACT_SQL)
+def op3_exact_duplicates(spark, sf_dir):
+    """Groups of all documents that are equal without white space."""
+    return _exact.exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@query("op4_mixture")
+def op4_mixture(spark, sf_dir):
+    """Words that a mixture of all sources takes from each document."""
+    return _mixing.mix_sources(_table(spark, sf_dir, "documents"), weights=(5, 2, 1), most=3)
+
+
+@query("op5_web_archives")
+def op5_web_archives(spark, sf_dir):
+    """All pages written as packed web archives and read back."""
+    packages = _archives.write_packages(_table(spark, sf_dir, "pages"))
+    return _archives.read_packages(packages, payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _fold(n):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+@query("op6_quality")
+def op6_quality(spark, sf_dir):
+    """Quality of all documents, learned from two thirds of the labels."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = _quality.train_quality(docs, labels.where(_fold(3) != 1))
+    return _quality.score_quality(docs, model).select(
+        "doc_id", (_fold(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op7_languages")
+def op7_languages(spark, sf_dir):
+    """Language of all documents, learned from three quarters of them."""
+    docs = _table(spark, sf_dir, "documents")
+    model = _language.train_languages(docs.where(_fold(4) != 2))
+    return _language.identify_languages(docs, model).select(
+        "doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op8_language_model")
+def op8_language_model(spark, sf_dir):
+    """Scores of all documents under a model of six sevenths of them."""
+    docs = _table(spark, sf_dir, "documents")
+    model = _lm.train(docs.where(_fold(7) != 2))
+    return _lm.score(docs, model).withColumn("held_out", _fold(7) == 2)
+
+
+LEAKS_SQL = f"""
+WITH items AS (SELECT item_id, {WORDS_SQL} AS w FROM benchmark), docs AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+wanted AS (SELECT item_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS s FROM items),
+held AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM docs)
+    WHERE s IN (SELECT s FROM wanted)),
+sizes AS (SELECT item_id, count(*) AS n FROM wanted GROUP BY item_id),
+found AS (SELECT doc_id, item_id, count(*) AS shared FROM held JOIN wanted USING (s) GROUP BY ALL)
+SELECT doc_id, item_id, shared::BIGINT AS shared, n::BIGINT AS n_shingles, shared / n AS containment
+FROM found JOIN sizes USING (item_id) WHERE 100 * shared >= 80 * n
+"""
+
+
+@query("op9_benchmark_leaks", LEAKS_SQL)
+def op9_benchmark_leaks(spark, sf_dir):
+    """Benchmark items that documents hold."""
+    return _decontamination.find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def vocabulary(name="word_bpe_49k.json"):
+    """Place of a vocabulary file: in the folder that BLOCKSTRATA_TOKENIZERS names, or else among the installed ones."""
+    folder = os.environ.get("BLOCKSTRATA_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query("op10_token_counts")
+def op10_token_counts(spark, sf_dir):
+    """Tokens of all documents."""
+    return _tokens.count_tokens(_table(spark, sf_dir, "documents"), vocabulary(), limit=2048)

@@ -80,9 +80,8 @@ def directory(read, size):
             raise ValueError("no end of central directory")
         if at + 22 <= len(tail) and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] == len(tail):
             break
-        at += 3 if at + 4 > len(tail) else 0
     _, _, _, _, count, length, first, _ = struct.unpack_from("<IHHHHIIH", tail, at)
-    if FULL16 in (count,) or FULL32 in (length, first):
+    if count == FULL16 or FULL32 in (length, first):
         sign, _, where, _ = struct.unpack("<IIQI", read(start + at - 20, 20))
         if sign != 0x07064B50:
             raise ValueError("no ZIP64 locator")

@@ -1,9 +1,10 @@
 """Connected components of cells on an integer lattice.
 
 Cells are first joined inside blocks of 64 x 64 columns, each block in one
-task with a bounded number of cells. Only links across block borders remain.
-They form a much smaller graph: one task settles it while it is under a
-checked size, and alternating large and small stars contract it beyond that.
+task with a bounded number of cells. Links across block borders are joined
+inside squares of 16 x 16 blocks in the same way; what crosses the borders of
+squares is a much smaller graph, which alternating large and small stars
+contract whatever its size.
 """
 
 import numpy as np
@@ -16,19 +17,33 @@ from .columns import spread
 from .voxels import corners, floor_div
 
 BLOCK = 64
-# border links that one task may hold (two numbers each)
-SMALL_GRAPH = 1_000_000
+SQUARE = 16 * BLOCK
 FACES_2D = [(1, 0, 0), (0, 0, 1)]
 FACES_3D = [(1, 0, 0), (0, 1, 0), (0, 0, 1)]
 HALF_26 = [(dx, dy, dz) for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1)
            if (dx, dy, dz) > (0, 0, 0)]
-SHIFT = 1 << 25
+# x and z lie in -SHIFT .. SHIFT - 1, y in -SHIFT_Y .. SHIFT_Y - 1
+SHIFT, SHIFT_Y = 1 << 25, 1 << 10
+
+
+def in_range(x, y, z):
+    return (x.between(-SHIFT, SHIFT - 1) & z.between(-SHIFT, SHIFT - 1)
+            & y.between(-SHIFT_Y, SHIFT_Y - 1))
 
 
 def cell_key(x, y, z):
-    """One number per cell, ordered by x, then z, then y (0..511)."""
-    big = [F.col(c).cast("bigint") if isinstance(c, str) else c for c in (x, y, z)]
-    return ((big[0] + SHIFT) * (1 << 35) + (big[2] + SHIFT) * (1 << 9) + big[1])
+    """One number per cell, ordered by x, then z, then y. A cell out of range is an error."""
+    x, y, z = [F.col(c).cast("bigint") if isinstance(c, str) else c for c in (x, y, z)]
+    key = (x + SHIFT) * (1 << 37) + (z + SHIFT) * (1 << 11) + y + SHIFT_Y
+    return F.when(in_range(x, y, z), key).otherwise(
+        F.raise_error(F.concat_ws(" ", F.lit("cell out of range:"), x, y, z)).cast("bigint"))
+
+
+def square_of(key):
+    """The square of SQUARE x SQUARE columns that holds a cell key."""
+    x = F.shiftright(key, 37) - SHIFT
+    z = F.shiftright(key, 11).bitwiseAND((1 << 26) - 1) - SHIFT
+    return F.struct(F.floor(x / SQUARE).alias("sx"), F.floor(z / SQUARE).alias("sz"))
 
 
 def _smallest_label(n, a, b):
@@ -105,14 +120,23 @@ def contract_stars(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
 
 
-def contract(links: DataFrame, small_graph=SMALL_GRAPH) -> DataFrame:
-    links = cut_lineage(links)
-    if links.count() <= small_graph:
-        return links.withColumn("g", F.lit(0)).groupBy("g").applyInPandas(_join_links, "node bigint, comp bigint")
-    return contract_stars(links)
+def contract(links: DataFrame) -> DataFrame:
+    """Root of every cell key that has a link: (node, comp), root = smallest key."""
+    links = cut_lineage(links.withColumn("square", square_of(F.col("u"))).withColumn("other", square_of(F.col("v"))))
+    inside = links.filter("square = other").groupBy("square").applyInPandas(_join_links, "node bigint, comp bigint")
+    inside = cut_lineage(inside)
+    across = links.filter("square <> other").select("u", "v")
+    for end in ("u", "v"):
+        named = inside.select(F.col("node").alias(end), F.col("comp").alias("root"))
+        across = across.join(named, end, "left").withColumn(end, F.coalesce("root", end)).drop("root")
+    outside = contract_stars(across)
+    last = outside.select(F.col("node").alias("comp"), F.col("comp").alias("root"))
+    joined = inside.join(last, "comp", "left").select("node", F.coalesce("root", "comp").alias("comp"))
+    # roots of squares without a link inside their own square
+    return joined.unionByName(outside.join(inside.select("node"), "node", "left_anti"))
 
 
-def connected_components(cells: DataFrame, offsets=FACES_3D, small_graph=SMALL_GRAPH) -> DataFrame:
+def connected_components(cells: DataFrame, offsets=FACES_3D) -> DataFrame:
     """Add ``component``, the smallest cell key in the component, to x, y, z."""
     keyed = cells.select("x", "y", "z").distinct().withColumn("key", cell_key("x", "y", "z"))
     keyed = keyed.withColumn("bx", floor_div(F.col("x"), BLOCK)).withColumn("bz", floor_div(F.col("z"), BLOCK))
@@ -127,10 +151,11 @@ def connected_components(cells: DataFrame, offsets=FACES_3D, small_graph=SMALL_G
     for c in "xz":
         leaves = floor_div(F.col(c), BLOCK) != floor_div(F.col("n" + c), BLOCK)
         crosses = leaves if crosses is None else crosses | leaves
-    border = moved.filter(crosses).select("u", cell_key(F.col("nx").cast("bigint"), F.col("ny").cast("bigint"),
-                                                       F.col("nz").cast("bigint")).alias("key"))
+    ends = [F.col(c).cast("bigint") for c in ("nx", "ny", "nz")]
+    # a place outside the range holds no cell
+    border = moved.filter(crosses & in_range(*ends)).select("u", cell_key(*ends).alias("key"))
     links = border.join(local.select("key", F.col("root").alias("v")), "key").select("u", "v").distinct()
-    roots = contract(links, small_graph)
+    roots = contract(links)
     # a root covers at most one block of cells, so no key is hot here
     return (local.join(roots, local["root"] == roots["node"], "left")
             .select("x", "y", "z", F.coalesce("comp", "root").alias("component")))
@@ -154,12 +179,14 @@ def components_2d(cells: DataFrame) -> DataFrame:
 
 
 def find_built_region(density: DataFrame, bounds: DataFrame, cell=32, threshold=0.10,
-                      min_cells=4, largest=8) -> DataFrame:
-    """Box around the largest connected groups of dense cells."""
+                      min_cells=4, largest=None) -> DataFrame:
+    """Box around the connected groups of dense cells, or the ``largest`` of them."""
     seed = density.filter(F.col("fraction") >= threshold)
     labelled = components_2d(seed)
     sizes = labelled.groupBy("component").agg(F.count(F.lit(1)).alias("n")) \
-        .filter(F.col("n") >= min_cells).orderBy(F.desc("n"), "component").limit(largest)
+        .filter(F.col("n") >= min_cells)
+    if largest is not None:
+        sizes = sizes.orderBy(F.desc("n"), "component").limit(largest)
     kept = labelled.join(sizes.select("component"), "component", "left_semi")
     x0, x1, z0, z1 = corners(bounds)
     total = F.floor((x1 - x0 + 1) / cell) * F.floor((z1 - z0 + 1) / cell)

@@ -255,10 +255,10 @@ def _(w):
    any_value(b.z0) + min(z) * 8 AS world_z0, any_value(b.z0) + (max(z) + 1) * 8 - 1 AS world_z1,
    round(count(*) / any_value(floor((b.x1 - b.x0 + 1) / 8) * floor((b.z1 - b.z0 + 1) / 8)), 6) AS built_fraction
   FROM regions, (SELECT min(x) AS x0, max(x) AS x1, min(z) AS z0, max(z) AS z1 FROM solid) b
-  WHERE component IN (SELECT component FROM regions GROUP BY component HAVING count(*) >= 2 ORDER BY count(*) DESC, component LIMIT 8)""",
+  WHERE component IN (SELECT component FROM regions GROUP BY component HAVING count(*) >= 2)""",
        SOLID, SEED)
 def _(w):
-    return K.find_built_region(built_density(w), C.world_bounds(w.solid()), cell=8, threshold=0.6, min_cells=2)
+    return K.find_built_region(built_density(w), C.world_bounds(w.stored_solid()), cell=8, threshold=0.6, min_cells=2)
 
 
 # --- objects -----------------------------------------------------------------

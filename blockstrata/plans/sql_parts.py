@@ -25,7 +25,7 @@ SPREAD = ("spreads", """SELECT t.x, t.z, any_value(t.top) AS top, any_value(t.to
 TERRAIN = ("terrain", """SELECT x, z, top, top_role, terrain_top, spread, edge, CASE WHEN top_role = 'structure' AND spread <= 1
    AND terrain_top >= 0 AND top > terrain_top AND top <= terrain_top + 2 THEN top ELSE terrain_top END AS terrain_h
   FROM spreads""")
-KEY = "((CAST({x} AS BIGINT) + 33554432) * 34359738368 + (CAST({z} AS BIGINT) + 33554432) * 512 + {y})"
+KEY = "((CAST({x} AS BIGINT) + 33554432) * 137438953472 + (CAST({z} AS BIGINT) + 33554432) * 2048 + {y} + 1024)"
 
 
 def key(x="x", y="y", z="z"):

@@ -27,14 +27,27 @@ SHAPES = {
     "shell": (SHELL, [98]),
     "negative coordinates": ([(0, 1, -225), (1, 0, 0), (300, 0, 300)], [1, 1, 1]),
     "across blocks": ([(x, 0, 0) for x in range(-200, 200)], [400]),
+    "across squares": ([(x, 0, z) for x in range(-1100, 2200) for z in (0,)] + [(5, 0, z) for z in range(1, 1100)], [3300 + 1099]),
+    "only across squares": ([(1023, 0, 5), (1024, 0, 5), (1023, 0, 1030), (1024, 0, 1030)], [2, 2]),
+    "below zero": ([(0, -1, 0), (0, 511, -1), (0, 511, 0), (0, 0, 1)], [1, 1, 2]),
+    "ends of the range": ([(63, -1024, 5), (64, 1023, 4), (0, 1023, 0), (0, -1024, 1)], [1, 1, 1, 1]),
 }
 
 
 @pytest.mark.parametrize("name", SHAPES)
-@pytest.mark.parametrize("small_graph", [K.SMALL_GRAPH, 0])
-def test_shapes(spark, name, small_graph):
+def test_shapes(spark, name):
     points, want = SHAPES[name]
-    assert sizes(K.connected_components(cells(spark, points), K.FACES_3D, small_graph)) == want
+    assert sizes(K.connected_components(cells(spark, points))) == want
+
+
+def test_corners_across_blocks_with_all_neighbours(spark):
+    points = [(63, 0, 5), (64, 511, 4), (63, 1023, 63), (64, 1023, 64), (127, -1024, 64), (128, -1023, 65)]
+    assert sizes(K.connected_components(cells(spark, points), K.HALF_26)) == [1, 1, 2, 2]
+
+
+def test_out_of_range_is_an_error(spark):
+    with pytest.raises(Exception, match="out of range"):
+        K.connected_components(cells(spark, [(0, 1024, 0)])).collect()
 
 
 def test_pitch(spark):
@@ -63,12 +76,11 @@ def brute(points, offsets):
 
 
 @pytest.mark.parametrize("offsets", [K.FACES_3D, K.HALF_26])
-@pytest.mark.parametrize("small_graph", [K.SMALL_GRAPH, 0])
-def test_against_brute_force(spark, offsets, small_graph):
+def test_against_brute_force(spark, offsets):
     rng = random.Random(7)
     n, span = (2600, 10) if offsets is K.HALF_26 else (5200, 10)
     points = {(rng.randrange(-span * 7, span * 7), rng.randrange(4), rng.randrange(-span, span)) for _ in range(n)}
-    got = K.connected_components(cells(spark, points), offsets, small_graph)
+    got = K.connected_components(cells(spark, points), offsets)
     assert sizes(got) == brute(points, offsets)
 
 

@@ -10,7 +10,7 @@ from ..session import cut_lineage
 from .words import blocks, mix, texts_of, word_hashes
 
 START, END = (mix(np.array([x], dtype=np.uint64))[0] for x in (101, 103))
-FLUSH = 4_000_000
+FLUSH = 1_500_000
 SCORED = "doc_id long, n_tokens long, n_common long, common_score double, score double, rare array<long>"
 
 
@@ -163,12 +163,11 @@ def _segments(sizes, least, probes):
 
 
 class CountFilter:
-    """Bits of all shards; the level of an n-gram is found by probing upwards."""
+    """Bits of all shards, one after another; the level of an n-gram is found by probing upwards."""
 
     def __init__(self, segments, sizes, least, probes, base):
-        self.bits = np.frombuffer(b"".join(segments), dtype=np.uint8)
-        starts = np.concatenate(([0], np.cumsum([len(s) for s in segments])))[:-1]
-        self.starts, self.sizes = starts.astype(np.uint64) * np.uint64(8), np.asarray(sizes, dtype=np.uint64)
+        self.bits, self.sizes = np.frombuffer(segments, dtype=np.uint8), np.asarray(sizes, dtype=np.uint64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
         self.least, self.probes, self.base = least, probes, base
 
     def levels(self, hashes):
@@ -231,7 +230,7 @@ def train(docs, shards=None, bits_per_entry=8, probes=3, base=1.6, most_bytes=64
     order = np.argsort(names)
     common = names[order], rows["n"].to_numpy(dtype=np.int64)[order]
 
-    shards = shards or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shards = shards or 4 * max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
     merged = text.mapInArrow(_ngrams(shards), "shard int, blob binary").groupBy("shard").applyInArrow(
         _merge(base), "shard int, levels array<long>, blob binary")
     merged = cut_lineage(merged)
@@ -244,7 +243,7 @@ def train(docs, shards=None, bits_per_entry=8, probes=3, base=1.6, most_bytes=64
     sizes = np.maximum((entries[:, least - 1:].sum(axis=1) * bits_per_entry + 63) // 64 * 64, 64)
     segments = {r["shard"]: bytes(r["bits"]) for r in merged.select("shard", "blob").mapInArrow(
         _segments(sizes, least, probes), "shard int, bits binary").toLocalIterator()}
-    filled = [segments.get(i, bytes(int(n) // 8)) for i, n in enumerate(sizes)]
+    filled = b"".join(segments.pop(i, bytes(int(n) // 8)) for i, n in enumerate(sizes))
     return Model(counts.where(F.col("n") < edge) if edge is not None else counts, common, total, distinct,
                  (filled, sizes, least, probes, base), prior)
 
@@ -256,7 +255,7 @@ def _apply(shared):
         logs = np.log10(numbers + 1.0)
         for batch in batches:
             texts = texts_of(batch.column(1))
-            for lo, hi in blocks(texts, 4_000_000):
+            for lo, hi in blocks(texts, 2_000_000):
                 run, begins = tokens(texts[lo:hi], start=True)
                 kinds, at = np.unique(run, return_inverse=True)
                 place = np.minimum(np.searchsorted(names, kinds), max(len(names) - 1, 0))

@@ -8,24 +8,30 @@ MEN = "Mr|Mister|Sir|Herr|Señor|Sr|Monsieur|Don|Г-н|Господин"
 WOMEN = "Mrs|Ms|Miss|Madam|Frau|Señora|Señorita|Sra|Madame|Mme|Doña|Г-жа|Госпожа"
 EITHER = "Dr|Prof|Professor|Доктор"
 NAME = r"\p{Lu}[\p{L}'’-]+"
-#: Patterns of each kind, in the order in which they are tried at a place.
+#: An entity begins where no letter or digit goes before.
+EDGE = r"(?<![\p{L}\d])"
+#: Patterns of each kind after an edge, in the order in which they are tried.
 KINDS = {
-    "email": r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
-    "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{12,20}(?![A-Za-z0-9])|(?<![A-Za-z0-9])(?:ghp_|sk-)[A-Za-z0-9]{16,}",
-    "secret": r"(?i:\b(?:password|passwd|pwd|token|secret|api_?key)\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9_+/=-]{8,}",
-    "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\d]|\.\d)",
-    "phone": r"(?<![\p{L}\d])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,5}){1,4}(?!\d)|(?<![\p{L}\d])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\p{L}\d-])\d{3}-\d{3}-\d{4}(?![\d-])",
-    "ssn": r"(?<![\p{L}\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "iban": r"(?<![\p{L}\d])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\d])",
-    "card": r"(?<![\p{L}\d-])(?:\d{4}[ -]){3}\d{1,7}(?![\d-])|(?<![\p{L}\d-])\d{13,19}(?![\p{L}\d-])",
-    "name": rf"(?<![\p{{L}}\d])(?:{MEN}|{WOMEN}|{EITHER})\.? {NAME}(?: {NAME})?",
+    "email": r"[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
+    "key": r"(?:AKIA|ASIA)[A-Z0-9]{12,20}(?![A-Za-z0-9])|(?:ghp_|sk-)[A-Za-z0-9]{16,}",
+    "secret": r"(?i:(?:password|passwd|pwd|token|secret|api_?key)\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9_+/=-]{8,}",
+    "ip": r"(?<!\.)(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\d]|\.\d)",
+    "phone": r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,5}){1,4}(?!\d)|\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<!-)\d{3}-\d{3}-\d{4}(?![\d-])",
+    "ssn": r"(?<!-)\d{3}-\d{2}-\d{4}(?![\d-])",
+    "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\d])",
+    "card": r"(?<!-)(?:\d{4}[ -]){3}\d{1,7}(?![\d-])|(?<!-)\d{13,19}(?![\p{L}\d-])",
+    "name": rf"(?=\p{{Lu}})(?:{MEN}|{WOMEN}|{EITHER})\.? {NAME}(?: {NAME})?",
 }
 DIGIT_KINDS = ("phone", "ssn", "card")
 SECRET_HEAD = r"(?i)^((?:password|passwd|pwd|token|secret|api_?key)\s{0,3}[=:]\s{0,3}[\"']?|AKIA|ASIA|ghp_|sk-)"
 
 
 def _any():
-    return "|".join(f"(?:{p})" for p in KINDS.values())
+    return EDGE + "(?:" + "|".join(KINDS.values()) + ")"
+
+
+#: What a text with an entity has at least: a digit, an @ or a form of address. Cheap to look for.
+SIGN = rf"[\d@]|(?=[A-ZГД])(?<!\p{{L}})(?:{MEN}|{WOMEN}|{EITHER})\.? \p{{Lu}}"
 
 
 def _lit(pattern):
@@ -41,12 +47,14 @@ def _kind(mention):
 
 
 def mentions(docs):
-    """row, place, part, piece, kind, canonical of each part of each entity.
+    """row, place, part, piece, type, kind, canonical of each part of each entity.
+
+    ``docs``: row, found (the entities of a text in order).
 
     Names give a part per word, so that a name alone and within a longer name
     is the same entity; what stays as it is has a null kind.
     """
-    found = docs.select("row", F.posexplode(F.regexp_extract_all("text", _lit(_any()), F.lit(0))).alias("place", "mention"))
+    found = docs.select("row", F.posexplode("found").alias("place", "mention"))
     found = found.withColumn("type", _kind(F.col("mention")))
     head = F.regexp_extract("mention", SECRET_HEAD, 1)
     hidden = F.col("type").isin("key", "secret")
@@ -194,8 +202,9 @@ def replace_entities(docs, key="surrogates"):
     treated alike. An empty table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    has = F.coalesce(F.regexp_like("text", _lit(_any())), F.lit(False))
-    hit = cut_lineage(docs.where(has).withColumn("row", F.monotonically_increasing_id()))
+    sign = F.coalesce(F.regexp_like("text", _lit(SIGN)), F.lit(False))
+    all_ = F.when(sign, F.regexp_extract_all("text", _lit(_any()), F.lit(0))).otherwise(F.expr("cast(array() as array<string>)"))
+    hit = cut_lineage(docs.where(sign).withColumn("found", all_).where(F.size("found") > 0).withColumn("row", F.monotonically_increasing_id()))
     found = cut_lineage(mentions(hit))
     table = surrogate_table(found.where("kind is not null"), key)
     new = found.join(table, ["kind", "canonical"], "left").select("row", "place", "part", "type", _rendered().alias("new"))
@@ -207,5 +216,6 @@ def replace_entities(docs, key="surrogates"):
     done = hit.join(new, "row").select("doc_id", text.alias("text"), F.size("all").cast("long").alias("n_entities"),
                                        F.col("all.type").alias("kinds"), F.col("all.new").alias("surrogates"))
     none = F.expr("cast(array() as array<string>)")
-    rest = docs.where(~has).select("doc_id", "text", F.lit(0).cast("long").alias("n_entities"), none.alias("kinds"), none.alias("surrogates"))
+    has = sign & F.regexp_like("text", _lit(_any()))
+    rest = docs.where(~F.coalesce(has, F.lit(False))).select("doc_id", "text", F.lit(0).cast("long").alias("n_entities"), none.alias("kinds"), none.alias("surrogates"))
     return rest.unionByName(done)

@@ -11,24 +11,28 @@ from ..functions import rules
 from ..session import cut_lineage
 from .census import n_rows
 
-MAX_LEVELS = 13  # a model and at most twelve ancestors
-
-
 def nearest_wins(child, parent):
     return F.map_zip_with(child, parent, lambda k, c, p: F.coalesce(c, p))
 
 
-def parent_chain(models: DataFrame, levels=MAX_LEVELS) -> DataFrame:
+def parent_chain(models: DataFrame, levels=None) -> DataFrame:
     """Textures of each model with those of its ancestors behind them.
 
-    Chains double in length per join: after k rounds a row spans 2^k levels.
-    Spans of the binary parts of ``levels`` are put together, so no model sees
-    an ancestor beyond the guard, and a cycle only repeats maps it has.
+    Chains double in length per join: after k rounds a row spans 2^k levels,
+    until no row has a parent left. A model whose chain runs into a cycle has
+    one when the rows span more levels than there are models; it ends there,
+    with a depth beyond their number. With ``levels`` spans of its binary parts
+    are put together instead, so no model sees an ancestor beyond that guard.
     Common parents are hot keys, so the joins are salted.
     """
     empty = F.create_map().cast("map<string,string>")
     span = cut_lineage(models.select("node", F.col("parent").alias("up"), F.coalesce("textures", empty).alias("textures"),
                                      F.lit(1).alias("depth")))
+    if levels is None:
+        size, most = 1, span.count()
+        while size <= most and not span.filter("up IS NOT NULL").isEmpty():
+            span, size = cut_lineage(_stack(span, span)), size * 2
+        return span
     total, size = None, 1
     while size <= levels:
         if levels & size:
@@ -55,13 +59,13 @@ def _salted_left(low: DataFrame, top: DataFrame, salts=8) -> DataFrame:
     return left.join(right, ["up", "_salt"], "left").drop("_salt")
 
 
-def texture_deref(raw, textures, depth=8):
-    """Follow ``#name`` aliases through a texture map, at most ``depth`` times;
-    null when an alias is unknown or the chain is longer."""
+def texture_deref(raw, textures):
+    """Follow ``#name`` aliases through a texture map, as often as it has
+    entries; null when an alias is unknown or runs in a circle."""
     def step(ref, _):
-        return F.when(F.startswith(ref, F.lit("#")), F.trim(textures[F.substring(ref, 2, 10_000)])).otherwise(ref)
+        return F.when(F.startswith(ref, F.lit("#")), F.trim(textures[F.substr(ref, F.lit(2))])).otherwise(ref)
 
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.trim(raw), step)
+    end = F.aggregate(F.sequence(F.lit(0), F.size(textures)), F.trim(raw), step)
     return F.when(~F.startswith(end, F.lit("#")) & (end != ""), end)
 
 

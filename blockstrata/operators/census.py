@@ -53,10 +53,10 @@ def world_bounds(df: DataFrame, by=()) -> DataFrame:
                                  for f, n in ((F.min, "min"), (F.max, "max"))])
 
 
-def biome_histogram(chunks: DataFrame, top=20) -> DataFrame:
-    """Commonest ids in ``biomes`` arrays of 256 or 1024 entries and others."""
-    return (chunks.select(F.explode("biomes").alias("biome")).groupBy("biome")
-            .agg(n_rows()).orderBy(F.desc("n"), "biome").limit(top))
+def biome_histogram(chunks: DataFrame, top=None) -> DataFrame:
+    """Ids in ``biomes`` arrays with their counts, or the ``top`` commonest."""
+    out = chunks.select(F.explode("biomes").alias("biome")).groupBy("biome").agg(n_rows())
+    return out if top is None else out.orderBy(F.desc("n"), "biome").limit(top)
 
 
 def label_histogram(df: DataFrame, by="label") -> DataFrame:
@@ -200,13 +200,15 @@ def cell_role_mode(named: DataFrame, step=12, origin=(0, 0)) -> DataFrame:
                                          F.max("y").alias("top_y"))
 
 
-def ascii_map_rows(cells: DataFrame, width) -> DataFrame:
-    """One text line per i; cells without a symbol show a dot. The line is
-    built from at most one entry per cell of the row."""
+def ascii_map_rows(cells: DataFrame) -> DataFrame:
+    """One text line per i, from the lowest j of the map to the highest; cells
+    without a symbol show a dot. The line is built from at most one entry per
+    cell of the row."""
+    ends = cells.agg(F.struct(F.min("j").alias("low"), F.max("j").alias("high"))).scalar()
     row = cells.groupBy("i").agg(F.map_from_entries(
-        F.collect_list(F.struct("j", "symbol"))).alias("m"))
+        F.collect_list(F.struct("j", "symbol"))).alias("m")).withColumn("ends", ends)
     return row.select("i", F.array_join(F.transform(
-        F.sequence(F.lit(0), F.lit(width - 1)),
+        F.sequence("ends.low", "ends.high"),
         lambda j: F.coalesce(F.col("m")[j], F.lit("."))), "").alias("line"))
 
 

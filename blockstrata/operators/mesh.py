@@ -245,12 +245,10 @@ def vertex_normals(tris: DataFrame) -> DataFrame:
     return sums.select("p.x", "p.y", "p.z", *[(F.col(c) / ln).alias(c) for c in ("nx", "ny", "nz")])
 
 
-def winding_sample(tris: DataFrame, samples=2000, terrain=True) -> DataFrame:
-    """Facing of every k-th triangle, seen along the height axis, with the
-    verdict for its kind of mesh. ``tri_no`` numbers the triangles from 0."""
-    n = tris.select(F.count(F.lit(1))).scalar()
-    k = F.greatest(F.lit(1), F.floor(n / samples))
-    ny = with_normal(tris).filter(F.pmod("tri_no", k) == 0)
+def winding_sample(tris: DataFrame, terrain=True) -> DataFrame:
+    """Facing of all triangles, seen along the height axis, with the verdict
+    for their kind of mesh."""
+    ny = with_normal(tris)
     flat = F.abs("ny") < 1e-4
     g = ny.agg(n_rows("sampled"), F.count_if(~flat & (F.col("ny") > 0)).alias("front"),
                F.count_if(~flat & (F.col("ny") < 0)).alias("back"), F.count_if(flat).alias("degenerate"))

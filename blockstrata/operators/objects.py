@@ -119,10 +119,10 @@ def pose_from_normal(df: DataFrame) -> DataFrame:
              .withColumn("tilt_z", F.degrees(F.atan2(F.col("normal_x"), F.col("normal_y"))))
 
 
-def extract_instances(solid: DataFrame, grid: DataFrame, min_blocks=12, max_blocks=20000) -> DataFrame:
+def extract_instances(solid: DataFrame, grid: DataFrame, min_blocks=12, max_blocks=None) -> DataFrame:
     """Placed objects: class, centre, yaw and rest on the local ground."""
     comp = component_composition(object_components(solid)) \
-        .filter(F.col("voxels").between(min_blocks, max_blocks)) \
+        .filter((F.col("voxels") >= min_blocks) & (F.lit(max_blocks is None) | (F.col("voxels") <= F.lit(max_blocks)))) \
         .withColumn("cx", F.col("sum_x") / F.col("voxels")).withColumn("cz", F.col("sum_z") / F.col("voxels")) \
         .withColumn("cy", F.col("sum_y") / F.col("voxels"))
     placed = pose_from_normal(comp.join(ground_plane(comp, grid), "component", "left"))

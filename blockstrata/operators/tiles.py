@@ -228,16 +228,16 @@ def tile_totals(tiles: DataFrame) -> DataFrame:
                      F.max("err_x").alias("max_err_x"), F.max("err_y").alias("max_err_y"))
 
 
-def mosaic_tiles(tiles: DataFrame, samples: DataFrame, scale_cm, offset_cm, stride=2) -> DataFrame:
-    """Every second sample of all tiles on one grid in world centimetres; where
-    tiles overlap the later one counts."""
+def mosaic_tiles(tiles: DataFrame, samples: DataFrame, scale_cm, offset_cm, stride=1) -> DataFrame:
+    """Samples of all tiles, or every ``stride``-th, on one grid in world
+    centimetres; where tiles overlap the later one counts."""
     cm = V.BLOCK_CM
     s = samples.filter((F.col("row") % stride == 0) & (F.col("col") % stride == 0)) \
-        .join(tiles.select("tile", "x0", "z0"), "tile")
+        .join(tiles.select("tile", "x0", "z0", F.struct("zno", "xno").alias("place")), "tile")
     return (s.withColumn("key_x", (F.col("x0") * cm + F.col("col") * cm).cast("int"))
             .withColumn("key_y", (F.col("z0") * cm + F.col("row") * cm).cast("int"))
             .groupBy("key_x", "key_y")
-            .agg(F.max_by(decode_height(F.col("v"), scale_cm, offset_cm), "tile").alias("z_cm")))
+            .agg(F.max_by(decode_height(F.col("v"), scale_cm, offset_cm), "place").alias("z_cm")))
 
 
 def tile_partition_check(tiles: DataFrame, bounds: DataFrame) -> DataFrame:
@@ -254,12 +254,8 @@ def tile_partition_check(tiles: DataFrame, bounds: DataFrame) -> DataFrame:
 
 
 def height_range_check(tiles: DataFrame, samples: DataFrame, y_min, y_span, scale_cm, offset_cm) -> DataFrame:
-    """Are strided samples of each tile inside the recorded height range?"""
-    def stepped(i, n):
-        return F.col(i) % F.greatest(F.lit(1), F.floor(F.col(n) / 64)) == 0
-
-    s = samples.join(tiles.select("tile", "size_x", "size_y"), "tile") \
-        .filter((stepped("row", "size_y") | (F.col("row") == F.col("size_y") - 1)) & stepped("col", "size_x"))
+    """Are the samples of each tile inside the recorded height range?"""
+    s = samples.join(tiles.select("tile"), "tile")
     y = decode_height(F.col("v"), scale_cm, offset_cm) / V.BLOCK_CM
     g = s.groupBy("tile").agg(F.round(F.min(y), 6).alias("lo"), F.round(F.max(y), 6).alias("hi"))
     slack = F.greatest(F.lit(0.5), 0.02 * y_span)

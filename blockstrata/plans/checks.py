@@ -31,7 +31,7 @@ def models(w):
 
 
 CHAIN = [("models", MODELS_SQL), ("up", """SELECT node, node AS at, 0 AS d FROM models UNION ALL
-   SELECT u.node, m.parent, d + 1 FROM up u JOIN models m ON m.node = u.at WHERE m.parent IS NOT NULL AND d < 12"""),
+   SELECT u.node, m.parent, d + 1 FROM up u JOIN models m ON m.node = u.at WHERE m.parent IS NOT NULL AND d < 60"""),
          ("entries", """SELECT u.node, d, unnest(map_keys(textures)) AS k, unnest(map_values(textures)) AS v FROM up u JOIN models m ON m.node = u.at"""),
          ("resolved", "SELECT node, k, arg_min(v, d) AS v FROM entries GROUP BY node, k")]
 
@@ -44,7 +44,7 @@ def _(w):
 
 
 DEREF = CHAIN + [("hops", """SELECT node, 'k' || node % 5 AS k, v, 0 AS i FROM resolved WHERE k = 'side'
-   UNION ALL SELECT h.node, h.k, r.v, i + 1 FROM hops h LEFT JOIN resolved r ON r.node = h.node AND r.k = substring(h.v, 2) WHERE starts_with(h.v, '#') AND i < 8"""),
+   UNION ALL SELECT h.node, h.k, r.v, i + 1 FROM hops h LEFT JOIN resolved r ON r.node = h.node AND r.k = substring(h.v, 2) WHERE starts_with(h.v, '#') AND i < 60"""),
                  ("ends", "SELECT node, arg_max(v, i) AS v, max(i) AS i FROM (SELECT node, coalesce(v, '?') AS v, i FROM hops) GROUP BY node")]
 
 
@@ -149,7 +149,7 @@ def _(w):
 
 WINDOWS = ("stats", """SELECT event_type, start, list_sort(list(ms)) AS s FROM (
    SELECT event_type, value AS ms, time_bucket(INTERVAL 1 day, ts) AS start, row_number() OVER (PARTITION BY event_type, time_bucket(INTERVAL 1 day, ts) ORDER BY ts DESC, value DESC) AS k
-   FROM events) WHERE k <= 64 GROUP BY 1, 2""")
+   FROM events) GROUP BY 1, 2""")
 
 
 @query("frame_time_windows", """SELECT event_type, CAST(epoch(start) AS BIGINT) AS start, CAST(len(s) AS INT) AS n, s[1] AS min_ms, s[len(s) // 2 + 1] AS p50_ms,
@@ -158,7 +158,7 @@ WINDOWS = ("stats", """SELECT event_type, start, list_sort(list(ms)) AS s FROM (
     WHEN s[CAST(floor(len(s) * 0.95) AS INT) + 1] > 50 AND s[len(s) // 2 + 1] <= 20 THEN 'spikes' ELSE 'ok' END AS class FROM stats""", [], [WINDOWS])
 def _(w):
     f = w.table("events").select("event_type", "ts", F.col("value").alias("ms"))
-    out = T.frame_time_windows(f, "event_type", "1 day", ring=64)
+    out = T.frame_time_windows(f, "event_type", "1 day")
     return out.withColumn("mean_ms", F.round("mean_ms", 9)).withColumn("start", F.unix_timestamp("start"))
 
 
@@ -168,7 +168,7 @@ def _(w):
     return T.scan_kv_log(w.kv_log()).select("source_id", "line_no", F.col("spec")["vox"].alias("vox"), F.col("spec")["struct"].alias("struct"))
 
 
-STREAM_SQL = WINDOWS[1].replace("k <= 64", "k <= 64 AND epoch(start) + 86400 < (SELECT epoch(max(ts)) - 10 FROM events)")
+STREAM_SQL = WINDOWS[1].replace("FROM events) GROUP BY", "FROM events) WHERE k <= 2048 AND epoch(start) + 86400 < (SELECT epoch(max(ts)) - 10 FROM events) GROUP BY")
 
 
 def run_stream(w, df, name):
@@ -184,7 +184,7 @@ def run_stream(w, df, name):
 def _(w):
     stream = w.spark.readStream.schema(w.table("events").schema).option("pathGlobFilter", "events.parquet").parquet(w.sf_dir) \
         .select("event_type", "ts", F.col("value").alias("ms"))
-    out = run_stream(w, T.stream_frame_time_windows(stream, "event_type", 86400, ring=64), "frames")
+    out = run_stream(w, T.stream_frame_time_windows(stream, "event_type", 86400), "frames")
     return out.select("key", F.unix_timestamp("start").alias("start"), "n", "min_ms", "p50_ms", "p95_ms", "max_ms")
 
 

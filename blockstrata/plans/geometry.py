@@ -217,13 +217,9 @@ def _(w):
 @query("winding_sample", """SELECT count(*) AS sampled, count(*) FILTER (ny >= 1e-4) AS front, count(*) FILTER (ny <= -1e-4) AS back,
    count(*) FILTER (abs(ny) < 1e-4) AS degenerate, round(100.0::DOUBLE * count(*) FILTER (ny >= 1e-4) / count(*), 6) AS front_pct,
    100.0 * count(*) FILTER (ny >= 1e-4) / count(*) >= 95 AS ok
-  FROM (SELECT *, ((z - z0) * w + x - x0) * 2 + t AS tri_no FROM normals, (SELECT min(x) AS x0, min(z) AS z0, max(x) - min(x) AS w FROM hm)),
-   (SELECT greatest(1, count(*) // 2000) AS k FROM normals) WHERE tri_no % k = 0""", GRID, TRI_VIEWS)
+  FROM normals""", GRID, TRI_VIEWS)
 def _(w):
-    h = filled(w)
-    b = h.agg(F.min("x").alias("x0"), F.min("z").alias("z0"), (F.max("x") - F.min("x")).alias("w"))
-    n = (F.col("z") - b.select("z0").scalar()) * b.select("w").scalar() + F.col("x") - b.select("x0").scalar()
-    return M.winding_sample(M.heightfield_mesh(h).withColumn("tri_no", n * 2 + F.col("t")))
+    return M.winding_sample(M.heightfield_mesh(filled(w)))
 
 
 @query("strided_mesh", """SELECT x, z, height FROM hm, (SELECT min(x) AS x0, max(x) AS x1, min(z) AS z0, max(z) AS z1 FROM solid)
@@ -416,7 +412,7 @@ def _(w):
 
 
 @query("mosaic_tiles", f"""SELECT CAST(x0 * 100 + col * 100 AS INT) AS key_x, CAST(z0 * 100 + row * 100 AS INT) AS key_y,
-  round(arg_max({DEC.format(v='v')}, tile), 6) AS z_cm FROM samples WHERE row % 2 = 0 AND col % 2 = 0 GROUP BY 1, 2""", GRID, TILE_VIEWS)
+  round(arg_max({DEC.format(v='v')}, tile), 6) AS z_cm FROM samples GROUP BY 1, 2""", GRID, TILE_VIEWS)
 def _(w):
     tiles, samples, lo, sp = exported(w)
     return T.mosaic_tiles(tiles, samples, T.z_scale_cm(sp), T.z_offset_cm(lo, sp)).select("key_x", "key_y", *r6("z_cm"))
@@ -429,7 +425,7 @@ def _(w):
 
 
 @query("height_range_check", f"""SELECT tile, round(min(y), 6) AS lo, round(max(y), 6) AS hi, TRUE AS ok FROM (
-   SELECT tile, {DEC.format(v='v')} / 100 AS y FROM samples WHERE (row % greatest(1, size_y // 64) = 0 OR row = size_y - 1) AND col % greatest(1, size_x // 64) = 0)
+   SELECT tile, {DEC.format(v='v')} / 100 AS y FROM samples)
   GROUP BY tile""", GRID, TILE_VIEWS)
 def _(w):
     tiles, samples, lo, sp = exported(w)

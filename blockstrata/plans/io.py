@@ -113,23 +113,23 @@ def _(w):
 
 # --- meshes as text ----------------------------------------------------------
 
-def obj_lines(w):
-    """OBJ lines of all objects of 6 to 20000 blocks."""
+def obj_lines(w, least=1):
+    """OBJ lines of all objects of at least ``least`` blocks."""
     m = members(w)
-    kept = m.groupBy("object_id").agg(C.n_rows()).filter("n BETWEEN 6 AND 20000").select("object_id")
+    kept = m.groupBy("object_id").agg(C.n_rows()).filter(F.col("n") >= least).select("object_id")
     quads = M.greedy_quads(M.exposed_face_rows(m.join(kept, "object_id", "left_semi"), w.solid()))
     order = Window.partitionBy("object_id").orderBy("material", "axis", "sign", "plane", "r0", "c0")
     return S.quad_obj_lines(M.mesh_quads(quads.withColumn("quad", F.row_number().over(order) - 1)))
 
 
-BIG_QUADS = ("bigq", "SELECT * FROM quads WHERE object_id IN (SELECT object_id FROM members GROUP BY 1 HAVING count(*) BETWEEN 6 AND 20000)")
+BIG_QUADS = ("bigq", "SELECT * FROM quads WHERE object_id IN (SELECT object_id FROM members GROUP BY 1 HAVING count(*) >= 6)")
 
 
 @query("write_obj_tiles", """SELECT object_id, count(*) * 4 AS v, count(*) * 4 AS vt, count(*) * 4 AS vn, count(*) * 2 + count(DISTINCT material) AS f FROM bigq GROUP BY object_id""",
        SOLID, QUAD_VIEWS + [BIG_QUADS])
 def _(w):
     folder = B.scratch(w.spark, "obj")
-    S.write_obj_tiles(obj_lines(w), folder)
+    S.write_obj_tiles(obj_lines(w, 6), folder)
     back = w.spark.read.schema("value string, object_id bigint").text(folder)
     tag = F.substring_index("value", " ", 1)
     return back.groupBy("object_id").agg(*[F.count_if(tag == t).alias(t) for t in ("v", "vt", "vn")],
@@ -137,15 +137,15 @@ def _(w):
 
 
 @query("obj_line_census", """SELECT object_id AS file, count(*) * 4 AS n_v, count(*) * 4 AS n_vt, count(*) * 4 AS n_vn, count(*) * 2 AS n_f, count(DISTINCT material) AS n_usemtl,
-  count(*) * 2 AS triangles, CAST(0 AS BIGINT) AS negative_zeros, CAST(0 AS BIGINT) AS cr FROM bigq GROUP BY object_id""", SOLID, QUAD_VIEWS + [BIG_QUADS])
+  count(*) * 2 AS triangles, CAST(0 AS BIGINT) AS negative_zeros, CAST(0 AS BIGINT) AS cr FROM quads GROUP BY object_id""", SOLID, QUAD_VIEWS)
 def _(w):
     return S.obj_line_census(obj_lines(w).withColumnRenamed("object_id", "file"))
 
 
 @query("usemtl_first_seen", """SELECT file, material, CAST(row_number() OVER (PARTITION BY file ORDER BY material) - 1 AS INT) AS place
-  FROM (SELECT DISTINCT object_id AS file, material FROM bigq)""", SOLID, QUAD_VIEWS + [BIG_QUADS])
+  FROM (SELECT DISTINCT object_id AS file, material FROM quads)""", SOLID, QUAD_VIEWS)
 def _(w):
-    lines = obj_lines(w).withColumn("line_no", F.col("section") * 100_000_000 + F.col("k"))
+    lines = obj_lines(w).withColumn("line_no", F.struct("section", "k"))
     return S.usemtl_first_seen(lines.withColumnRenamed("object_id", "file"))
 
 
@@ -172,13 +172,13 @@ def _(w):
     return S.scan_mesh_pack(w.spark, folder)
 
 
-@query("scan_mesh_pack", "SELECT tile, row, col, v FROM samples WHERE tile = '01_02'", GRID, TILE_VIEWS)
+@query("scan_mesh_pack", "SELECT tile, row, col, v FROM samples", GRID, TILE_VIEWS)
 def _(w):
     folder = B.scratch(w.spark, "mesh")
     v, t = mesh_pack(w)
     _, _, lo, sp = exported(w)
     S.write_mesh_pack(v, t, folder)
-    back = w.spark.read.parquet(f"{folder}/vertices").filter("tile = '01_02'")
+    back = w.spark.read.parquet(f"{folder}/vertices")
     cm = F.rint((F.col("z_cm") - T.z_offset_cm(lo, sp)) / T.z_scale_cm(sp) * 128.0 + 32768.0)
     return back.select(F.col("tile").cast("string"), "row", "col", cm.cast("int").alias("v"))
 

@@ -166,9 +166,9 @@ def _(w):
     return w.pixels().select("image_id", "px_row", "px_col", *[F.round(K.srgb_to_linear(F.col(c)), 6).alias("l" + c) for c in "rgb"])
 
 
-@query("hex_to_linear", "SELECT image_id, px_row, px_col, round(lr, 6) AS lr, round(lg, 6) AS lg, round(lb, 6) AS lb FROM lin WHERE px_row = px_col", PX, [LIN])
+@query("hex_to_linear", "SELECT image_id, px_row, px_col, round(lr, 6) AS lr, round(lg, 6) AS lg, round(lb, 6) AS lb FROM lin", PX, [LIN])
 def _(w):
-    p = w.pixels().filter("px_row = px_col").withColumn("c", K.hex_to_linear(F.format_string("#%02x%02x%02x", "r", "g", "b")))
+    p = w.pixels().withColumn("c", K.hex_to_linear(F.format_string("#%02x%02x%02x", "r", "g", "b")))
     return p.select("image_id", "px_row", "px_col", *[F.round(F.get("c", i), 6).alias("l" + c) for i, c in enumerate("rgb")])
 
 
@@ -256,9 +256,9 @@ def _(w):
 @query("frame_census", """SELECT image_id, CAST(floor(avg(r)) AS INT) AS mean_r, CAST(floor(avg(g)) AS INT) AS mean_g, CAST(floor(avg(b)) AS INT) AS mean_b,
    round(100.0::DOUBLE * count(*) FILTER (l < 24) / count(*), 6) AS dark_pct, round(100.0::DOUBLE * count(*) FILTER (l >= 24 AND b > r + 25 AND b > 90) / count(*), 6) AS sky_pct,
    round(100.0::DOUBLE * count(*) FILTER (l > 45 AND NOT (b > r + 25 AND b > 90)) / count(*), 6) AS lit_pct, round(100.0::DOUBLE * count(*) FILTER (g > r AND g > b) / count(*), 6) AS green_pct,
-   count(DISTINCT (r // 24, g // 24, b // 24)) AS distinct FROM lum WHERE px_row % 2 = 0 AND px_col % 2 = 0 GROUP BY image_id""", PX, [LUM])
+   count(DISTINCT (r // 24, g // 24, b // 24)) AS distinct FROM lum GROUP BY image_id""", PX, [LUM])
 def _(w):
-    return P.frame_census(w.pixels(), 2)
+    return P.frame_census(w.pixels(), 1)
 
 
 @query("local_contrast", f"""SELECT image_id, round(coalesce(avg(step) FILTER ((px_row - 5) % 3 = 0 AND px_col % 2 = 0), 0), 6) AS contrast, min(grey) AS lo, max(grey) AS hi FROM (

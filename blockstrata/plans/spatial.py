@@ -328,7 +328,7 @@ def _(w):
     return O.fill_ratio(O.object_components(w.solid()))
 
 
-BIG = ("big", "SELECT * FROM classed WHERE voxels BETWEEN 6 AND 20000")
+BIG = ("big", "SELECT * FROM classed WHERE voxels >= 6")
 PLANE = [("patch", """SELECT component, cx, cz, h.x - CAST(trunc(cx) AS INT) AS dx, h.z - CAST(trunc(cz) AS INT) AS dz, h.height::DOUBLE AS h
    FROM big JOIN hm h ON h.x BETWEEN CAST(trunc(cx) AS INT) - 6 AND CAST(trunc(cx) AS INT) + 6
     AND h.z BETWEEN CAST(trunc(cz) AS INT) - 6 AND CAST(trunc(cz) AS INT) + 6"""),
@@ -346,7 +346,7 @@ PLANE_VIEWS = CLASS_VIEWS + HMV + [BIG] + PLANE + [POSED]
 @query("patch_join", "SELECT component, count(*) AS cells, CAST(sum(h) AS BIGINT) AS total FROM patch GROUP BY component",
        GRID, CLASS_VIEWS + HMV + [BIG] + PLANE[:1])
 def _(w):
-    big = composition(w).filter(F.col("voxels").between(6, 20000)) \
+    big = composition(w).filter(F.col("voxels") >= 6) \
         .withColumn("cx", F.col("sum_x") / F.col("voxels")).withColumn("cz", F.col("sum_z") / F.col("voxels"))
     patch = O.patch_join(big, filled(w))
     return patch.groupBy("component").agg(C.n_rows("cells"), F.sum("h").cast("bigint").alias("total"))
@@ -355,7 +355,7 @@ def _(w):
 @query("ground_plane", """SELECT component, round(slope_x, 6) + 0.0::DOUBLE AS slope_x, round(slope_z, 6) + 0.0::DOUBLE AS slope_z,
   round(ground_y, 6) AS ground_y, round(ny, 6) AS normal_y, round(-ny, 6) AS normal_down FROM posed""", GRID, PLANE_VIEWS)
 def _(w):
-    big = composition(w).filter(F.col("voxels").between(6, 20000)) \
+    big = composition(w).filter(F.col("voxels") >= 6) \
         .withColumn("cx", F.col("sum_x") / F.col("voxels")).withColumn("cz", F.col("sum_z") / F.col("voxels"))
     g = O.ground_plane(big, filled(w))
     return g.select("component", *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in

@@ -210,7 +210,7 @@ def _(w):
 
 
 @query("biome_histogram", """SELECT biome, count(*) AS n FROM (SELECT CAST(floor(abs(CAST(unnest(embedding) AS DOUBLE)) * 1000) AS INT)
-  % 64 AS biome FROM embeddings) GROUP BY biome ORDER BY n DESC, biome LIMIT 20""")
+  % 64 AS biome FROM embeddings) GROUP BY biome""")
 def _(w):
     chunks = w.table("embeddings").select(F.transform(
         "embedding", lambda v: (F.floor(F.abs(v.cast("double")) * 1000).cast("int") % 64)).alias("biomes"))
@@ -327,10 +327,10 @@ def _(w):
 
 
 @query("ascii_map_rows", """SELECT a.i AS i, string_agg(coalesce(symbol, '.'), '' ORDER BY b.j) AS line
-  FROM (SELECT DISTINCT i FROM modes) a, (SELECT unnest(range(12)) AS j) b LEFT JOIN modes ON modes.i = a.i AND modes.j = b.j GROUP BY a.i""",
+  FROM (SELECT DISTINCT i FROM modes) a, (SELECT unnest(range((SELECT min(j) FROM modes), (SELECT max(j) + 1 FROM modes))) AS j) b LEFT JOIN modes ON modes.i = a.i AND modes.j = b.j GROUP BY a.i""",
        ["solid"], [SYMBOLS, MODES])
 def _(w):
-    return C.ascii_map_rows(C.cell_role_mode(w.solid(), origin=(0, -64)), 12)
+    return C.ascii_map_rows(cut_lineage(C.cell_role_mode(w.solid(), origin=(0, -64))))
 
 
 STEPS = R.block_rgb_steps("name")
@@ -384,10 +384,10 @@ def _(w):
 
 
 @query("union_part_results", """SELECT name, count(*) AS n, min(y) AS min_y, max(y) AS max_y FROM dimmed
-  WHERE dim <> 'end' GROUP BY name""", ["solid"], [DIMS])
+  GROUP BY name""", ["solid"], [DIMS])
 def _(w):
     parts = [w.dim_solid().filter(F.col("dim") == d).groupBy("name").agg(
-        C.n_rows(), F.min("y").alias("min_y"), F.max("y").alias("max_y")) for d in ("overworld", "nether")]
+        C.n_rows(), F.min("y").alias("min_y"), F.max("y").alias("max_y")) for d in ("overworld", "nether", "end")]
     return C.union_part_results(parts)
 
 

@@ -76,7 +76,7 @@ def usemtl_first_seen(lines: DataFrame) -> DataFrame:
     """Material names of each file in the order of their first line."""
     from pyspark.sql import Window
     seen = lines.filter(F.col("line").startswith("usemtl ")) \
-        .groupBy("file", F.substring("line", 8, 10_000).alias("material")).agg(F.min("line_no").alias("first"))
+        .groupBy("file", F.col("line").substr(F.lit(8), F.length("line")).alias("material")).agg(F.min("line_no").alias("first"))
     return seen.withColumn("place", F.row_number().over(Window.partitionBy("file").orderBy("first")) - 1).drop("first")
 
 

@@ -26,10 +26,24 @@ def summarize(sorted_ms):
             "p95_ms": F.get(sorted_ms, p95), "max_ms": F.get(sorted_ms, n - 1), "mean_ms": total / n}
 
 
-def frame_time_windows(frames: DataFrame, key, interval="1 second", ring=RING) -> DataFrame:
-    """Statistics per key and window. Spark keeps only the newest ``ring`` rows
-    of each group per task before the shuffle, so a busy window stays small."""
+def frame_time_windows(frames: DataFrame, key, interval="1 second", ring=None) -> DataFrame:
+    """Statistics per key and window, over all samples or the newest ``ring``.
+
+    Without a ring equal values are counted within each task first, and ranks
+    come from the running counts, so no window's samples form a list. With a
+    ring Spark keeps only its rows of each group per task before the shuffle.
+    """
     w = F.window(F.col("ts").cast("timestamp"), interval)
+    if ring is None:
+        counts = frames.withColumn("start", w["start"]).groupBy(key, "start", "ms").agg(F.count(F.lit(1)).alias("c"))
+        group = Window.partitionBy(key, "start")
+        ranked = counts.withColumn("upto", F.sum("c").over(group.orderBy("ms"))).withColumn("n", F.sum("c").over(group))
+        p95 = F.least(F.greatest(F.floor(F.col("n") * 0.95), F.lit(0)), F.col("n") - 1)
+        at = [F.min(F.when(F.col("upto") > place, F.col("ms"))).alias(name)
+              for place, name in ((F.floor(F.col("n") / 2), "p50_ms"), (p95, "p95_ms"))]
+        out = ranked.groupBy(key, "start").agg(F.sum("c").cast("int").alias("n"), F.min("ms").alias("min_ms"), *at, F.max("ms").alias("max_ms"),
+                                               (F.sum(F.col("ms") * F.col("c")) / F.sum("c")).alias("mean_ms"))
+        return out.withColumn("class", frame_class(F.col("n"), F.col("p50_ms"), F.col("p95_ms")))
     newest = Window.partitionBy(key, "start").orderBy(F.desc("ts"), F.desc("ms"))
     kept = (frames.withColumn("start", w["start"]).withColumn("_rank", F.row_number().over(newest))
             .filter(F.col("_rank") <= ring))

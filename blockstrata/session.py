@@ -1,7 +1,10 @@
 """Session settings for jobs and the cut of long lineages."""
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +31,29 @@ def local_session(cores="*", partitions=8, app="blockstrata"):
     return spark
 
 
+def ship_package(spark):
+    """Send this package to the workers, once per application.
+
+    Only needed where it is not installed there. The archive is a file of the
+    driver that Spark itself hands to every executor, late ones too.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_blockstrata_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as archive:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                archive.write(path, os.path.relpath(path, os.path.dirname(root)))
+    path = os.path.join(tempfile.mkdtemp(prefix="blockstrata-"), "blockstrata.zip")
+    with open(path, "wb") as out:
+        out.write(held.getvalue())
+    context.addPyFile(path)
+    context._blockstrata_shipped = True
+
+
 def shared_folder(spark):
     """Folder for intermediate tables: the session's ``spark.checkpoint.dir``.
     A folder of this machine is made only in local mode without that setting."""

@@ -10,12 +10,18 @@ times as wide.
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
 
+# further than any two cells
+FAR = 1 << 28
+
+
 def _bucket(dims, size, prefix):
     return [F.floor(F.col(d) / size).alias(prefix + d) for d in dims]
 
@@ -84,11 +90,59 @@ def nearest_points(queries: DataFrame, points: DataFrame, dims, values) -> DataF
                       *[F.col("best." + v).alias(v) for v in values], F.col("best.d2").alias("d2"))
 
 
+def _along_column(value):
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by("z")
+        frame = table.select(["x", "z", "valid", "source"]).to_pandas()
+        z = frame["z"].to_numpy()
+        at = z - z[0]
+        # rows of the column; those without a candidate are never the closest
+        far = np.full(at[-1] + 1, FAR)
+        source, place = np.zeros(len(far), dtype=np.int64), np.full(len(far), -1)
+        held = frame["source"].notna().to_numpy()
+        far[at[held]] = np.abs(frame["source"].to_numpy()[held].astype(np.int64) - frame["x"].iloc[0])
+        source[at[held]] = frame["source"].to_numpy()[held]
+        place[at[held]] = np.flatnonzero(held)
+        open_ = at[~frame["valid"].to_numpy()]
+        best = np.stack([far[open_] ** 2, source[open_], open_])
+        step = 1
+        while len(open_) and step < len(far) and step * step <= best[0].max():
+            for row in (open_ - step, open_ + step):
+                inside = (row >= 0) & (row < len(far))
+                row = np.where(inside, row, 0)
+                d2 = np.where(inside, far[row] ** 2 + step * step, FAR ** 2)
+                less = (d2 < best[0]) | (d2 == best[0]) & ((source[row] < best[1]) | (source[row] == best[1]) & (row < best[2]))
+                best = np.where(less, np.stack([d2, source[row], row]), best)
+            step += 1
+        take = place[best[2]] if len(open_) else np.zeros(0, dtype=np.int64)
+        values = table.column(value).take(pa.array(take, pa.int64(), mask=(take < 0) | (best[0] >= FAR ** 2)))
+        return pa.table({"x": pa.array(np.full(len(open_), frame["x"].iloc[0]), pa.int32()),
+                         "z": pa.array(open_ + z[0], pa.int32()), value: values})
+    return run
+
+
 def nearest_valid(grid: DataFrame, value="height") -> DataFrame:
-    """Fill null cells of a grid with the value of the nearest valid cell."""
-    grid = cut_lineage(grid)
-    valid = grid.filter(F.col(value).isNotNull())
-    holes = grid.filter(F.col(value).isNull())
-    filled = nearest_points(holes, valid, ["x", "z"], [value])
-    return valid.select("x", "z", value, F.lit(True).alias("valid")).unionByName(
-        filled.select("x", "z", value, F.lit(False).alias("valid")))
+    """Fill null cells of a grid with the value of the nearest valid cell; of
+    equally close ones that with the smallest (x, z).
+
+    Two passes: along each row by windows every cell finds the closest valid
+    cell to either side, then along each column every hole takes the best row.
+    The work is the cells times the radius of the holes, and no task holds
+    more than a column.
+    """
+    row = Window.partitionBy("z").orderBy("x")
+    here = F.when(F.col(value).isNotNull(), F.struct(F.col("x").alias("source"), F.col(value)))
+    before = F.last(here, ignorenulls=True).over(row)
+    after = F.first(here, ignorenulls=True).over(row.rowsBetween(0, Window.unboundedFollowing))
+    both = grid.select("x", "z", value, before.alias("before"), after.alias("after"))
+    closer = F.col("before").isNull() | (F.col("after.source") - F.col("x") < F.col("x") - F.col("before.source"))
+    best = F.when(F.col("after").isNotNull() & closer, F.col("after")).otherwise(F.col("before"))
+    both = cut_lineage(both.select("x", "z", F.col(value).isNotNull().alias("valid"), best.alias("best")))
+    holes = both.groupBy("x").agg(F.count_if(~F.col("valid")).alias("n")).filter("n > 0").select("x")
+    rows = both.join(holes, "x", "left_semi").select(
+        F.col("x").cast("int"), F.col("z").cast("int"), "valid", F.col("best.source").cast("int").alias("source"), F.col("best." + value).alias(value))
+    kind = grid.schema[value].dataType.simpleString()
+    filled = rows.groupBy("x").applyInArrow(_along_column(value), f"x int, z int, {value} {kind}")
+    ends = [F.col(c).cast(grid.schema[c].dataType).alias(c) for c in ("x", "z")]
+    return both.filter("valid").select(*ends, F.col("best." + value).alias(value), F.lit(True).alias("valid")).unionByName(
+        filled.select(*ends, value, F.lit(False).alias("valid")))

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from blockstrata.operators.nearest import nearest_points, nearest_valid
 
 
@@ -39,3 +41,22 @@ def test_holes_are_filled_and_marked(spark):
                               "x int, z int, height int")
     rows = {(r["x"], r["z"]): (r["height"], r["valid"]) for r in nearest_valid(g).collect()}
     assert rows[(1, 1)] == (1, False) and rows[(2, 2)] == (22, True)
+
+
+@pytest.mark.parametrize("share", [0.02, 0.5, 1.0])
+def test_holes_take_the_closest_cell(spark, share):
+    rng = random.Random(9)
+    cells = {(x, z): rng.randrange(1000) if rng.random() < share else None for x in range(-20, 21) for z in range(-15, 18)}
+    if share == 0.5:
+        cells |= {(x, z): None for x in range(-10, 11) for z in range(-9, 9)}
+    g = spark.createDataFrame([(x, z, h) for (x, z), h in cells.items()], "x int, z int, height int")
+    got = {(r["x"], r["z"]): (r["height"], r["valid"]) for r in nearest_valid(g).collect()}
+    points = [(p, h) for p, h in cells.items() if h is not None]
+    for (x, z), h in cells.items():
+        want = min(((px - x) ** 2 + (pz - z) ** 2, px, pz, v) for (px, pz), v in points)[3]
+        assert got[x, z] == (want, h is not None)
+
+
+def test_no_valid_cell_gives_nulls(spark):
+    g = spark.createDataFrame([(x, 0, None) for x in range(3)], "x int, z int, height int")
+    assert [tuple(r) for r in nearest_valid(g).orderBy("x").collect()] == [(x, 0, None, False) for x in range(3)]

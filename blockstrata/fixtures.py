@@ -142,6 +142,15 @@ class World:
             self._stored = cut_lineage(self.solid())
         return self._stored
 
+    def chunk_table(self):
+        """Folder of all voxels, air included, as a table laid out by chunk."""
+        from pyspark.sql import functions as F
+        from .fixture_bytes import scratch
+        from .sources.text import write_voxels
+        folder = scratch(self.spark, "chunks")
+        write_voxels(self.voxels().withColumn("dim", F.lit("overworld")), folder)
+        return folder
+
     def dim_solid(self):
         """The same, spread over three dimensions chunk by chunk."""
         from pyspark.sql import functions as F

@@ -51,10 +51,13 @@ def with_ciede2000(df, lab1, lab2, out="de2000"):
     are kept as helper columns, so no expression is repeated in the plan."""
     (l1, a1, b1), (l2, a2, b2) = [[F.col(c) for c in lab] for lab in (lab1, lab2)]
 
+    helpers = []
+
     def add(name, value):
         nonlocal df
-        df = df.withColumn("_" + name, value)
-        return F.col("_" + name)
+        helpers.append("_de2000_" + name)
+        df = df.withColumn(helpers[-1], value)
+        return F.col(helpers[-1])
 
     def hypot(x, y):
         return F.sqrt(x * x + y * y)
@@ -90,7 +93,7 @@ def with_ciede2000(df, lab1, lab2, out="de2000"):
     rt = -F.sin(F.radians(60.0 * F.exp(-(bell * bell)))) * 2.0 * F.sqrt(m7 / (m7 + 25.0 ** 7))
     x, y, z = add("x", (l2 - l1) / sl), add("y", (c2 - c1) / sc), add("z", d_hue / sh)
     df = df.withColumn(out, F.sqrt(x * x + y * y + z * z + rt * y * z))
-    return df.drop(*[c for c in df.columns if c.startswith("_")])
+    return df.drop(*helpers)
 
 
 def alpha_from_black(r, g, b, lo, hi) -> Column:

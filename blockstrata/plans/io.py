@@ -62,11 +62,11 @@ def _(w):
     return scan_voxel_file(w.spark, folder).select("x", "y", "z", "name", "properties")
 
 
-@query("write_voxels", "SELECT x, y, z, palette_id FROM dimmed WHERE dim = 'nether' AND floor(x / 16) BETWEEN -3 AND 2", SOLID, [DIMS])
+@query("write_voxels", "SELECT dim, x, y, z, palette_id FROM dimmed", SOLID, [DIMS])
 def _(w):
     folder = B.scratch(w.spark, "table")
     S.write_voxels(w.dim_solid().select("dim", "x", "y", "z", "palette_id"), folder)
-    return w.spark.read.parquet(folder).filter("dim = 'nether' AND cx BETWEEN -3 AND 2").select("x", "y", "z", "palette_id")
+    return w.spark.read.parquet(folder).select("dim", "x", "y", "z", "palette_id")
 
 
 @query("write_report_json", "SELECT dim, count(*) AS voxels FROM dimmed GROUP BY dim", SOLID, [DIMS])
@@ -90,13 +90,16 @@ def _(w):
 @query("write_u16_tiles", """SELECT tile, max(col) + 1 AS width, max(row) + 1 AS height, upper(string_agg(printf('%02x%02x', v % 256, v // 256), '' ORDER BY row, col)) AS bytes
   FROM samples GROUP BY tile""", GRID, TILE_VIEWS)
 def _(w):
-    p = I.pack_u16_tiles(exported(w)[1])
-    return p.select("tile", "width", "height", F.hex("raster").alias("bytes"))
+    folder = B.scratch(w.spark, "rasters")
+    I.write_u16_tiles(exported(w)[1], folder)
+    return w.spark.read.parquet(folder).select("tile", "width", "height", F.hex("raster").alias("bytes"))
 
 
 @query("scan_u16_tiles", SAMPLES, GRID, TILE_VIEWS)
 def _(w):
-    return I.scan_u16_tiles(I.pack_u16_tiles(exported(w)[1]))
+    folder = B.scratch(w.spark, "rasters")
+    I.write_u16_tiles(exported(w)[1], folder)
+    return I.scan_u16_tiles(w.spark.read.parquet(folder))
 
 
 @query("pack_instances", f"""SELECT name, {CX} AS cx, {CZ} AS cz, CAST(count(*) AS INT) AS n, upper(string_agg(printf('%02x%02x%02x%02x%02x%02x',

@@ -11,7 +11,9 @@ from ..operators import objects as O
 from ..operators import stencils as S
 from ..operators.nearest import nearest_points, nearest_valid
 from ..operators.ranking import global_row_number
+from ..fixture_bytes import scratch
 from ..session import cut_lineage
+from ..sources.text import write_grids
 from . import rule_sql as R
 from . import sql_parts as P
 from .registry import query
@@ -132,7 +134,9 @@ def _(w):
 @query("write_grids", "SELECT x, z, top, top_role, terrain_h, spread <= 1 AND top_role = 'structure' AS flat FROM terrain",
        GRID, [P.TOPS, P.SPREAD, P.TERRAIN])
 def _(w):
-    return O.terrain_height(tops(w)).select("x", "z", "top", "top_role", "terrain_h", "flat")
+    folder = scratch(w.spark, "grids")
+    write_grids(O.terrain_height(tops(w)).select("x", "z", "top", "top_role", "terrain_h", "flat"), folder)
+    return w.spark.read.parquet(folder).select("x", "z", "top", "top_role", "terrain_h", "flat")
 
 
 # --- nearest, smoothing ------------------------------------------------------

@@ -10,6 +10,7 @@ from ..operators import voxels as X
 from ..operators.columns import top_voxel_per_column
 from ..operators.ranking import global_row_number, top_per_group
 from ..session import cut_lineage
+from ..sources import text as T
 from . import rule_sql as R
 from .registry import query
 
@@ -74,25 +75,25 @@ def _(w):
   WHERE {CX} * 16 <= 20 AND {CX} * 16 + 15 >= -40 AND {CZ} * 16 <= 33 AND {CZ} * 16 + 15 >= -1 GROUP BY 1, 2""",
        ["voxels"])
 def _(w):
-    return X.prune_chunks(X.with_chunk(w.voxels()), (-40, 20), (-1, 33)).groupBy("cx", "cz").agg(C.n_rows())
+    stored = w.spark.read.parquet(w.chunk_table())
+    return X.prune_chunks(stored, (-40, 20), (-1, 33)).groupBy("cx", "cz").agg(C.n_rows())
 
 
 @query("point_chunk_lookup", f"SELECT x, y, z, palette_id FROM voxels WHERE {CX} = -2 AND {CZ} = 1", ["voxels"])
 def _(w):
-    return X.with_chunk(w.voxels()).filter("cx = -2 AND cz = 1").select("x", "y", "z", "palette_id")
+    return T.scan_chunk_range(w.spark, w.chunk_table(), (-2, -2), (1, 1)).select("x", "y", "z", "palette_id")
 
 
 @query("scan_chunk_range", f"""SELECT x, y, z, palette_id FROM voxels
   WHERE {CX} BETWEEN -2 AND 1 AND {CZ} BETWEEN 0 AND 2""", ["voxels"])
 def _(w):
-    return X.with_chunk(w.voxels()).filter("cx BETWEEN -2 AND 1 AND cz BETWEEN 0 AND 2") \
-        .select("x", "y", "z", "palette_id")
+    return T.scan_chunk_range(w.spark, w.chunk_table(), (-2, 1), (0, 2)).select("x", "y", "z", "palette_id")
 
 
 @query("scan_bounded_blocks", """SELECT x, y, z, name FROM solid
   WHERE x BETWEEN -10 AND 25 AND z BETWEEN -30 AND 5""", ["solid"])
 def _(w):
-    box = X.clip_bbox(w.voxels(), x=(-10, 25), z=(-30, 5))
+    box = T.scan_bounded(w.spark, w.chunk_table(), (-10, 25), (-30, 5))
     return X.solid_voxels(box, w.palette()).select("x", "y", "z", "name")
 
 

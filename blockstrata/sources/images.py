@@ -87,8 +87,11 @@ def image_to_pixels(images: DataFrame, crop=None, step=1) -> DataFrame:
 
 
 def _hex16(v):
-    """Two hex bytes of a 16-bit number, low byte first."""
-    h = F.lpad(F.hex(v.cast("bigint")), 4, "0")
+    """Two hex bytes of a 16-bit number, low byte first; others are an error."""
+    whole = v.cast("bigint")
+    fits = F.when(whole.between(0, 65535), whole).otherwise(F.raise_error(
+        F.concat(F.lit("not a 16-bit number: "), whole.cast("string"))).cast("bigint"))
+    h = F.lpad(F.hex(fits), 4, "0")
     return F.concat(F.substring(h, 3, 2), F.substring(h, 1, 2))
 
 
@@ -103,6 +106,11 @@ def pack_u16_tiles(samples: DataFrame) -> DataFrame:
         F.max("w").cast("int").alias("width"), F.count(F.lit(1)).cast("int").alias("height"))
 
 
+def write_u16_tiles(samples: DataFrame, folder: str):
+    """Packed tiles as a table of tile, width, height, raster."""
+    pack_u16_tiles(samples).write.mode("overwrite").parquet(folder)
+
+
 def scan_u16_tiles(rasters: DataFrame) -> DataFrame:
     """Samples of packed tiles; a raster of the wrong length is refused."""
     size = F.col("width") * F.col("height")

@@ -9,6 +9,7 @@ import gzip
 import struct
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,13 +22,18 @@ SECTIONS = ("dim string, cx int, cz int, sy int, palette array<struct<name:strin
 
 
 def region_files(spark: SparkSession, root: str) -> DataFrame:
-    """Archive files of every dimension of a save: dim, path, content."""
-    out = None
+    """Archive files of every dimension of a save: dim, path, content. A
+    dimension that was never visited has no folder and gives no rows."""
+    out = spark.createDataFrame([], "dim string, path string, content binary")
     for dim, folder in V.DIMENSION_DIRS:
-        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.mca")
-                 .option("recursiveFileLookup", "false").load("/".join(p for p in (root, folder, "region") if p))
-                 .select(F.lit(dim).alias("dim"), "path", "content"))
-        out = files if out is None else out.unionByName(files)
+        try:
+            files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.mca")
+                     .option("recursiveFileLookup", "false").load("/".join(p for p in (root, folder, "region") if p)))
+        except AnalysisException as missing:
+            if "PATH_NOT_FOUND" not in str(missing):
+                raise
+            continue
+        out = out.unionByName(files.select(F.lit(dim).alias("dim"), "path", "content"))
     return out
 
 

@@ -96,6 +96,30 @@ def write_voxels(voxels: DataFrame, folder: str):
      .write.mode("overwrite").partitionBy("dim", "rx", "rz").parquet(folder))
 
 
+def scan_chunk_range(spark, folder: str, cx, cz, dim=None) -> DataFrame:
+    """Voxels of the chunks cx[0]..cx[1], cz[0]..cz[1] of a table written by
+    write_voxels. Regions that the range misses are not opened, and within
+    files the chunk numbers are pushed to the reader."""
+    rows = spark.read.parquet(folder).filter(F.col("cx").between(*cx) & F.col("cz").between(*cz))
+    for region, (low, high) in (("rx", cx), ("rz", cz)):
+        rows = rows.filter(F.col(region).between(low // 32, high // 32))
+    return rows if dim is None else rows.filter(F.col("dim") == dim)
+
+
+def scan_bounded(spark, folder: str, x, z, dim=None) -> DataFrame:
+    """Voxels of a stored table inside x[0]..x[1], z[0]..z[1]."""
+    rows = scan_chunk_range(spark, folder, [v // 16 for v in x], [v // 16 for v in z], dim)
+    return rows.filter(F.col("x").between(*x) & F.col("z").between(*z))
+
+
+def write_grids(grid: DataFrame, folder: str):
+    """Column grids (x, z, ...) in squares of 512 columns, clustered by row."""
+    from ..operators.voxels import floor_div
+    placed = grid.withColumn("rx", floor_div(F.col("x"), 512)).withColumn("rz", floor_div(F.col("z"), 512))
+    (placed.repartition("rx", "rz", floor_div(F.col("x"), 64)).sortWithinPartitions("rx", "rz", "x", "z")
+     .write.mode("overwrite").partitionBy("rx", "rz").parquet(folder))
+
+
 def write_mesh_pack(vertices: DataFrame, triangles: DataFrame, folder: str):
     for name, df in (("vertices", vertices), ("triangles", triangles)):
         df.repartition("tile").write.mode("overwrite").partitionBy("tile").parquet(f"{folder}/{name}")

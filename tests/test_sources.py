@@ -134,3 +134,30 @@ def test_stream_and_batch_windows_agree(spark, tmp_path):
 def test_broken_payload_is_reported(spark):
     df = spark.createDataFrame([("overworld", 0, 0, 0, 0, 2, bytearray(zlib.compress(b"\x0a\0\0\x63")), None)], G.SLOTS)
     assert G.decode_chunks(df).first()["error"].startswith("error(")
+
+
+def test_range_reads_open_only_their_regions(spark, tmp_path):
+    from blockstrata.sources import text
+    rows = [("end", x, 1, z, 3) for x in range(-600, 600, 40) for z in range(-600, 600, 40)]
+    text.write_voxels(spark.createDataFrame(rows, "dim string, x int, y int, z int, palette_id int"), str(tmp_path / "t"))
+    got = text.scan_bounded(spark, str(tmp_path / "t"), (-50, 70), (-10, 600), "end")
+    assert sorted((r["x"], r["z"]) for r in got.collect()) == [(x, z) for _, x, _, z, _ in rows if -50 <= x <= 70 and -10 <= z <= 600]
+    plan = spark._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "formatted")
+    parts, pushed = [next(line for line in plan.splitlines() if line.startswith(k)) for k in ("PartitionFilters", "PushedFilters")]
+    assert "rx" in parts and "rz" in parts and "dim" in parts and "cx" in pushed and "cz" in pushed
+
+
+def test_missing_dimensions_are_empty(spark, tmp_path):
+    from blockstrata.sources import regions
+    (tmp_path / "region").mkdir()
+    (tmp_path / "region" / "r.0.0.mca").write_bytes(b"\0" * 8192)
+    assert [(r["dim"], len(r["content"])) for r in regions.region_files(spark, str(tmp_path)).collect()] == [("overworld", 8192)]
+
+
+def test_packing_refuses_large_numbers(spark):
+    import pytest
+
+    from blockstrata.sources import images
+    for v in (-2, 70_000):
+        with pytest.raises(Exception, match="16-bit"):
+            images.pack_u16_tiles(spark.createDataFrame([("t", 0, 0, v)], "tile string, row int, col int, v int")).collect()

@@ -10,9 +10,12 @@ from ..operators import census as C
 from ..operators import objects as O
 from ..operators import quality as Q
 from ..operators import voxels as X
+from ..operators.mesh import heightfield_mesh
+from ..operators.tiles import world_tiles
 from ..session import cut_lineage
 from ..streaming import frames as T
 from . import rule_sql as R
+from .geometry import TILES
 from .registry import query
 from .spatial import GRID, HMV, OBJ_COMP, SOLID, filled
 from .tables import DIMS
@@ -215,13 +218,19 @@ def _(w):
     return Q.family_name_consistency(pairs, rules.atlas_family)
 
 
-@query("degenerate_output_check", """SELECT (SELECT count(*) FROM hm) // 4096 AS tiles, CAST(0 AS BIGINT) AS nan, (SELECT count(*) FROM hm) * 0 AS triangles,
-  (SELECT count(*) FROM comp) AS objects, 'no triangles' AS problems, FALSE AS ok""", GRID, HMV + OBJ_COMP)
+@query("degenerate_output_check", """SELECT (SELECT count(*) FROM tiles) AS tiles, CAST(0 AS BIGINT) AS nan,
+   (SELECT CAST((max(x) - min(x)) AS BIGINT) * (max(z) - min(z)) * 2 FROM hm) AS triangles,
+  (SELECT count(DISTINCT component) FROM comp) AS objects, '' AS problems, TRUE AS ok""", GRID, HMV + OBJ_COMP + TILES)
 def _(w):
     h = filled(w)
-    report = h.agg(F.floor(F.count(F.lit(1)) / 4096).alias("tiles"), F.count_if(F.isnan(F.col("height").cast("double"))).alias("nan"),
-                   (F.count(F.lit(1)) * 0).alias("triangles")) \
-        .withColumn("objects", O.object_components(w.solid()).select(F.count(F.lit(1))).scalar())
+    solid = w.stored_solid()
+
+    def rows(df, n=F.count(F.lit(1))):
+        return df.select(n).scalar()
+
+    report = h.agg(F.count_if(F.isnan(F.col("height").cast("double"))).alias("nan")).select(
+        rows(world_tiles(C.world_bounds(solid), 3, 2)).alias("tiles"), "nan", rows(heightfield_mesh(h)).alias("triangles"),
+        rows(O.object_components(solid), F.count_distinct("component")).alias("objects"))
     return Q.degenerate_output_check(report)
 
 

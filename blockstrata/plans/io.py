@@ -12,7 +12,8 @@ from ..session import cut_lineage
 from ..sources import images as I
 from ..sources import regions as G
 from ..sources import text as S
-from ..sources.voxel_files import scan_voxel_file
+from ..operators import quality as Q
+from ..sources.voxel_files import VoxelFile, header_counts, scan_voxel_file
 from .geometry import QUAD_VIEWS, TILE_VIEWS, exported, members
 from .registry import query
 from .spatial import GRID, SOLID
@@ -62,6 +63,18 @@ def _(w):
     return scan_voxel_file(w.spark, folder).select("x", "y", "z", "name", "properties")
 
 
+@query("header_counts", """SELECT DISTINCT concat('r_', CAST(floor(x / 512) AS INT), '_', CAST(floor(z / 512) AS INT), '.bin') AS file,
+  CAST(0 AS BIGINT) AS diff_n, 'ok' AS state FROM solid""", SOLID)
+def _(w):
+    folder = B.scratch(w.spark, "voxels")
+    states = [(r["name"], r["properties"]) for r in w.palette().orderBy("palette_id").collect()]
+    B.write_voxel_files(with_words(w).select("cx", "cz", "word", "local_to_global"), states, folder).count()
+    stated = header_counts(w.spark, folder).select("file", F.col("voxels").alias("n"))
+    w.spark.dataSource.register(VoxelFile)
+    read = w.spark.read.format("voxelfile").option("path", folder).load().groupBy("file").agg(C.n_rows())
+    return Q.reconcile_counts(read, stated, "file", ["n"])
+
+
 @query("write_voxels", "SELECT dim, x, y, z, palette_id FROM dimmed", SOLID, [DIMS])
 def _(w):
     folder = B.scratch(w.spark, "table")

@@ -218,12 +218,12 @@ def _(w):
     return O.object_components(w.solid()).select("x", "y", "z", "label", "component")
 
 
-@query("components_pitch", "SELECT s.x, s.y, s.z, component FROM solid s JOIN comp2 c ON c.x = floor(s.x / 2) AND c.y = floor(s.y / 2) "
-       "AND c.z = floor(s.z / 2) WHERE label = 'BEDROCK'", SOLID,
-       [("bed", "SELECT DISTINCT CAST(floor(x / 2) AS INT) AS x, CAST(floor(y / 2) AS INT) AS y, CAST(floor(z / 2) AS INT) AS z "
-         "FROM solid WHERE label = 'BEDROCK'")] + P.components("bed", "comp2", K.FACES_3D, "pc"))
+@query("components_pitch", "SELECT s.x, s.y, s.z, component FROM obj s JOIN comp2 c ON c.x = floor(s.x / 2) AND c.y = floor(s.y / 2) "
+       "AND c.z = floor(s.z / 2)", SOLID,
+       [OBJ, ("bed", "SELECT DISTINCT CAST(floor(x / 2) AS INT) AS x, CAST(floor(y / 2) AS INT) AS y, CAST(floor(z / 2) AS INT) AS z "
+         "FROM obj")] + P.components("bed", "comp2", K.FACES_3D, "pc"))
 def _(w):
-    return O.object_components(w.solid(), ["BEDROCK"], pitch=2).select("x", "y", "z", "component")
+    return O.object_components(w.solid(), pitch=2).select("x", "y", "z", "component")
 
 
 PLANTS = [("plants", "SELECT x, y, z FROM solid WHERE role = 'vegetation'")] + P.components("plants", "trees", K.HALF_26, "tc")

@@ -2,18 +2,20 @@
 
 ``spark.read.format("voxelfile").option("path", p).load()`` gives chunk words of
 a file or of all ``.bin`` files in a folder; option ``table`` set to ``palette``
-gives the block states. Each file's chunk table is split into slices, one task
-each. With ``spark.sql.python.filterPushdown.enabled``, range filters on cx and
-cz are applied to the chunk table, so other chunks are never read. Files must
-be on a path that all workers see.
+gives the block states, ``header`` the counts of each file's header. Planning
+only lists files: each is split by its size into slices, and a slice's task
+reads the chunk table and takes the chunks whose voxels begin in its share.
+With ``spark.sql.python.filterPushdown.enabled``, range filters on cx and cz
+are applied to the chunk table, so other chunks are never read. Files may be
+in any store that pyarrow.fs opens and all workers see.
 """
 
-import glob
 import os
 import struct
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -52,15 +54,24 @@ def read_chunk_table(f, head):
         yield cx, cz, n, at, np.frombuffer(f.read(4 * states), "<u4")
 
 
+def store_of(path):
+    """File system and path within it of a plain path or a URI."""
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), os.path.abspath(path))
+
+
 class Slice(InputPartition):
-    def __init__(self, path, chunks):
-        self.path, self.chunks = path, chunks
+    """Share ``number`` of ``count`` of one file."""
+
+    def __init__(self, path, number, count):
+        self.path, self.number, self.count = path, number, count
 
 
 class VoxelReader(DataSourceReader):
     def __init__(self, options):
         self.path, self.table = options["path"], options.get("table", "voxels")
-        self.per_task = int(options.get("chunksPerTask", "256"))
+        self.bytes_per_task = int(options.get("bytesPerTask", "32000000"))
         self.limits = []
 
     def _wanted(self, cx, cz):
@@ -69,25 +80,38 @@ class VoxelReader(DataSourceReader):
         return all(tests[kind](cx if column == "cx" else cz, value) for column, kind, value in self.limits)
 
     def partitions(self):
-        paths = sorted(glob.glob(os.path.join(self.path, "*.bin"))) if os.path.isdir(self.path) else [self.path]
-        if self.table == "palette":
-            return [Slice(p, None) for p in paths]
+        store, path = store_of(self.path)
+        found = store.get_file_info(path)
+        if found.type == fs.FileType.Directory:
+            files = [f for f in store.get_file_info(fs.FileSelector(path)) if f.is_file and f.path.endswith(".bin")]
+        else:
+            files = [found]
+        whole = self.table != "voxels"
+        root = self.path.rstrip("/") if found.type == fs.FileType.Directory else self.path.rpartition("/")[0]
         parts = []
-        for p in paths:
-            with open(p, "rb") as f:
-                table = [c for c in read_chunk_table(f, read_header(f)) if self._wanted(c[0], c[1])]
-            parts += [Slice(p, table[i:i + self.per_task]) for i in range(0, len(table), self.per_task)]
-        return parts or [Slice(paths[0], [])]
+        for f in sorted(files, key=lambda f: f.path):
+            count = 1 if whole else max(1, -(-f.size // self.bytes_per_task))
+            parts += [Slice(f"{root}/{f.base_name}" if root else f.base_name, i, count) for i in range(count)]
+        return parts or [Slice(None, 0, 1)]
 
     def read(self, part):
-        name = os.path.basename(part.path)
-        with open(part.path, "rb") as f:
+        if part.path is None:
+            return
+        name = part.path.rsplit("/", 1)[-1]
+        store, path = store_of(part.path)
+        with store.open_input_file(path) as f:
             head = read_header(f)
+            if self.table == "header":
+                yield (name, head["dim"], head["chunks"], head["voxels"], head["states"])
+                return
             if self.table == "palette":
                 for state in read_palette(f, head):
                     yield (name, *state)
                 return
-            for cx, cz, n, at, to_global in part.chunks:
+            size = max(1, f.size() - head["voxels_at"])
+            for cx, cz, n, at, to_global in list(read_chunk_table(f, head)):
+                if (at - head["voxels_at"]) * part.count // size != part.number or not self._wanted(cx, cz):
+                    continue
                 f.seek(at)
                 words = np.frombuffer(f.read(4 * n), "<u4")
                 states = to_global[(words >> 17) & V.MAX_LOCAL_INDEX]
@@ -116,6 +140,8 @@ class VoxelFile(DataSource):
         return "voxelfile"
 
     def schema(self):
+        if self.options.get("table") == "header":
+            return "file string, dim string, chunks bigint, voxels bigint, states bigint"
         if self.options.get("table") == "palette":
             return "file string, palette_id int, name string, properties string"
         return "file string, dim string, cx int, cz int, word bigint, palette_id int"
@@ -125,6 +151,12 @@ class VoxelFile(DataSource):
         return (FilteringVoxelReader if pushing else VoxelReader)(self.options)
 
 
+def header_counts(spark, path: str):
+    """Counts that the headers state: file, dim, chunks, voxels, states."""
+    spark.dataSource.register(VoxelFile)
+    return spark.read.format("voxelfile").option("path", path).option("table", "header").load()
+
+
 def scan_voxel_file(spark, path: str):
     """Voxels without air, with their block state, of one file or folder."""
     from ..operators.voxels import voxel_word_fields, world_coords

@@ -37,13 +37,14 @@ def source_targets(sizes, weights, most=3):
     return weighed.select("source", "source_size", target.alias("target"))
 
 
-def fit_budget(lengths, counts, budget, window):
+def fit_budget(lengths, counts, budget, window, most=1):
     """How many documents of each length to take so that the words sum to ``budget``.
 
     Lengths from the longest down take their share of the budget, each rounded
     so that the running sum stays on course, until about ``window`` words are
     left open. A bounded knapsack over the counts still free then finds the sum
-    nearest to what is left, at most ``window`` and a longest document off.
+    nearest to what is left. Only where that sum is not exact are documents
+    taken again, each up to ``most`` times.
     """
     lengths, counts = np.asarray(lengths, dtype=np.int64), np.asarray(counts, dtype=np.int64)
     total = int((lengths * counts).sum())
@@ -64,13 +65,14 @@ def fit_budget(lengths, counts, budget, window):
     limit = left + int(lengths.max(initial=0))
     mask = (1 << (limit + 1)) - 1
     reach, steps = 1, []
-    for i in order[::-1]:
-        free, size, unit = int(counts[i] - taken[i]), int(lengths[i]), 1
-        while free > 0 and 0 < size * unit <= limit and not reach >> left & 1:
-            unit = min(unit, free)
-            steps.append((i, unit, reach))
-            reach |= reach << size * unit & mask
-            free, unit = free - unit, unit * 2
+    for again in range(most):
+        for i in order[::-1]:
+            free, size, unit = int(counts[i] - (0 if again else taken[i])), int(lengths[i]), 1
+            while free > 0 and 0 < size * unit <= limit and not reach >> left & 1:
+                unit = min(unit, free)
+                steps.append((i, unit, reach))
+                reach |= reach << size * unit & mask
+                free, unit = free - unit, unit * 2
     best = next(d for k in range(limit + 1) for d in (left - k, left + k) if d >= 0 and reach >> d & 1)
     for i, unit, before in reversed(steps):
         if not before >> best & 1:
@@ -79,13 +81,14 @@ def fit_budget(lengths, counts, budget, window):
     return taken
 
 
-def _fit(window):
+def _fit(window, most):
     def run(group):
         target, size = float(group["target"].iloc[0]), int(group["source_size"].iloc[0])
         group = group.sort_values("size")
         copies = int(target // size) if size else 0
-        extra = fit_budget(group["size"], group["n"], round(target - copies * size), window)
-        return pd.DataFrame({"source": group["source"], "size": group["size"], "copies": copies, "extra": extra, "n": group["n"]})
+        extra = fit_budget(group["size"], group["n"], round(target - copies * size), window, max(1, most - copies))
+        n = group["n"].to_numpy()
+        return pd.DataFrame({"source": group["source"], "size": group["size"], "copies": copies + extra // n, "extra": extra % n, "n": n})
     return run
 
 
@@ -98,7 +101,8 @@ def mix_sources(docs, weights=(5, 2, 1), most=3, seed=7, window=50_000, bucket_r
     Documents are counted by source and exact length. A source gives whole
     copies of itself as often as its target holds, at most ``most``; for the
     rest a bounded knapsack over the counts of lengths (see fit_budget) says
-    how many documents of each length to take once more. Its input is one row
+    how many documents of each length to take once more (where only that meets
+    the target, several times more, never beyond ``most`` in all). Its input is one row
     per different length, so it grows at most with the square root of the
     words. Among documents of one source and length a seeded hash of doc_id
     decides; where only some are taken, they are ranked within hash buckets of
@@ -116,7 +120,7 @@ def mix_sources(docs, weights=(5, 2, 1), most=3, seed=7, window=50_000, bucket_r
     targets = cut_lineage(source_targets(sums, weights, most))
     same = lengths.source.eqNullSafe(targets.source)
     plan = lengths.join(targets, same).select(lengths.source, "size", "n", "source_size", "target")
-    plan = cut_lineage(plan.groupBy("source").applyInPandas(_fit(window), PLAN))
+    plan = cut_lineage(plan.groupBy("source").applyInPandas(_fit(window, most), PLAN))
 
     a, b = slim.alias("a"), plan.join(targets.alias("t"), plan.source.eqNullSafe(targets.source)).select(
         plan.source, "size", "copies", "extra", "n", "source_size", "target").alias("b")

@@ -45,6 +45,14 @@ def test_budget_is_met_exactly_where_it_can_be():
         assert abs(int((taken * lengths).sum()) - budget) == min(abs(s - budget) for s in sums)
 
 
+def test_documents_repeat_only_where_needed():
+    taken = fit_budget([7, 10], [1, 1], 14, 1000, most=3)
+    assert taken.tolist() == [2, 0]
+    assert fit_budget([7, 10], [1, 1], 17, 1000, most=3).tolist() == [1, 1]
+    assert fit_budget([7, 10], [2, 1], 14, 1000, most=3).tolist() == [2, 0]
+    assert fit_budget([5], [2], 30, 1000, most=3).tolist() == [2]
+
+
 def test_budget_near_with_a_small_window():
     lengths, counts = np.arange(1, 2001), np.full(2000, 50)
     for budget in (0, 1, 12_345, 50_000_000, int((lengths * counts).sum())):

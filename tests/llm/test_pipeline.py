@@ -5,7 +5,7 @@ import re
 import corpus_pipeline
 from blockstrata.llm import queries
 from blockstrata.session import shared_folder
-from helpers import brute_components, shingles
+from helpers import brute_components, docs_table, shingles
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,3 +42,23 @@ def test_stages_in_turn(spark):
 def test_queries_have_names_of_their_operators():
     assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
     assert set(queries.ORACLES) <= set(queries.QUERIES)
+
+
+ODD = [(10 ** 6, None), (10 ** 6 + 1, ""), (10 ** 6 + 2, " \n"), (None, "a text whose row has no number at all"), (None, None),
+       (10 ** 6 + 3, "said again and again here"), (10 ** 6 + 3, "said again and again here"), (10 ** 6 + 4, "said  again and again here"),
+       (10 ** 6 + 5, " ".join(f"Word{i % 5000} of." for i in range(60_000)))]
+
+
+def test_stages_take_odd_rows(spark):
+    docs = docs_table(spark, ODD)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        kept = sorted((r["doc_id"] or 0 for r in out.collect()))
+        if name == "mixing":
+            assert out.columns == ["doc_id", "size", "source_size", "target", "taken"]
+        else:
+            assert out.columns == docs.columns
+        gone = {"exact_dedup": {10 ** 6, 10 ** 6 + 1, 10 ** 6 + 3}, "near_dedup": {10 ** 6 + 4}}.get(name, set())
+        if name != "quality":
+            assert kept == sorted(i or 0 for i, _ in ODD if i not in gone), name
+        assert stage(spark, docs.limit(0), SF).collect() == []

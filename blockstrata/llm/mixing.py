@@ -122,21 +122,21 @@ def mix_sources(docs, weights=(5, 2, 1), most=3, seed=7, window=50_000, bucket_r
     plan = lengths.join(targets, same).select(lengths.source, "size", "n", "source_size", "target")
     plan = cut_lineage(plan.groupBy("source").applyInPandas(_fit(window, most), PLAN))
 
-    a, b = slim.alias("a"), plan.join(targets.alias("t"), plan.source.eqNullSafe(targets.source)).select(
-        plan.source, "size", "copies", "extra", "n", "source_size", "target").alias("b")
-    placed = a.join(b, F.expr("a.source <=> b.source AND a.size = b.size")).select(
-        "doc_id", "a.source", "a.size", "source_size", "target", "copies", "extra", "n")
+    key = F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")).alias("key")
+    told = plan.join(targets, plan.source.eqNullSafe(targets.source)).select(
+        F.coalesce(F.concat(F.lit("="), plan.source), F.lit("null")).alias("key"), "size", "copies", "extra", "n", "source_size", "target")
     draw = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) / float(2 ** 53)
-    placed = placed.withColumn("bucket", F.floor(draw * F.ceil(F.col("n") / bucket_rows)))
+    placed = slim.select("doc_id", key, "size").join(told, ["key", "size"])
+    placed = cut_lineage(placed.withColumn("bucket", F.floor(draw * F.ceil(F.col("n") / bucket_rows))))
     some = (F.col("extra") > 0) & (F.col("extra") < F.col("n"))
     whole = placed.where(~some).withColumn("taken", F.col("size") * (F.col("copies") + F.when(F.col("extra") > 0, 1).otherwise(0)))
     part = placed.where(some)
-    keys = ["source", "size", "bucket"]
+    keys = ["key", "size", "bucket"]
     counts = part.groupBy(*keys).agg(F.count("*").alias("here"))
-    ahead = W.partitionBy("source", "size").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    counts = counts.select(*keys, F.coalesce(F.sum("here").over(ahead), F.lit(0)).alias("before"))
-    p, c = part.repartition(*keys).alias("p"), counts.alias("c")
-    part = p.join(c, F.expr("p.source <=> c.source AND p.size = c.size AND p.bucket = c.bucket")).select("p.*", "before")
+    ahead = W.partitionBy("key", "size").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    # A stored table has no layout of its own, so the join deals rows out by bucket too.
+    counts = cut_lineage(counts.select(*keys, F.coalesce(F.sum("here").over(ahead), F.lit(0)).alias("before")))
+    part = part.join(counts, keys)
     rank = F.row_number().over(W.partitionBy(*keys).orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id"))
     once = (F.col("before") + rank <= F.col("extra")).cast("long")
     part = part.withColumn("once", once).withColumn("taken", F.col("size") * (F.col("copies") + F.col("once")))

@@ -17,7 +17,10 @@ NO_LANGUAGE = "und"
 
 
 def plain(text):
-    """Lower-case letters of a text; each run of other characters is one space."""
+    """Lower-case letters of a text; each run of other characters is one space.
+    Empty where there is no letter."""
+    if not any(map(str.isalpha, text)):
+        return ""
     return NOT_LETTERS.sub(" ", text.lower()).strip()
 
 

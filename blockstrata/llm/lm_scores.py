@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -11,6 +12,9 @@ from .words import blocks, mix, texts_of, word_hashes
 
 START, END = (mix(np.array([x], dtype=np.uint64))[0] for x in (101, 103))
 FLUSH = 1_500_000
+BLOCK = 2_000_000
+#: Levels that the filter must answer beyond its lowest before its answer is taken without the table.
+SURE = 3
 SCORED = "doc_id long, n_tokens long, n_common long, common_score double, score double, rare array<long>"
 
 
@@ -85,11 +89,16 @@ def _pack(prints, counts):
     return bytes([wide]) + len(prints).to_bytes(4, "little") + raw + tail
 
 
-def _unpack(blob):
+def _prints(blob):
+    """The numbers of packed bytes without their counts."""
     wide, n = blob[0], int.from_bytes(blob[1:5], "little")
     steps = np.zeros((n, 4), dtype=np.uint8)
     steps[:, :wide] = np.frombuffer(blob, dtype=np.uint8, count=n * wide, offset=5).reshape(n, wide)
-    prints = np.cumsum(steps.reshape(-1).view("<u4"), dtype=np.uint64)
+    return np.cumsum(steps.reshape(-1).view("<u4"), dtype=np.uint64)
+
+
+def _unpack(blob):
+    wide, n, prints = blob[0], int.from_bytes(blob[1:5], "little"), _prints(blob)
     tail = zlib.decompress(blob[5 + n * wide:])
     counts = np.frombuffer(tail, dtype=np.uint8, count=n).astype(np.int64)
     counts[counts == 255] = np.frombuffer(tail, dtype="<u8", offset=n)
@@ -187,18 +196,23 @@ class CountFilter:
 
     def counts(self, hashes):
         """Counts at the middle of their levels; 0 for n-grams not held."""
-        level = self.levels(hashes)
-        low = np.ceil(np.power(self.base, np.maximum(level - 1, 0)) - 1e-9)
-        high = np.maximum(np.ceil(np.power(self.base, level) - 1e-9) - 1, low)
-        return np.where(level == 0, 0.0, np.sqrt(low * high))
+        return middles(self.levels(hashes), self.base)
+
+
+def middles(level, base):
+    """Counts at the middle of levels; 0 for level 0."""
+    low = np.ceil(np.power(base, np.maximum(level - 1, 0)) - 1e-9)
+    high = np.maximum(np.ceil(np.power(base, level) - 1e-9) - 1, low)
+    return np.where(level == 0, 0.0, np.sqrt(low * high))
 
 
 class Model:
-    """What scoring needs: token counts (a table), the common ones, N, V, the filter."""
+    """What scoring needs: token counts (a table), the common ones, N, V, the
+    filter, and the levels of all n-grams (a table with a row per shard)."""
 
-    def __init__(self, counts, common, total, distinct, filter_, prior):
+    def __init__(self, counts, common, total, distinct, filter_, prior, levels):
         self.counts, self.common, self.total, self.distinct = counts, common, total, distinct
-        self.filter, self.prior = filter_, prior
+        self.filter, self.prior, self.levels = filter_, prior, levels
 
 
 def train(docs, shards=None, bits_per_entry=8, probes=3, base=1.6, most_bytes=64_000_000, most_common=1 << 18, prior=20.0):
@@ -209,8 +223,9 @@ def train(docs, shards=None, bits_per_entry=8, probes=3, base=1.6, most_bytes=64
     count (powers of ``base``) goes into the shard's bits as one entry, so the
     filter grows with the n-grams, ``bits_per_entry`` bits each. It is sent to
     all workers, hence bounded by ``most_bytes``: where more would be needed,
-    n-grams of the lowest levels are not held and count as unseen. The
-    ``most_common`` most frequent tokens are sent along with their counts.
+    the lowest levels are left out of it, and ``score`` looks these n-grams up
+    in the stored table of all levels. The ``most_common`` most frequent tokens
+    are sent along with their counts.
     """
     text = docs.select(F.col("text").cast("string").alias("text"))
     spark = docs.sparkSession
@@ -245,41 +260,138 @@ def train(docs, shards=None, bits_per_entry=8, probes=3, base=1.6, most_bytes=64
         _segments(sizes, least, probes), "shard int, bits binary").toLocalIterator()}
     filled = b"".join(segments.pop(i, bytes(int(n) // 8)) for i, n in enumerate(sizes))
     return Model(counts.where(F.col("n") < edge) if edge is not None else counts, common, total, distinct,
-                 (filled, sizes, least, probes, base), prior)
+                 (filled, sizes, least, probes, base), prior, merged.select("shard", "blob"))
+
+
+def _block(ids, texts, model, logs, counts):
+    """Scored rows of a block of texts; ``counts`` gives the counts of n-gram hashes."""
+    names, _, total, distinct, _, prior = model
+    floor_ = 1.0 / (total + distinct + 1)
+    run, begins = tokens(texts, start=True)
+    kinds, at = np.unique(run, return_inverse=True)
+    place = np.minimum(np.searchsorted(names, kinds), max(len(names) - 1, 0))
+    common = names[place] == kinds if len(names) else np.zeros(len(kinds), dtype=bool)
+    worth = np.where(common, logs[place], 0.0) if len(names) else np.zeros(len(kinds))
+    seen = counts(kinds)
+    inside = np.ones(len(run), dtype=bool)
+    inside[begins[:-1]] = False
+    own, starts = at[inside], begins[:-1] - np.arange(len(begins) - 1)
+    sizes = np.diff(begins) - 1
+    before = seen[at[:-1][inside[1:]]]
+    both = np.minimum(counts(pair_hashes(run, begins)), before)
+    chance = (both + prior * (seen[own] + 1.0) * floor_) / (before + prior)
+    rare = ~common[own]
+    spans = np.concatenate(([0], np.cumsum(np.add.reduceat(rare, starts)))).astype(np.int32)
+    return pa.RecordBatch.from_arrays([
+        ids, pa.array(sizes.astype(np.int64)),
+        pa.array(np.add.reduceat((~rare).astype(np.int64), starts)), pa.array(np.add.reduceat(worth[own], starts)),
+        pa.array(np.add.reduceat(np.log10(np.minimum(chance, 1.0)), starts)),
+        pa.ListArray.from_arrays(spans, pa.array(kinds[own[rare]].view(np.int64)))],
+        names=["doc_id", "n_tokens", "n_common", "common_score", "score", "rare"])
 
 
 def _apply(shared):
     def run(batches):
-        names, numbers, total, distinct, parts, prior = shared.value
-        held, floor_ = CountFilter(*parts), 1.0 / (total + distinct + 1)
-        logs = np.log10(numbers + 1.0)
+        model = shared.value
+        held, logs = CountFilter(*model[4]), np.log10(model[1] + 1.0)
         for batch in batches:
             texts = texts_of(batch.column(1))
-            for lo, hi in blocks(texts, 2_000_000):
+            for lo, hi in blocks(texts, BLOCK):
+                yield _block(batch.column(0).slice(lo, hi - lo), texts[lo:hi], model, logs, held.counts)
+    return run
+
+
+def _dealt(batches):
+    """Rows with the number of their block, BLOCK bytes of text or one longer text."""
+    block, size = TaskContext.get().partitionId() << 32, 0
+    for batch in batches:
+        numbers = np.empty(batch.num_rows, dtype=np.int64)
+        for i, t in enumerate(texts_of(batch.column(1))):
+            if size and size + len(t) >= BLOCK:
+                block, size = block + 1, 0
+            numbers[i] = block
+            size += len(t) + 1
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(numbers)], names=["doc_id", "text", "block"])
+
+
+def _asked(shared):
+    """The n-grams of each block that the filter is not sure of, by shard."""
+    def run(batches):
+        held = CountFilter(*shared.value[4])
+        shards = len(held.sizes)
+        for batch in batches:
+            texts, numbers = texts_of(batch.column(0)), batch.column(1).to_numpy()
+            cuts = np.concatenate(([0], np.flatnonzero(np.diff(numbers)) + 1, [len(numbers)]))
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if lo == hi:
+                    continue
                 run, begins = tokens(texts[lo:hi], start=True)
-                kinds, at = np.unique(run, return_inverse=True)
-                place = np.minimum(np.searchsorted(names, kinds), max(len(names) - 1, 0))
-                common = names[place] == kinds if len(names) else np.zeros(len(kinds), dtype=bool)
-                worth = np.where(common, logs[place], 0.0) if len(names) else np.zeros(len(kinds))
-                seen = held.counts(kinds)
-                inside = np.ones(len(run), dtype=bool)
-                inside[begins[:-1]] = False
-                own, starts = at[inside], begins[:-1] - np.arange(len(begins) - 1)
-                sizes = np.diff(begins) - 1
-                before = seen[at[:-1][inside[1:]]]
-                both = np.minimum(held.counts(pair_hashes(run, begins)), before)
-                chance = (both + prior * (seen[own] + 1.0) * floor_) / (before + prior)
-                rare = ~common[own]
-                spans = np.concatenate(([0], np.cumsum(np.add.reduceat(rare, starts)))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(lo, hi - lo), pa.array(sizes.astype(np.int64)),
-                    pa.array(np.add.reduceat((~rare).astype(np.int64), starts)), pa.array(np.add.reduceat(worth[own], starts)),
-                    pa.array(np.add.reduceat(np.log10(np.minimum(chance, 1.0)), starts)),
-                    pa.ListArray.from_arrays(spans, pa.array(kinds[own[rare]].view(np.int64)))],
-                    names=["doc_id", "n_tokens", "n_common", "common_score", "score", "rare"])
+                kinds = np.unique(np.concatenate([run, pair_hashes(run, begins)]))
+                kinds = kinds[held.levels(kinds) < held.least + SURE]
+                edges = np.searchsorted(_shards(kinds, shards), np.arange(shards + 1))
+                used = np.flatnonzero(np.diff(edges))
+                prints = (kinds & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+                blobs = [_pack(np.unique(prints[edges[i]:edges[i + 1]]), np.zeros(0, dtype=np.int64)) for i in used]
+                yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(np.full(len(used), numbers[lo])), pa.array(blobs, pa.binary())],
+                                                 names=["shard", "block", "blob"])
     return run
 
 
+def _found(keys, values, wanted):
+    """Values of the wanted keys; 0 for those that are not among the sorted keys."""
+    if not len(keys):
+        return np.zeros(len(wanted), dtype=np.int64)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], 0)
+
+
+def _answered(held, asked):
+    """Levels of the asked n-grams of one shard."""
+    prints, levels = _unpack(held.column("blob")[0].as_py()) if held.num_rows else (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))
+    blobs = []
+    for blob in asked.column("blob"):
+        own = _prints(blob.as_py())
+        blobs.append(_pack(own.astype(np.uint32), _found(prints, levels, own)))
+    return pa.table({"shard": asked.column("shard"), "block": asked.column("block"), "blob": pa.array(blobs, pa.binary())})
+
+
+def _settled(shared):
+    def run(docs, answers):
+        model = shared.value
+        held = CountFilter(*model[4])
+        keys, levels = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
+        for shard, blob in zip(answers.column("shard").to_pylist(), answers.column("blob").to_pylist()):
+            prints, found = _unpack(blob)
+            keys.append(prints | np.uint64(shard << 32))
+            levels.append(found)
+        keys, levels = np.concatenate(keys), np.concatenate(levels)
+        order = np.argsort(keys)
+        keys, levels = keys[order], levels[order]
+
+        def counts(hashes):
+            out = held.levels(hashes)
+            open_ = np.flatnonzero(out < held.least + SURE)
+            own = hashes[open_]
+            out[open_] = _found(keys, levels, (own & np.uint64(0xFFFFFFFF)) | (_shards(own, len(held.sizes)).astype(np.uint64) << np.uint64(32)))
+            return middles(out, held.base)
+        ids = docs.column("doc_id").combine_chunks()
+        ids = ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids
+        return pa.Table.from_batches([_block(ids, texts_of(docs.column("text")), model, np.log10(model[1] + 1.0), counts)])
+    return run
+
+
+def _looked_up(plain, shared, levels):
+    """Scored rows where the filter lacks the lowest levels.
+
+    Each block of texts sends its distinct n-grams, those that the filter is
+    not sure of, to the shards of the stored table, and meets their levels.
+    """
+    dealt = cut_lineage(plain.mapInArrow(_dealt, "doc_id long, text string, block long"))
+    asked = dealt.select("text", "block").mapInArrow(_asked(shared), "shard int, block long, blob binary")
+    answers = levels.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(_answered, "shard int, block long, blob binary")
+    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_settled(shared), SCORED)
+
+
 def score(docs, model):
     """Scores of every row's whole text under a model from ``train``.
 
@@ -289,13 +401,16 @@ def score(docs, model):
     common tokens are looked up at once, the others join the table of counts.
     score is the sum of log10 probabilities given the token before, counts from
     the filter, with a Dirichlet prior of ``prior`` tokens on the unigrams.
+    Levels that the filter has no room for come from the table of all levels.
     A model without training text gives every token the same chance. An empty
     table gives no rows; repeated rows are scored alike.
     """
     parts = (*model.common, model.total, model.distinct, model.filter, model.prior)
     shared = docs.sparkSession.sparkContext.broadcast(parts)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = cut_lineage(plain.mapInArrow(_apply(shared), SCORED).withColumn("row", F.monotonically_increasing_id()))
+    whole = model.filter[2] == 1
+    scored = plain.mapInArrow(_apply(shared), SCORED) if whole else _looked_up(plain, shared, model.levels)
+    scored = cut_lineage(scored.withColumn("row", F.monotonically_increasing_id()))
     rare = scored.select("row", F.explode("rare").alias("token")).join(model.counts, "token")
     rare = rare.groupBy("row").agg(F.sum(F.log10(F.col("n") + 1.0)).alias("more"), F.count("*").alias("found"))
     known = F.col("n_common") + F.coalesce("found", F.lit(0))

@@ -165,6 +165,30 @@ def test_a_small_filter_keeps_the_frequent(spark):
     assert a < b < 0
 
 
+def test_a_small_filter_loses_no_ngram(spark):
+    rows = [(i, prose(rng.choice(list(SYLLABLES)), rng.randint(1, 60))) for i in range(200)] + [(i, t) for i, t in CASES if i]
+    docs = docs_table(spark, rows)
+    small = lm_scores.train(docs, most_bytes=600)
+    assert small.filter[2] > 2
+    got = lm_scores.score(docs, small).collect()
+    ones, pairs = Counter(), Counter()
+    for _, t in rows:
+        own = ["<s>", *words(t), None]
+        ones.update(own)
+        pairs.update(zip(own, own[1:]))
+    middle = lambda n: lm_scores.middles(lm_scores.levels_of(np.array([n]), 1.6) * (n > 0), 1.6)[0]
+    total = sum(ones.values()) - len(rows)
+    floor = 1 / (total + len(ones) - 1 + 1)
+    want = []
+    for i, t in rows:
+        own = ["<s>", *words(t), None]
+        want.append((i, len(own) - 1, sum(math.log10(min(1, (min(middle(pairs[a, b]), middle(ones[a])) + 20 * (middle(ones[b]) + 1) * floor)
+                                                         / (middle(ones[a]) + 20))) for a, b in zip(own, own[1:]))))
+    off = [abs(g[2] / w[2] - 1) for g, w in zip(sorted((r["doc_id"], r["n_tokens"], r["score"]) for r in got), sorted(want)) if g[:2] == w[:2]]
+    # The filter still answers a level too high for some frequent n-grams.
+    assert len(got) == len(off) == len(rows) and sorted(off)[len(off) // 2] < 1e-6 and sorted(off)[int(len(off) * 0.95)] < 0.05
+
+
 def test_model_without_rows(spark):
     empty = docs_table(spark, [])
     model = lm_scores.train(empty)

@@ -30,8 +30,8 @@ def _any():
     return EDGE + "(?:" + "|".join(KINDS.values()) + ")"
 
 
-#: What a text with an entity has at least: a digit, an @ or a form of address. Cheap to look for.
-SIGN = rf"[\d@]|(?=[A-ZГД])(?<!\p{{L}})(?:{MEN}|{WOMEN}|{EITHER})\.? \p{{Lu}}"
+#: What a text with an entity has at least: a digit, an @, the head of a secret or key, or a form of address. Cheap to look for.
+SIGN = rf"[\d@]|[=:](?<=(?i:password|passwd|pwd|token|secret|api_?key)\s{{0,3}}[=:])|A[KS]IA|_(?<=ghp_)|-(?<=sk-)|(?=[A-ZГД])(?<!\p{{L}})(?:{MEN}|{WOMEN}|{EITHER})\.? \p{{Lu}}"
 
 
 def _lit(pattern):

@@ -1,5 +1,6 @@
 """Personal data replaced by keyed surrogates of the same type, in DataFrame functions only."""
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -34,6 +35,20 @@ def _any():
 SIGN = rf"[\d@]|[=:](?<=(?i:password|passwd|pwd|token|secret|api_?key)\s{{0,3}}[=:])|A[KS]IA|_(?<=ghp_)|-(?<=sk-)|(?=[A-ZГД])(?<!\p{{L}})(?:{MEN}|{WOMEN}|{EITHER})\.? \p{{Lu}}"
 
 
+def _names(found):
+    """Pattern of the names among a text's entities, as written, in capitals and
+    with a capital first; null if there are none."""
+    full = F.filter(found, lambda m: F.regexp_like(m, _lit(f"^(?:{KINDS['name']})$")))
+    words = F.flatten(F.transform(full, lambda m: F.filter(F.split(m, r"\s+"), lambda w, i: i > 0)))
+    words = F.flatten(F.transform(words, lambda w: F.array(w, F.initcap(w), F.upper(w))))
+    # Longer names come before their beginnings.
+    return F.when(F.size(words) > 0, F.array_join(F.sort_array(F.array_distinct(words), asc=False), "|"))
+
+
+def _any_or(names):
+    return F.concat(F.lit(EDGE + "(?:" + "|".join(KINDS.values()) + "|(?:"), names, F.lit(r")(?![\p{L}\d]))"))
+
+
 def _lit(pattern):
     return F.lit(pattern)
 
@@ -52,7 +67,8 @@ def mentions(docs):
     ``docs``: row, found (the entities of a text in order).
 
     Names give a part per word, so that a name alone and within a longer name
-    is the same entity; what stays as it is has a null kind.
+    is the same entity; what stays as it is has a null kind. A name without a
+    form of address has the kind that it has elsewhere in its row.
     """
     found = docs.select("row", F.posexplode("found").alias("place", "mention"))
     found = found.withColumn("type", _kind(F.col("mention")))
@@ -65,7 +81,8 @@ def mentions(docs):
               .when(F.regexp_like("mention", _lit(rf"^(?:{MEN})\b")), "given_m").otherwise("given"))
     found = found.select("row", "place", "type", gender.alias("gender"), F.size(parts).alias("n"), F.posexplode(parts).alias("part", "piece"))
     part, n = F.col("part"), F.col("n")
-    kind = (F.when((F.col("type") == "name") & ((part == 0) | (part % 2 == 1)), F.lit(None))
+    kind = (F.when((F.col("type") == "name") & (n == 1), "bare")
+            .when((F.col("type") == "name") & ((part == 0) | (part % 2 == 1)), F.lit(None))
             .when(F.col("type") == "name", F.when(part == n - 1, "surname").otherwise(F.col("gender")))
             .when(F.col("type").isin("key", "secret") & (part == 0), F.lit(None))
             .otherwise(F.col("type")))
@@ -73,8 +90,12 @@ def mentions(docs):
     piece = F.col("piece")
     canonical = (F.when(F.col("kind").isin(*DIGIT_KINDS), F.regexp_replace(piece, r"\D", ""))
                  .when(F.col("kind") == "iban", F.regexp_replace(piece, " ", ""))
-                 .when(F.col("kind").isin("email", "surname", "given", "given_f", "given_m"), F.lower(piece)).otherwise(piece))
-    return found.select("row", "place", "part", "piece", "type", "kind", canonical.alias("canonical"))
+                 .when(F.col("kind").isin("email", "surname", "given", "given_f", "given_m", "bare"), F.lower(piece)).otherwise(piece))
+    found = found.withColumn("canonical", canonical)
+    # By their order, a surname goes before a given name, and a known gender before none.
+    named = F.max(F.when(F.col("kind").startswith("given") | (F.col("kind") == "surname"), F.col("kind"))).over(W.partitionBy("row", "canonical"))
+    found = found.withColumn("kind", F.when(F.col("kind") == "bare", F.coalesce(named, F.lit("surname"))).otherwise(F.col("kind")))
+    return found.select("row", "place", "part", "piece", "type", "kind", "canonical")
 
 
 def _draw(i, n, salt="root"):
@@ -116,8 +137,8 @@ def _name(text, longer, end):
     def word(onset, vowel, closing):
         syllable = lambda i: F.concat(_pick(onset, i * 2), _pick(vowel, i * 2 + 1))
         return F.concat(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(2) + longer), syllable), ""), _pick(closing, F.lit(0)) if closing else F.lit(""))
-    cyrillic = F.regexp_like(text, _lit(r"\p{IsCyrillic}"))
-    return F.when(cyrillic, word("бвгдклмнпрст", "аеиоу", end[1])).otherwise(word("bdfgklmnprstv", "aeiou", end[0]))
+    cyrillic, greek = F.regexp_like(text, _lit(r"\p{IsCyrillic}")), F.regexp_like(text, _lit(r"\p{IsGreek}"))
+    return F.when(cyrillic, word("бвгдклмнпрст", "аеиоу", end[1])).when(greek, word("βγδκλμνπρτ", "αειο", "νρ")).otherwise(word("bdfgklmnprstv", "aeiou", end[0]))
 
 
 def _surrogate():
@@ -137,7 +158,7 @@ def _surrogate():
             .when(kind == "card", card)
             .when(kind == "iban", F.concat(F.substring(c, 1, 2), _fill(F.substring(c, F.lit(3), F.char_length(c)))))
             .when(kind.isin("secret", "key") & F.regexp_like(c, _lit("^[0-9a-f]+$")), _hex(c))
-            .when(kind == "given_f", F.concat(_name(c, longer, ("lnrs", "лнрс")), F.when(F.regexp_like(c, _lit(r"\p{IsCyrillic}")), "а").otherwise("a")))
+            .when(kind == "given_f", F.concat(_name(c, longer, ("lnrs", "лнрс")), F.when(F.regexp_like(c, _lit(r"\p{IsCyrillic}")), "а").when(F.regexp_like(c, _lit(r"\p{IsGreek}")), "α").otherwise("a")))
             .when(kind == "given_m", _name(c, longer, ("nrsdk", "нрдк")))
             .when(kind.isin("given", "surname"), _name(c, longer, ("nrst", "внск")))
             .otherwise(_fill(c)))
@@ -195,7 +216,13 @@ def replace_entities(docs, key="surrogates"):
     surrogate is an entity of the data (see surrogate_table). Surrogates keep
     kind, length and separators of numbers, first digits and check digits of
     cards, top-level domains (equal domains stay equal), key prefixes, and the
-    script, capitals and, after a form of address, gender of names.
+    script (Latin, Cyrillic or Greek), capitals and, after a form of address,
+    gender of names.
+
+    A name is found after a form of address, and then wherever it stands alone
+    in the same text with a capital first or in capitals. Names of texts that
+    never give them with a form of address, and names in scripts without
+    capitals, are not found.
 
     Null text stays null with no entities, empty text stays empty. Rows without
     an entity are returned as they are and never move. Repeated rows are
@@ -204,14 +231,16 @@ def replace_entities(docs, key="surrogates"):
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sign = F.coalesce(F.regexp_like("text", _lit(SIGN)), F.lit(False))
     all_ = F.when(sign, F.regexp_extract_all("text", _lit(_any()), F.lit(0))).otherwise(F.expr("cast(array() as array<string>)"))
-    hit = cut_lineage(docs.where(sign).withColumn("found", all_).where(F.size("found") > 0).withColumn("row", F.monotonically_increasing_id()))
+    hit = cut_lineage(docs.where(sign).withColumn("found", all_).where(F.size("found") > 0).withColumn("names", _names(F.col("found")))
+                       .withColumn("found", F.when(F.col("names").isNull(), F.col("found")).otherwise(F.regexp_extract_all("text", _any_or(F.col("names")), F.lit(0))))
+                       .withColumn("row", F.monotonically_increasing_id()))
     found = cut_lineage(mentions(hit))
     table = surrogate_table(found.where("kind is not null"), key)
     new = found.join(table, ["kind", "canonical"], "left").select("row", "place", "part", "type", _rendered().alias("new"))
     new = new.groupBy("row", "place", "type").agg(F.sort_array(F.collect_list(F.struct("part", "new"))).alias("parts"))
     new = new.withColumn("new", F.array_join(F.col("parts.new"), ""))
     new = new.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("place", "type", "new"))).alias("all"))
-    between = F.split("text", _any(), -1)
+    between = F.when(F.col("names").isNull(), F.split("text", _any(), -1)).otherwise(F.split("text", _any_or(F.col("names")), -1))
     text = F.array_join(F.zip_with(between, F.col("all.new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     done = hit.join(new, "row").select("doc_id", text.alias("text"), F.size("all").cast("long").alias("n_entities"),
                                        F.col("all.type").alias("kinds"), F.col("all.new").alias("surrogates"))

@@ -85,3 +85,17 @@ def test_the_sign_hides_no_entity(spark):
     for r in table.collect():
         assert got[r["doc_id"]]["n_entities"] == r["want"] == (r["doc_id"] < len(found)), rows[r["doc_id"]]
     assert all(("correcthorse" not in r["text"]) and ("abcdefgh" not in r["text"]) for r in got.values())
+
+
+def test_bare_names_follow_their_row(spark):
+    rows = [(1, "Dr. Anna Petrova came. Petrova said: ANNA PETROVA's, Petrovas and petrova stay. Mail Petrova@x.example.com."), (2, "Petrova is another. Mr. Bo went."),
+            (3, "Mrs. Anna-Maria Li saw Anna-Maria; Miss Anna Oz saw Anna."), (4, "Dr. Παπαδόπουλος came.")]
+    got = done(spark, rows)
+    m = re.fullmatch(r"Dr\. (\w+) (\w+) came\. (\w+) said: (\w+) (\w+)'s, Petrovas and petrova stay\. Mail \S+@\S+\.example\.com\."
+                     .replace(r"\.example", r"\.\w+"), got[1][0]["text"])
+    assert m and m[2] == m[3] != "Petrova" and m[4] == m[1].upper() and m[5] == m[2].upper() and got[1][0]["n_entities"] == 5
+    assert got[1][0]["kinds"] == ["name"] * 4 + ["email"]
+    assert got[2][0]["text"].startswith("Petrova is another. Mr. ") and got[2][0]["n_entities"] == 1
+    m = re.fullmatch(r"Mrs\. (\w+) \w+ saw (\w+); Miss (\w+) \w+ saw (\w+)\.", got[3][0]["text"])
+    assert m and m[1] == m[2] != m[3] == m[4]
+    assert re.fullmatch("Dr. [Α-Ω][α-ω]+ came.", got[4][0]["text"]) and "Παπα" not in got[4][0]["text"]

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 from . import archives as _archives
 from . import decontamination as _decontamination
 from . import exact_dedup as _exact
+from . import hard_negatives as _hard
 from . import language as _language
 from . import lm_scores as _lm
 from . import mixing as _mixing
 from . import near_dedup as _near
+from . import phrases as _phrases
+from . import pieces as _pieces
 from . import quality as _quality
 from . import surrogates as _surrogates
 from . import token_counts as _tokens
@@ -154,3 +157,66 @@ def vocabulary(name="word_bpe_49k.json"):
 def op10_token_counts(spark, sf_dir):
     """Tokens of all documents."""
     return _tokens.count_tokens(_table(spark, sf_dir, "documents"), vocabulary(), limit=2048)
+
+
+HARD_SQL = """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END::BIGINT AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), true)),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id AS other_id, b.label AS label,
+    list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE label = own
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE label <> own AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER w <= 3
+"""
+
+
+@query("op11_hard_negatives", HARD_SQL)
+def op11_hard_negatives(spark, sf_dir):
+    """Hard negatives of every fiftieth vector among all vectors."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return _hard.mine_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
+PHRASES_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+    FROM (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+g AS (SELECT lang, unnest(flatten(list_transform([1, 2, 3, 4], lambda k: list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])))) AS g FROM p),
+f AS (SELECT lang, g, len(g) AS size, count(*) AS a FROM g GROUP BY ALL),
+c AS (SELECT * FROM f WHERE a >= 30),
+words AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+cuts AS (SELECT c.lang, c.g, c.a, k, x.a AS l, y.a AS r, ((2000000::HUGEINT * c.a) // (x.a + y.a))::BIGINT AS score
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM c WHERE size > 1) c
+    JOIN c x ON x.lang = c.lang AND x.g = c.g[1:k] JOIN c y ON y.lang = c.lang AND y.g = c.g[k + 1:]),
+low AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inner_ AS (SELECT DISTINCT s.lang, s.g FROM (SELECT lang, a, unnest(flatten(list_transform(range(2, size), lambda k:
+    list_transform(range(1, size - k + 2), lambda i: g[i:i + k - 1])))) AS g FROM c WHERE size > 2) s
+    JOIN c o ON o.lang = s.lang AND o.g = s.g WHERE 100 * s.a >= 80 * o.a)
+SELECT lang, (row_number() OVER w)::INTEGER AS rank, array_to_string(g, ' ') AS phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score
+FROM low ANTI JOIN inner_ USING (lang, g) JOIN words USING (lang)
+WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' '))
+QUALIFY row_number() OVER w <= 2000
+"""
+
+
+@query("op12_collocations", PHRASES_SQL)
+def op12_collocations(spark, sf_dir):
+    """Phrases of all documents whose words stay together, by language."""
+    return _phrases.collocations(_table(spark, sf_dir, "documents"), least=30, longest=4, inside_percent=80, most=2000)
+
+
+@query("op13_pieces")
+def op13_pieces(spark, sf_dir):
+    """Digests of the piece ids of all documents and of the texts they decode to."""
+    path = vocabulary("piece_bpe_32k.model")
+    decoded = _pieces.decode_ids(_pieces.encode_texts(_table(spark, sf_dir, "documents"), path), path)
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                          F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                          F.sha2("text", 256).alias("decoded_sha256"))

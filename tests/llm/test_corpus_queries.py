@@ -116,3 +116,13 @@ def test_token_counts(spark):
     for r in rows(spark, "op10_token_counts"):
         n = len(library.encode(texts[r["doc_id"]], add_special_tokens=False).ids)
         assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len(texts[r["doc_id"]].encode()), n, n > 2048)
+
+
+def test_pieces(spark):
+    library = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=Q.vocabulary("piece_bpe_32k.model"))
+    texts, got = dict(zip(table("documents").doc_id, table("documents").text)), rows(spark, "op13_pieces")
+    assert len(got) == len(texts)
+    for r in got:
+        ids = library.encode(texts[r["doc_id"]], add_eos=True)
+        sums = [hashlib.sha256(x.encode()).hexdigest() for x in (" ".join(map(str, ids)), library.decode(ids))]
+        assert [r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]] == [len(ids), *sums]

@@ -14,6 +14,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .lm_scores import _pack, _split, _tally, _unpack
 from .words import BYTE_KEYS, STEP, STEP_BACK, _power, blocks, mix, texts_of
 
 #: Bytes that end a piece, and those that part words.
@@ -24,6 +25,10 @@ GAPS[[9, 32]] = True
 #: Bits of the map of frequent words and pairs that goes to all workers: 16 MB at most.
 MAP_BITS = 2 ** 27
 SLICE = 2 ** 15
+#: Names that a task holds before it hands them on.
+FLUSH = 1_000_000
+#: Bytes of text for each shard of names.
+SHARD_BYTES = 16_000_000
 
 
 def words_of(texts):
@@ -70,29 +75,40 @@ def _salt(lang):
     return mix(np.frombuffer(lang.encode().ljust(8, b"\0")[:8], dtype=np.uint64) + np.uint64(len(lang)))[0]
 
 
-def _tally(parts):
-    if not parts:
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    names, counts = (np.concatenate(x) for x in zip(*parts))
-    found, at = np.unique(names, return_inverse=True)
-    return found, np.bincount(at, counts, len(found)).astype(np.int64)
-
-
-def _names(longest):
-    """How often words and pairs of neighbours occur in each batch, by name."""
-    def run(batches):
+def _names(shards, longest):
+    """How often words and pairs of neighbours occur, by name; handed on whenever many are held."""
+    def counted(batches):
+        held, size = [], 0
         for batch in batches:
-            parts = []
             for lang, texts in _by_language(batch):
                 words, joined = words_of(texts)
                 if not len(words):
                     continue
                 names = name_hashes(words) ^ _salt(lang)
-                parts.append(np.unique(names, return_counts=True))
+                held.append(np.unique(names, return_counts=True))
                 if longest > 1 and len(names) > 1:
-                    parts.append(np.unique(pair_hashes(names)[joined[:-1]], return_counts=True))
-            found, counts = _tally(parts)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], names=["name", "n"])
+                    held.append(np.unique(pair_hashes(names)[joined[:-1]], return_counts=True))
+                size += sum(len(h[0]) for h in held[-2:])
+                if size >= FLUSH:
+                    held = [_tally(held)]
+                    if len(held[0][0]) >= FLUSH // 2:
+                        yield held.pop()
+                    size = sum(len(h[0]) for h in held)
+        if held:
+            yield _tally(held)
+
+    def run(batches):
+        for found, counts in counted(batches):
+            parts = [(shard, _pack(names, counts[at])) for shard, at, names in _split(found, shards)]
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in parts], pa.int32()), pa.array([x for _, x in parts], pa.binary())], names=["shard", "blob"])
+    return run
+
+
+def _frequent(least):
+    """Places of a shard's names that occur ``least`` times or more."""
+    def run(table):
+        names, counts = _tally([_unpack(b.as_py()) for b in table.column("blob")])
+        return pa.table({"place": pa.array((names[counts >= least] & np.uint64(MAP_BITS - 1)).astype(np.int64))})
     return run
 
 
@@ -109,8 +125,9 @@ def _slice(batches):
 
 def frequent_map(docs, least, longest):
     """Bit map of the words and pairs that occur ``least`` times or more; others may share their bits."""
-    counts = docs.mapInArrow(_names(longest), "name long, n long").groupBy("name").agg(F.sum("n").alias("n"))
-    places = counts.where(F.col("n") >= least).select(F.pmod("name", F.lit(MAP_BITS)).alias("place"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = size // SHARD_BYTES + 1
+    places = docs.mapInArrow(_names(shards, longest), "shard int, blob binary").groupBy("shard").applyInArrow(_frequent(least), "place long")
     parts = places.repartition(F.expr(f"place div {SLICE}")).mapInArrow(_slice, "part long, bits binary")
     out = np.zeros(MAP_BITS // 8, dtype=np.uint8)
     for r in parts.collect():  # MAP_BITS / 8 bytes at most
@@ -129,7 +146,7 @@ def _windows(sent, longest):
         held = sent.value
 
         def inside(names):
-            place = (names.view(np.int64) % MAP_BITS)
+            place = (names & np.uint64(MAP_BITS - 1)).astype(np.int64)
             return (held[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
         for batch in batches:
             tables = []

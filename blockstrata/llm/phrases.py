@@ -135,44 +135,52 @@ def frequent_map(docs, least, longest):
     return out
 
 
-def _counted(lang, phrases, size, counts):
-    return pa.table([pa.array([lang] * len(phrases), pa.string()), phrases, pa.array(np.full(len(phrases), size, np.int32)), counts],
-                    names=["lang", "phrase", "size", "n"])
+COUNTED = pa.schema([("phrase", pa.large_binary()), ("size", pa.int32()), ("n", pa.int64())])
 
 
 def _windows(sent, longest):
-    """Counts of word sequences that only hold words and neighbours of the map, for each batch."""
-    def run(batches):
-        held = sent.value
+    """Counts of word sequences that only hold words and neighbours of the map, handed on whenever many are held."""
+    def inside(held, names):
+        place = (names & np.uint64(MAP_BITS - 1)).astype(np.int64)
+        return (held[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
+
+    def sequences(held, words, joined, lang):
+        """Distinct sequences of a block's words, by size, with their counts."""
+        names = name_hashes(words) ^ _salt(lang)
+        starts = np.flatnonzero(inside(held, names))
+        follows = np.zeros(len(names), dtype=bool)
+        if len(names) > 1:
+            follows[:-1] = joined[:-1] & inside(held, pair_hashes(names))
+        phrase = words.take(pa.array(starts))
+        for size in range(1, longest + 1):
+            counted = pc.value_counts(phrase)
+            yield pa.table([counted.field(0), pa.array(np.full(len(counted), size, np.int32)), counted.field(1)], schema=COUNTED)
+            more = follows[starts + size - 1]
+            if size == longest or not more.any():
+                break
+            starts = starts[more]
+            phrase = pc.binary_join_element_wise(phrase.filter(pa.array(more)), words.take(pa.array(starts + size)), pa.scalar(b" ", pa.large_binary()))
+
+    def summed(lang, tables):
+        out = pa.concat_tables(tables).group_by(["phrase", "size"]).aggregate([("n", "sum")])
+        out = pa.table({"lang": pa.array([lang] * len(out), pa.string()), "phrase": out["phrase"].cast(pa.binary()), "size": out["size"], "n": out["n_sum"]})
+        return out.to_batches(max_chunksize=50_000)
 
-        def inside(names):
-            place = (names & np.uint64(MAP_BITS - 1)).astype(np.int64)
-            return (held[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
+    def run(batches):
+        held, tables, rows, before = sent.value, [], 0, None
         for batch in batches:
-            tables = []
             for lang, texts in _by_language(batch):
+                if rows >= FLUSH // 8 or lang != before:
+                    if tables:
+                        yield from summed(before, tables)
+                    tables, rows, before = [], 0, lang
                 words, joined = words_of(texts)
-                if not len(words):
-                    continue
-                tables.append(_counted(lang, pa.array([b""], pa.large_binary()), 0, pa.array([len(words)])))
-                names = name_hashes(words) ^ _salt(lang)
-                starts = np.flatnonzero(inside(names))
-                follows = np.zeros(len(names), dtype=bool)
-                if len(names) > 1:
-                    follows[:-1] = joined[:-1] & inside(pair_hashes(names))
-                phrase = words.take(pa.array(starts))
-                for size in range(1, longest + 1):
-                    counted = pc.value_counts(phrase)
-                    tables.append(_counted(lang, counted.field(0), size, counted.field(1)))
-                    more = follows[starts + size - 1]
-                    if size == longest or not more.any():
-                        break
-                    starts = starts[more]
-                    phrase = pc.binary_join_element_wise(phrase.filter(pa.array(more)), words.take(pa.array(starts + size)), pa.scalar(b" ", pa.large_binary()))
-            if tables:
-                out = pa.concat_tables(tables).group_by(["lang", "phrase", "size"]).aggregate([("n", "sum")])
-                yield from out.select(["lang", "phrase", "size", "n_sum"]).rename_columns(["lang", "phrase", "size", "n"]).cast(
-                    pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("size", pa.int32()), ("n", pa.int64())])).to_batches()
+                if len(words):
+                    tables.append(pa.table([pa.array([b""], pa.large_binary()), pa.array([0], pa.int32()), pa.array([len(words)])], schema=COUNTED))
+                    tables += sequences(held, words, joined, lang)
+                    rows += sum(len(t) for t in tables[-longest:])
+        if tables:
+            yield from summed(before, tables)
     return run
 
 

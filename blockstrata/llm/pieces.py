@@ -11,6 +11,7 @@ import codecs
 import heapq
 import re
 import struct
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +22,13 @@ from .words import blocks, texts_of
 MARKER = "▁"
 MARKED = re.compile(rb" +[^ ]*")
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
+NONE = 1 << 30
 #: What an unknown piece is decoded to.
 UNKNOWN_TEXT = " ⁇ ".encode()
-#: Words up to this length are merged by repeated search, longer ones with a heap.
-SHORT = 24
+#: Words up to this many letters are merged together as arrays, longer ones singly with a heap.
+SHORT = 64
+#: Symbols from here on are letters without a piece of their own.
+LETTER = 1 << 21
 
 codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
 
@@ -88,6 +92,89 @@ class PieceModel:
         self.end = int(trainer.get(42, 2))
         #: Neighbours that some piece holds; no merge reaches across any others.
         self.together = {text[i:i + 2] for text in self.ids for i in range(len(text) - 1)}
+        self._pairs()
+
+    def _pairs(self):
+        """Tables of letters, and of symbol pairs with the rank of their score and the piece that they make."""
+        self.letters = np.arange(LETTER, LETTER + 0x110000)
+        for text, own in self.ids.items():
+            if len(text) == 1:
+                self.letters[ord(text)] = own
+        symbol = lambda t: int(self.letters[ord(t)]) if len(t) == 1 else self.ids.get(t)
+        rank = {v: i for i, v in enumerate(sorted(set(self.scores.values()), reverse=True))}
+        found = sorted((left << 32 | right, rank[self.scores[text]], own) for text, own in self.ids.items() for i in range(1, len(text))
+                       if (left := symbol(text[:i])) is not None and (right := symbol(text[i:])) is not None)
+        self.pair_keys, self.pair_ranks, self.pair_pieces = np.array(found, dtype=np.int64).reshape(-1, 3).T.copy()
+
+    def _ranks(self, left, right):
+        """Ranks of symbol pairs and what they make; a pair of no piece has the rank NONE."""
+        keys = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), max(len(self.pair_keys) - 1, 0))
+        if not len(self.pair_keys):
+            return np.full(len(keys), NONE), at
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NONE), self.pair_pieces[at]
+
+    def segment_all(self, words):
+        """Ids of many marked words in a row, and how many each has.
+
+        In every round each word merges its best pair, of equal ones the
+        leftmost; words without one leave the arrays.
+        """
+        out = [None] * len(words)
+        short = []
+        for i, w in enumerate(words):
+            if len(w) > SHORT:
+                out[i] = self.segment(w)
+            else:
+                short.append(i)
+        texts = [words[i].decode().replace(" ", MARKER) for i in short]
+        sizes = np.array([len(t) for t in texts], dtype=np.int64)
+        symbols = self.letters[np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32)]
+        names, done = np.array(short, dtype=np.int64), []
+        starts = np.cumsum(sizes) - sizes
+        ranks, makes = self._ranks(symbols, np.append(symbols[1:], 0))
+        ranks[starts + sizes - 1] = NONE
+        while len(names):
+            best = np.minimum.reduceat(ranks << 32 | np.arange(len(symbols)), starts)
+            ended = best >> 32 >= NONE
+            if ended.any():
+                own = np.repeat(ended, sizes)
+                done.append((names[ended], sizes[ended], symbols[own]))
+                # What stays moves up by the symbols that leave before it.
+                gone = np.cumsum(np.where(ended, sizes, 0))[~ended]
+                symbols, ranks, makes, best = symbols[~own], ranks[~own], makes[~own], best[~ended] - gone
+                names, sizes = names[~ended], sizes[~ended]
+                if not len(names):
+                    break
+            at = best & 0xFFFFFFFF
+            symbols[at] = makes[at]
+            keep = np.ones(len(symbols), dtype=bool)
+            keep[at + 1] = False
+            symbols, ranks, makes = symbols[keep], ranks[keep], makes[keep]
+            at -= np.arange(len(at))
+            sizes -= 1
+            starts = np.cumsum(sizes) - sizes
+            last = starts + sizes - 1
+            near = np.concatenate((at[at < last], at[at > starts] - 1))
+            ranks[near], makes[near] = self._ranks(symbols[near], symbols[near + 1])
+            ranks[last] = NONE
+        for own, each, ids in done:
+            cuts = np.cumsum(each) - each
+            for i, lo, n in zip(own.tolist(), cuts.tolist(), each.tolist()):
+                out[i] = ids[lo:lo + n]
+        sizes = np.array([len(x) for x in out], dtype=np.int64)
+        ids = np.concatenate([np.zeros(0, np.int64), *out]) if out else np.zeros(0, np.int64)
+        odd = np.flatnonzero(ids >= LETTER)
+        if len(odd):
+            spelled = [[self.bytes[b] for b in chr(c).encode()] for c in (ids[odd] - LETTER).tolist()]
+            more = np.array([len(x) for x in spelled])
+            owner = np.repeat(np.arange(len(out)), sizes)
+            np.add.at(sizes, owner[odd], more - 1)
+            wide = np.ones(len(ids), dtype=np.int64)
+            wide[odd] = more
+            ids, first = np.repeat(ids, wide), (np.cumsum(wide) - wide)[odd]
+            ids[np.repeat(first - np.cumsum(more) + more, more) + np.arange(more.sum())] = np.concatenate([np.array(x) for x in spelled])
+        return ids, sizes
 
     def segment(self, word):
         """Piece ids of a marked word, its markers given as spaces."""
@@ -106,22 +193,6 @@ class PieceModel:
 
     def merged(self, text):
         """Symbols of a run of letters; the best pair merges first, of equal ones the leftmost."""
-        scores = self.scores
-        if len(text) > SHORT:
-            return self._merged_long(text)
-        symbols = list(text)
-        while len(symbols) > 1:
-            best, at = None, -1
-            for i in range(len(symbols) - 1):
-                score = scores.get(symbols[i] + symbols[i + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, i
-            if best is None:
-                break
-            symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
-        return symbols
-
-    def _merged_long(self, text):
         scores, symbols, n = self.scores, list(text), len(text)
         after, before, heap = list(range(1, n + 1)), list(range(-1, n - 1)), []
 
@@ -166,12 +237,11 @@ class WordTable:
     def learn(self, words):
         """Segment the words that are new here."""
         new = [w for w in words if w not in self.places]
-        found = [self.model.segment(w) for w in new]
-        sizes = np.array([len(ids) for ids in found], dtype=np.int64)
+        flat, sizes = self.model.segment_all(new)
         self.places.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new))))
         self.begins = np.concatenate((self.begins, len(self.flat) + np.cumsum(sizes) - sizes))
         self.sizes = np.concatenate((self.sizes, sizes))
-        self.flat = np.concatenate((self.flat, np.array([i for ids in found for i in ids], dtype=np.int64)))
+        self.flat = np.concatenate((self.flat, flat))
 
     def encode(self, texts):
         """Ids of all texts of a block in a row, and how many each has; the end id closes each."""
@@ -181,7 +251,7 @@ class WordTable:
         self.learn(set().union(*marked))
         places, sizes = self.places, self.sizes
         counts = np.array([len(m) for m in marked], dtype=np.int64)
-        at = np.fromiter((places[w] for m in marked for w in m), dtype=np.int64, count=int(counts.sum()))
+        at = np.fromiter(map(places.__getitem__, chain.from_iterable(marked)), dtype=np.int64, count=int(counts.sum()))
         ids = _gather(self.flat, self.begins[at], sizes[at])
         bounds = np.concatenate(([0], np.cumsum(sizes[at])))[np.concatenate(([0], np.cumsum(counts)))]
         return np.insert(ids, bounds[1:], self.model.end).astype(np.int32), np.diff(bounds) + 1

@@ -44,13 +44,22 @@ def test_any_ids(spark, library):
 
 def test_each_word_is_segmented_once(monkeypatch):
     table, seen = WordTable(PieceModel(PATH), 1000), []
-    segment = table.model.segment
-    monkeypatch.setattr(table.model, "segment", lambda w: seen.append(w) or segment(w))
+    segment = table.model.segment_all
+    monkeypatch.setattr(table.model, "segment_all", lambda words: seen.extend(words) or segment(words))
     table.encode([b"one two one", b"two  two", b""])
     table.encode([b"two one"])
     assert sorted(seen) == [b"  two", b" one", b" two"]
 
 
+def test_words_together_as_words_alone():
+    model, rnd = PieceModel(PATH), random.Random(4)
+    words = list({(" " * rnd.randrange(1, 4) + "".join(rnd.choice("aeinrst hel😀中ßं0") for _ in range(rnd.randrange(0, 40))).replace(" ", "")).encode() for _ in range(3000)})
+    ids, sizes = model.segment_all(words)
+    cuts = [0, *sizes.cumsum().tolist()]
+    assert [ids[a:b].tolist() for a, b in zip(cuts, cuts[1:])] == [model.segment(w) for w in words]
+    assert [len(x) for x in model.segment_all([])] == [0, 0]
+
+
 def test_other_models_are_refused(tmp_path):
     def field(number, kind, data):
         return bytes([number << 3 | kind]) + data

@@ -20,7 +20,7 @@ from .words import blocks, mix, texts_of, word_hashes
 START, END = (mix(np.array([x], dtype=np.uint64))[0] for x in (101, 103))
 FLUSH = 1_500_000
 #: Bytes of text in a block, and tokens whose pairs make a shard.
-BLOCK, SHARD = 4_000_000, 4_000_000
+BLOCK, SHARD = 2_000_000, 4_000_000
 #: Lowest of the upper levels, and how many of them must answer before the lower ones need not be asked.
 UPPER, SURE = 4, 3
 #: A shard takes the top 24 bits of a hash, a name within it the lower 48.

@@ -11,9 +11,11 @@ EITHER = "Dr|Prof|Professor|Доктор"
 NAME = r"\p{Lu}[\p{L}'’-]+"
 #: An entity begins where no letter or digit goes before.
 EDGE = r"(?<![\p{L}\d])"
-#: Patterns of each kind after an edge, in the order in which they are tried.
+LABEL = r"[\p{L}\p{M}\p{N}-]++"
+#: Patterns of each kind after an edge, in the order in which they are tried. No group repeats without a
+#: bound unless possessively, for Java calls itself once per turn; an address begins where no sign of one goes before.
 KINDS = {
-    "email": r"[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
+    "email": rf"(?<![\p{{L}}\p{{M}}\p{{N}}._%+-])[\p{{L}}\p{{M}}\p{{N}}._%+-]++@{LABEL}(?:(?:\.{LABEL}){{127,}}+(?<=\.\p{{L}}{{2,63}})|(?:\.{LABEL}){{0,126}}\.\p{{L}}{{2,}})",
     "key": r"(?:AKIA|ASIA)[A-Z0-9]{12,20}(?![A-Za-z0-9])|(?:ghp_|sk-)[A-Za-z0-9]{16,}",
     "secret": r"(?i:(?:password|passwd|pwd|token|secret|api_?key)\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9_+/=-]{8,}",
     "ip": r"(?<!\.)(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\d]|\.\d)",
@@ -67,7 +69,7 @@ def mentions(docs):
     ``docs``: row, found (the entities of a text in order).
 
     Names give a part per word, so that a name alone and within a longer name
-    is the same entity; what stays as it is has a null kind. A name without a
+    is the same entity, addresses their mailbox and their domain; what stays as it is has a null kind. A name without a
     form of address has the kind that it has elsewhere in its row.
     """
     found = docs.select("row", F.posexplode("found").alias("place", "mention"))
@@ -75,6 +77,7 @@ def mentions(docs):
     head = F.regexp_extract("mention", SECRET_HEAD, 1)
     hidden = F.col("type").isin("key", "secret")
     parts = (F.when(F.col("type") == "name", F.regexp_extract_all("mention", _lit(r"\S+|\s+"), F.lit(0)))
+             .when(F.col("type") == "email", F.array(F.substring_index("mention", "@", 1), F.lit("@"), F.substring_index("mention", "@", -1)))
              .when(hidden, F.array(head, F.substring("mention", F.char_length(head) + 1, F.char_length("mention"))))
              .otherwise(F.array("mention")))
     gender = (F.when(F.regexp_like("mention", _lit(rf"^(?:{WOMEN})\b")), "given_f")
@@ -85,12 +88,13 @@ def mentions(docs):
             .when((F.col("type") == "name") & ((part == 0) | (part % 2 == 1)), F.lit(None))
             .when(F.col("type") == "name", F.when(part == n - 1, "surname").otherwise(F.col("gender")))
             .when(F.col("type").isin("key", "secret") & (part == 0), F.lit(None))
+            .when(F.col("type") == "email", F.when(part == 0, "mailbox").when(part == 2, "domain"))
             .otherwise(F.col("type")))
     found = found.withColumn("kind", kind)
     piece = F.col("piece")
     canonical = (F.when(F.col("kind").isin(*DIGIT_KINDS), F.regexp_replace(piece, r"\D", ""))
                  .when(F.col("kind") == "iban", F.regexp_replace(piece, " ", ""))
-                 .when(F.col("kind").isin("email", "surname", "given", "given_f", "given_m", "bare"), F.lower(piece)).otherwise(piece))
+                 .when(F.col("kind").isin("mailbox", "domain", "surname", "given", "given_f", "given_m", "bare"), F.lower(piece)).otherwise(piece))
     found = found.withColumn("canonical", canonical)
     # By their order, a surname goes before a given name, and a known gender before none.
     named = F.max(F.when(F.col("kind").startswith("given") | (F.col("kind") == "surname"), F.col("kind"))).over(W.partitionBy("row", "canonical"))
@@ -106,17 +110,40 @@ def _pick(letters, i, salt="root"):
     return F.substring(F.lit(letters), (_draw(i, len(letters), salt) + 1).cast("int"), F.lit(1))
 
 
+#: Letters that stand for those of a script without small letters, and small and large ones of others.
+LETTERS = {
+    "IsHan": "安白北本成大东方高光国海和河华家江金林明南平青山石水天文西新雪阳永玉园云中竹子",
+    "IsHiragana": "あいうえおかきくけこさしすせそたちつてとなにぬねのまみむめもやゆよらりるれろ",
+    "IsKatakana": "アイウエオカキクケコサシスセソタチツテトナニヌネノマミムメモヤユヨラリルレロ",
+    "IsHangul": "가나다라마바사아자차카타파하고노도로모보소오조초코토포호구누두루무부수우주",
+    "IsArabic": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي",
+    "IsHebrew": "אבגדהוזחטיכלמנסעפצקרשת",
+    "IsDevanagari": "कखगघचछजझटठडढतथदधनपफबभमयरलवशषसह",
+    "IsThai": "กขคฆงจฉชซญฎฏฐดตถทธนบปผฝพฟภมยรลวศษสหอ",
+}
+
+
 def _fill(text, salt="root", base=0):
-    """Every letter and digit of a text replaced by one of its own kind."""
-    def one(i):
-        c, at = F.substring(text, i, F.lit(1)), i + base
-        return (F.when(F.regexp_like(c, _lit(r"^\d$")), _pick("0123456789", at, salt))
-                .when(F.regexp_like(c, _lit("^[a-z]$")), _pick("abcdefghijklmnopqrstuvwxyz", at, salt))
-                .when(F.regexp_like(c, _lit("^[A-Z]$")), _pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", at, salt))
-                .when(F.regexp_like(c, _lit(r"^[\u0430-\u044f]$")), _pick("абвгдежзиклмнопрстуфхцчшэюя", at, salt))
-                .when(F.regexp_like(c, _lit(r"^\p{Ll}$")), _pick("aeioubcdfglmnprst", at, salt))
-                .when(F.regexp_like(c, _lit(r"^\p{L}$")), c).otherwise(c))
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(text), F.lit(1))), one), "")
+    """Every letter and digit of a text replaced by one of its own kind and script."""
+    def one(c, i):
+        at = i + 1 + base
+        out = (F.when(F.regexp_like(c, _lit(r"^\d$")), _pick("0123456789", at, salt))
+               .when(F.regexp_like(c, _lit("^[a-z]$")), _pick("abcdefghijklmnopqrstuvwxyz", at, salt))
+               .when(F.regexp_like(c, _lit("^[A-Z]$")), _pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", at, salt))
+               .when(F.regexp_like(c, _lit(r"^[\u0430-\u044f]$")), _pick("абвгдежзиклмнопрстуфхцчшэюя", at, salt))
+               .when(F.regexp_like(c, _lit(r"^[\u0410-\u042f]$")), _pick("АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ", at, salt))
+               .when(F.regexp_like(c, _lit(r"^\p{Ll}$")), _pick("aeioubcdfglmnprst", at, salt))
+               .when(F.regexp_like(c, _lit(r"^\p{Lu}$")), _pick("AEIOUBCDFGLMNPRST", at, salt)))
+        for script, letters in LETTERS.items():
+            out = out.when(F.regexp_like(c, _lit(rf"^(?=\p{{L}})\p{{{script}}}$")), _pick(letters, at, salt))
+        return (out.when(F.regexp_like(c, _lit(r"^\p{L}$")), _pick("aeioubcdfglmnprst", at, salt))
+                .when(F.regexp_like(c, _lit(r"^\p{N}$")), _pick("0123456789", at, salt)).otherwise(c))
+    return F.array_join(F.transform(F.regexp_extract_all(text, _lit("(?s)."), F.lit(0)), one), "")
+
+
+def _more(longer, letters="abcdefghijklmnopqrstuvwxyz0123456789"):
+    """Further letters for what still collides."""
+    return F.when(longer > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(longer, F.lit(1))), lambda i: _pick(letters, i + 5000)), "")).otherwise("")
 
 
 def _hex(text):
@@ -144,39 +171,39 @@ def _name(text, longer, end):
 def _surrogate():
     c, kind, longer = F.col("canonical"), F.col("kind"), F.floor(F.col("attempt") / 3).cast("int")
     octet = lambda i, low, n: (_draw(F.lit(i), n) + low).cast("string")
-    at = F.instr(c, "@")
-    domain = F.substring(c, at + 1, F.char_length(c))
-    dot = F.char_length(domain) - F.char_length(F.substring_index(domain, ".", -1))
-    email = F.concat(_fill(F.substring(c, F.lit(1), at - 1)), F.lit("@"), _fill(F.substring(domain, F.lit(1), dot), "domain_root"),
-                     F.substring_index(domain, ".", -1))
+    dot = F.char_length(c) - F.char_length(F.substring_index(c, ".", -1))
+    # Before the dot of the last label.
+    domain = F.concat(_fill(F.substring(c, F.lit(1), F.greatest(dot - 1, F.lit(0)))), _more(longer), F.lit("."), F.substring_index(c, ".", -1))
     card = F.concat(F.substring(c, 1, 1), _fill(F.substring(c, F.lit(2), F.char_length(c))))
     phone = F.concat(F.substring(c, 1, 1), _pick("23456789", F.lit(900)), _fill(F.substring(c, F.lit(3), F.char_length(c))))
-    return (F.when(kind == "email", email)
+    return (F.when(kind == "domain", domain)
+            .when(kind == "mailbox", F.concat(_fill(c), _more(longer)))
             .when(kind == "ip", F.concat_ws(".", octet(1, 1, 223), octet(2, 0, 256), octet(3, 0, 256), octet(4, 1, 254)))
             .when(kind == "phone", phone)
             .when((kind == "card") & (_luhn(c) == c), _luhn(card))
             .when(kind == "card", card)
             .when(kind == "iban", F.concat(F.substring(c, 1, 2), _fill(F.substring(c, F.lit(3), F.char_length(c)))))
-            .when(kind.isin("secret", "key") & F.regexp_like(c, _lit("^[0-9a-f]+$")), _hex(c))
+            .when(kind.isin("secret", "key") & F.regexp_like(c, _lit("^[0-9a-f]+$")), F.concat(_hex(c), _more(longer, "0123456789abcdef")))
+            .when(kind.isin("secret", "key"), F.concat(_fill(c), _more(longer)))
             .when(kind == "given_f", F.concat(_name(c, longer, ("lnrs", "лнрс")), F.when(F.regexp_like(c, _lit(r"\p{IsCyrillic}")), "а").when(F.regexp_like(c, _lit(r"\p{IsGreek}")), "α").otherwise("a")))
             .when(kind == "given_m", _name(c, longer, ("nrsdk", "нрдк")))
             .when(kind.isin("given", "surname"), _name(c, longer, ("nrst", "внск")))
             .otherwise(_fill(c)))
 
 
-def surrogate_table(entities, key, attempts=60):
+def surrogate_table(entities, key):
     """kind, canonical, surrogate: distinct entities with distinct surrogates.
 
     A surrogate that another entity of its kind has too, or that is itself an
     entity of the data, is drawn anew for all but the first of them, until
-    none is left.
+    none is left. After every third draw names, mailboxes, domains, secrets and
+    keys grow by a syllable or letter.
     """
     table = entities.select("kind", "canonical").distinct().withColumn("attempt", F.lit(0))
     names = F.when(F.col("kind").startswith("given") | (F.col("kind") == "surname"), "name").otherwise(F.col("kind"))
-    for _ in range(attempts):
+    while True:
         root = F.sha2(F.concat_ws("\x1f", F.lit(key), "kind", "canonical", "attempt"), 256)
-        domain = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("domain"), F.substring_index("canonical", "@", -1)), 256)
-        table = cut_lineage(table.withColumn("root", root).withColumn("domain_root", domain).withColumn("surrogate", _surrogate())
+        table = cut_lineage(table.withColumn("root", root).withColumn("surrogate", _surrogate())
                             .select("kind", "canonical", "attempt", names.alias("space"), "surrogate"))
         first = table.groupBy("space", "surrogate").agg(F.min(F.struct("kind", "canonical")).alias("first"), F.count("*").alias("n"))
         again = first.where("n > 1").join(table, ["space", "surrogate"]).where("not (kind = first.kind AND canonical = first.canonical)")
@@ -187,7 +214,6 @@ def surrogate_table(entities, key, attempts=60):
             return table.select("kind", "canonical", "surrogate")
         table = table.join(clash, ["kind", "canonical"], "left").select(
             "kind", "canonical", (F.col("attempt") + F.coalesce("clash", F.lit(0))).alias("attempt"))
-    raise RuntimeError("surrogates still collide; raise attempts")
 
 
 def _rendered():
@@ -201,7 +227,7 @@ def _rendered():
             .when(F.col("kind").isin(*DIGIT_KINDS, "iban"), placed)
             .when(F.col("kind").isin("surname", "given", "given_f", "given_m"),
                   F.when(F.upper(piece) == piece, F.upper(s)).otherwise(F.initcap(s)))
-            .when((F.col("kind") == "email") & (F.upper(piece) == piece), F.upper(s)).otherwise(s))
+            .when(F.col("kind").isin("mailbox", "domain") & (F.upper(piece) == piece) & (F.lower(piece) != piece), F.upper(s)).otherwise(s))
 
 
 def replace_entities(docs, key="surrogates"):

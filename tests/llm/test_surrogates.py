@@ -1,4 +1,5 @@
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -67,7 +68,7 @@ def test_collisions_are_drawn_anew(spark):
 def test_every_part_has_a_place(spark):
     docs = spark.createDataFrame([(1, ["Mr. Bo Li", "x@y.zz"])], "row long, found array<string>")
     got = sorted((r["place"], r["part"], r["piece"], r["kind"]) for r in mentions(docs).collect() if r["kind"])
-    assert got == [(0, 2, "Bo", "given_m"), (0, 4, "Li", "surname"), (1, 0, "x@y.zz", "email")]
+    assert got == [(0, 2, "Bo", "given_m"), (0, 4, "Li", "surname"), (1, 0, "x", "mailbox"), (1, 2, "y.zz", "domain")]
 
 
 def test_empty_table_and_plan(spark):
@@ -99,3 +100,34 @@ def test_bare_names_follow_their_row(spark):
     m = re.fullmatch(r"Mrs\. (\w+) \w+ saw (\w+); Miss (\w+) \w+ saw (\w+)\.", got[3][0]["text"])
     assert m and m[1] == m[2] != m[3] == m[4]
     assert re.fullmatch("Dr. [Α-Ω][α-ω]+ came.", got[4][0]["text"]) and "Παπα" not in got[4][0]["text"]
+
+
+def test_long_and_odd_texts_end_soon(spark):
+    """Texts that made patterns call themselves or start anew at every sign."""
+    rows = [(1, "x 1 a@" + "a." * 3000 + "com end"), (2, "1 " + "-" * 1_000_000), (3, "1 " + "._%+" * 250_000), (4, "1 b@" + "label." * 20_000 + "org."),
+            (5, "1 " + "Ab_-9" * 200_000), (6, "1 " + "a@" * 300_000), (7, "1 " + "word " * 200_000), (8, "c@" + "x" * 500_000), (9, "d@e.com-f and g@h.org.")]
+    start = time.time()
+    got = done(spark, rows)
+    assert time.time() - start < 60
+    assert [got[i][0]["n_entities"] for i, _ in rows] == [1, 0, 0, 1, 0, 0, 0, 0, 2]
+    assert re.fullmatch(r"x 1 \S@\S+\.com end", got[1][0]["text"]) and got[1][0]["text"].count(".a") < 400 and got[4][0]["text"].endswith(".org.")
+
+
+def test_addresses_in_any_script(spark):
+    found = ["张伟@例子.中国", "张伟@example.com", "محمد@مثال.com", "דוד@example.org", "राम@example.in", "ÉLODIE@EXAMPLE.FR", "ИВАН@пример.рф", "ⅣⅤ@x.yz", "ʼaʼ@x.yz"]
+    got = done(spark, [(i, f"to {t} now") for i, t in enumerate(found)])
+    for i, old in enumerate(found):
+        new = got[i][0]["surrogates"][-1]
+        mailbox, domain = old.split("@")
+        letters = {c for c in mailbox if c.isalpha() and c != "ʼ"}
+        assert not letters & set(new.split("@")[0]) or len(mailbox) > 3, (old, new)
+        assert new.split("@")[0] != mailbox and new.split("@")[1] != domain and new.rsplit(".", 1)[1] == domain.rsplit(".", 1)[1]
+    assert re.fullmatch(r"[\u4e00-\u9fff]{2}@[\u4e00-\u9fff]{2}\.中国", got[0][0]["surrogates"][0])
+
+
+def test_different_domains_stay_different(spark):
+    rows = [(i, f"m{i}@{a}.co") for i, a in enumerate("abcdefghijklmnopqrstuvwxyz0123456789")] + [(90 + i, f"q@{a}.co") for i, a in enumerate("abc")]
+    got = done(spark, rows)
+    new = [got[i][0]["surrogates"][0].split("@") for i, _ in rows]
+    assert len({d for _, d in new}) == 36 and [d for _, d in new[36:]] == [d for _, d in new[:3]] and len({tuple(x) for x in new}) == len(rows)
+    assert not {d for _, d in new} & {t.split("@")[1] for _, t in rows}

@@ -26,7 +26,7 @@ GAPS[[9, 32]] = True
 MAP_BITS = 2 ** 27
 SLICE = 2 ** 15
 #: Names that a task holds before it hands them on.
-FLUSH = 1_000_000
+FLUSH = 500_000
 #: Bytes of text for each shard of names.
 SHARD_BYTES = 16_000_000
 
@@ -63,12 +63,14 @@ def pair_hashes(names):
     return mix(names[:-1] * np.uint64(0xA24BAED4963EE407) + names[1:])
 
 
-def _by_language(batch):
-    """Language and texts of a batch, in blocks."""
-    for lang in pc.unique(batch.column(0)).to_pylist():
-        texts = texts_of(batch.filter(pc.equal(batch.column(0), lang)).column(1))
-        for lo, hi in blocks(texts):
-            yield lang, texts[lo:hi]
+def _by_language(batch, rows=500):
+    """Language and texts of a batch, in blocks; few rows at a time are held as texts."""
+    for at in range(0, batch.num_rows, rows):
+        part = batch.slice(at, rows)
+        for lang in pc.unique(part.column(0)).to_pylist():
+            texts = texts_of(part.filter(pc.equal(part.column(0), lang)).column(1))
+            for lo, hi in blocks(texts):
+                yield lang, texts[lo:hi]
 
 
 def _salt(lang):
@@ -167,20 +169,22 @@ def _windows(sent, longest):
         return out.to_batches(max_chunksize=50_000)
 
     def run(batches):
-        held, tables, rows, before = sent.value, [], 0, None
+        held, tables, rows = sent.value, {}, {}
         for batch in batches:
             for lang, texts in _by_language(batch):
-                if rows >= FLUSH // 8 or lang != before:
-                    if tables:
-                        yield from summed(before, tables)
-                    tables, rows, before = [], 0, lang
                 words, joined = words_of(texts)
-                if len(words):
-                    tables.append(pa.table([pa.array([b""], pa.large_binary()), pa.array([0], pa.int32()), pa.array([len(words)])], schema=COUNTED))
-                    tables += sequences(held, words, joined, lang)
-                    rows += sum(len(t) for t in tables[-longest:])
-        if tables:
-            yield from summed(before, tables)
+                if not len(words):
+                    continue
+                own = tables.setdefault(lang, [])
+                own.append(pa.table([pa.array([b""], pa.large_binary()), pa.array([0], pa.int32()), pa.array([len(words)])], schema=COUNTED))
+                own += sequences(held, words, joined, lang)
+                rows[lang] = rows.get(lang, 0) + sum(len(t) for t in own[-longest:])
+                if sum(rows.values()) >= FLUSH // 5:
+                    for name in tables:
+                        yield from summed(name, tables[name])
+                    tables, rows = {}, {}
+        for name in tables:
+            yield from summed(name, tables[name])
     return run
 
 

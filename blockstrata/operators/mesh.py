@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from .census import n_rows
-from .neighbors import with_face_flags
+from .masks import with_flags
 from .ranking import global_row_number
 from .stencils import column, row
 from .voxels import corners
@@ -30,10 +30,7 @@ def exposed_face_rows(members: DataFrame, occupied: DataFrame) -> DataFrame:
                           F.col(a).alias("row"), F.col(b).alias("col"))
             faces.append(F.when(~F.col(axis + flag), at))
     open_faces = F.filter(F.array(*faces), lambda f: f.isNotNull())
-    flagged = with_face_flags(occupied.select("x", "y", "z")) \
-        .select("x", "y", "z", open_faces.alias("f")).filter(F.size("f") > 0)
-    return members.join(flagged, ["x", "y", "z"]) \
-        .select("object_id", "material", F.explode("f").alias("f")) \
+    return with_flags(members, occupied).select("object_id", "material", F.explode(open_faces).alias("f")) \
         .select("object_id", "material", "f.*")
 
 

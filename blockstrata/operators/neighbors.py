@@ -1,49 +1,44 @@
 """Neighbour tests on sparse voxels and dense grids.
 
-Along one axis the neighbours of a voxel are the rows before and after it on
-its line, so three sorted windows replace six shifted self-joins.
+Face neighbours of voxels are shifts of packed words (see masks).
 """
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-AXES = {"x": ("y", "z"), "y": ("x", "z"), "z": ("x", "y")}
+from . import rasters as R
+from .masks import FLAGS, cells_of, is_set, neighbour_words, open_faces, with_flags
+
+AXES = "xyz"
 
 
 def with_face_flags(voxels: DataFrame) -> DataFrame:
     """Add xm, xp, ym, yp, zm, zp: is that neighbour occupied?"""
-    for axis, line in AXES.items():
-        w = Window.partitionBy(*line).orderBy(axis)
-        voxels = (voxels
-                  .withColumn(axis + "m", F.coalesce(F.lag(axis).over(w) == F.col(axis) - 1, F.lit(False)))
-                  .withColumn(axis + "p", F.coalesce(F.lead(axis).over(w) == F.col(axis) + 1, F.lit(False))))
-    return voxels
-
-
-FLAGS = ["xm", "xp", "ym", "yp", "zm", "zp"]
+    return with_flags(voxels)
 
 
-def occupied_count():
-    return sum((F.col(f).cast("int") for f in FLAGS[1:]), F.col(FLAGS[0]).cast("int"))
+def occupied_count(flag=F.col):
+    return sum((flag(f).cast("int") for f in FLAGS[1:]), flag(FLAGS[0]).cast("int"))
 
 
 def face_neighbors(voxels: DataFrame) -> DataFrame:
     """One row per pair of face-adjacent voxels: the lower voxel and the axis."""
-    flagged = with_face_flags(voxels.select("x", "y", "z"))
-    axes = F.filter(F.array(*[F.when(F.col(a + "p"), F.lit(a)) for a in AXES]),
+    axes = F.filter(F.array(*[F.when(is_set(a + "p"), F.lit(a)) for a in AXES]),
                     lambda a: a.isNotNull())
-    return flagged.select("x", "y", "z", F.explode(axes).alias("axis"))
+    cells = cells_of(neighbour_words(voxels), axes.alias("axes"))
+    return cells.select("x", "y", "z", F.explode("axes").alias("axis"))
 
 
 def six_neighbor_occupancy(voxels: DataFrame) -> DataFrame:
-    return with_face_flags(voxels.select("x", "y", "z")) \
-        .select("x", "y", "z", occupied_count().alias("occupied"))
+    """Occupied neighbours of each voxel."""
+    return cells_of(neighbour_words(voxels), occupied_count(is_set).alias("occupied"))
 
 
 def exposed_faces(voxels: DataFrame) -> DataFrame:
-    """Boundary faces of the whole set and the cost without culling."""
-    counts = six_neighbor_occupancy(voxels).agg(
-        F.count(F.lit(1)).alias("solid"), (F.sum(6 - F.col("occupied"))).alias("faces"))
+    """Boundary faces of the whole set and the cost without culling, counted on words."""
+    counts = neighbour_words(voxels).agg(
+        F.coalesce(F.sum(F.bit_count("own")), F.lit(0)).alias("solid"), F.sum(open_faces()).alias("faces"))
     return counts.select("solid", "faces", (F.col("faces") * 2).alias("triangles"),
                          (F.col("solid") * 6).alias("naive_faces"),
                          (F.col("solid") * 12).alias("naive_triangles"))
@@ -66,14 +61,11 @@ def box_max(grid: DataFrame, value, r, out, agg=F.max) -> DataFrame:
 def neighborhood_range(grid: DataFrame, value="top", r=2, outside=-99) -> DataFrame:
     """Largest absolute step from each cell to its (2r+1) square; cells beyond
     the grid count as ``outside``."""
-    across = Window.partitionBy("z").orderBy("x").rowsBetween(-r, r)
-    along = Window.partitionBy("x").orderBy("z").rowsBetween(-r, r)
-    n = 2 * r + 1
-    g = (grid.withColumn("_hi", F.max(value).over(across)).withColumn("_lo", F.min(value).over(across))
-         .withColumn("_nx", F.count(F.lit(1)).over(across))
-         .withColumn("_hi", F.max("_hi").over(along)).withColumn("_lo", F.min("_lo").over(along))
-         .withColumn("_nz", F.count(F.lit(1)).over(along)))
-    edge = (F.col("_nx") < n) | (F.col("_nz") < n)
-    low = F.when(edge, F.least(F.col("_lo"), F.lit(outside))).otherwise(F.col("_lo"))
-    return g.withColumn("spread", F.greatest(F.col("_hi") - F.col(value), F.col(value) - low)) \
-        .withColumn("edge", edge).drop("_hi", "_lo", "_nx", "_nz")
+    def run(mask, a):
+        high, low = (R.extreme(R.extreme(a, mask, r, 0, pick), np.ones_like(mask), r, 1, pick) for pick in (np.fmax, np.fmin))
+        whole = mask
+        for axis in (0, 1):
+            whole = np.logical_and.reduce([whole] + [R.moved(whole, axis, k, False) for d in range(1, r + 1) for k in (-d, d)])
+        low = np.where(whole, low, np.fmin(low, outside))
+        return [np.fmax(high - a, a - low), ~whole]
+    return R.on_blocks(grid, [value], {"spread": "int", "edge": "boolean"}, r, run)

@@ -1,14 +1,16 @@
-"""Smoothing and gradients on dense (x, z) grids.
+"""Smoothing and gradients on (x, z) grids.
 
-Every stencil is separable: one window along x per row, one along z per
-column. Rows that share a partitioning share its shuffle.
+All run on raster blocks with a halo (see rasters): however many sweeps an
+operator has, its cells move in one shuffle.
 """
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import rasters as R
 from .ranking import percentile_of, sorted_counts, weighted_mean
 
 
@@ -26,63 +28,47 @@ def gaussian_weights(sigma):
     return [w / sum(raw) for w in raw]
 
 
-def _blur(value: Column, line, weights) -> Column:
-    """Weighted sum along a line; beyond the ends the end value repeats."""
-    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    first, last = F.first(value).over(whole), F.last(value).over(whole)
-    r = len(weights) // 2
-    total = value * weights[r]
-    for k in range(1, r + 1):
-        total = total + \
-            F.coalesce(F.lag(value, k).over(line), first) * weights[r - k] + \
-            F.coalesce(F.lead(value, k).over(line), last) * weights[r + k]
-    return total
-
-
 def gaussian_smooth(grid: DataFrame, sigma, value="height", out="smooth") -> DataFrame:
+    """Weighted mean; beyond the end of a line its end value repeats."""
     weights = gaussian_weights(sigma)
-    return grid.withColumn(out, _blur(F.col(value), row(), weights)) \
-        .withColumn(out, _blur(F.col(out), column(), weights))
-
-
-def gradient(value: Column, line) -> Column:
-    """Central difference, one-sided at the ends."""
-    before, after = F.lag(value).over(line), F.lead(value).over(line)
-    return F.when(before.isNull() & after.isNull(), F.lit(0.0)) \
-        .when(before.isNull(), after - value).when(after.isNull(), value - before) \
-        .otherwise((after - before) / 2.0)
+    return R.on_blocks(grid, [value], {out: "double"}, len(weights) // 2, lambda mask, a: [R.gauss(a, mask, weights)])
 
 
-def perona_malik(grid: DataFrame, sigma, value="height", out="diffused", sweeps=3, step=0.2) -> DataFrame:
-    """Diffusion that slows down where the surface is steep."""
+def _diffused(a, mask, sigma, sweeps, step):
     s = max(sigma, 1e-6)
 
     def flux(g):
         return g / (1.0 + (g / s) * (g / s))
-
-    grid = grid.withColumn(out, F.col(value).cast("double"))
     for _ in range(sweeps):
-        grid = (grid.withColumn("_gx", gradient(F.col(out), row()))
-                .withColumn("_gx", gradient(flux(F.col("_gx")), row()))
-                .withColumn("_gz", gradient(F.col(out), column()))
-                .withColumn("_gz", gradient(flux(F.col("_gz")), column()))
-                .withColumn(out, F.col(out) + step * (F.col("_gx") + F.col("_gz"))))
-    return grid.drop("_gx", "_gz")
+        along = [R.gradient(flux(R.gradient(a, mask, axis)), mask, axis) for axis in (0, 1)]
+        a = a + step * (along[0] + along[1])
+    return a
+
 
+def perona_malik(grid: DataFrame, sigma, value="height", out="diffused", sweeps=3, step=0.2) -> DataFrame:
+    """Diffusion that slows down where the surface is steep. A sweep reaches two cells far."""
+    return R.on_blocks(grid, [value], {out: "double"}, 2 * sweeps, lambda mask, a: [_diffused(a, mask, sigma, sweeps, step)])
+
+
+def edge_preserving_smooth(grid: DataFrame, sigma=1.4, edge_preserve=0.6, value="height", sweeps=3, step=0.2) -> DataFrame:
+    """Weighted mean of a blur and a diffusion."""
+    weights = gaussian_weights(sigma)
 
-def edge_preserving_smooth(grid: DataFrame, sigma=1.4, edge_preserve=0.6, value="height") -> DataFrame:
-    both = perona_malik(gaussian_smooth(grid, sigma, value, "_gauss"), sigma, value, "_diff")
-    return both.withColumn("smooth", (1.0 - edge_preserve) * F.col("_gauss")
-                           + edge_preserve * F.col("_diff")).drop("_gauss", "_diff")
+    def run(mask, a):
+        return [(1.0 - edge_preserve) * R.gauss(a, mask, weights) + edge_preserve * _diffused(a, mask, sigma, sweeps, step)]
+    return R.on_blocks(grid, [value], {"smooth": "double"}, max(len(weights) // 2, 2 * sweeps), run)
 
 
 def destair(grid: DataFrame, sigma_xy=2.0, sigma_z=0.6, passes=1, value="height") -> DataFrame:
     """Wide blur, light blur, then a pull to the mean by the share of holes.
     ``valid`` tells measured cells from filled ones."""
-    out = grid.withColumn("_s", F.col(value).cast("double"))
-    for _ in range(max(1, passes)):
-        out = gaussian_smooth(out, sigma_xy, "_s", "_s")
-    out = gaussian_smooth(out, sigma_z, "_s", "_s")
+    blurs = [gaussian_weights(sigma_xy)] * max(1, passes) + [gaussian_weights(sigma_z)]
+
+    def run(mask, a):
+        for weights in blurs:
+            a = R.gauss(a, mask, weights)
+        return [a]
+    out = R.on_blocks(grid, [value], {"_s": "double"}, sum(len(w) // 2 for w in blurs), run)
     mean = out.select(F.avg("_s")).scalar()
     share = 0.65 * grid.select(F.avg(F.col("valid").cast("double"))).scalar() + 0.35
     return out.withColumn("smooth", F.col("_s") * share + mean * (1.0 - share)).drop("_s")
@@ -92,20 +78,20 @@ def flat_restore_smooth(grid: DataFrame, sigma=0.9, flat_restore=0.85, value="he
     """Blur, but keep most of the original where its 3 x 3 square is flat."""
     if sigma <= 0:
         return grid.withColumn("smooth", F.col(value).cast("double"))
-    out = gaussian_smooth(grid, sigma, value, "_s")
-    row3, col3 = row().rowsBetween(-1, 1), column().rowsBetween(-1, 1)
-    out = (out.withColumn("_hi", F.max(value).over(row3)).withColumn("_lo", F.min(value).over(row3))
-           .withColumn("_hi", F.max("_hi").over(col3)).withColumn("_lo", F.min("_lo").over(col3)))
-    flat = (F.col("_hi") - F.col("_lo")) <= 1.0
-    return out.withColumn("smooth", F.when(
-        flat, F.col(value) * flat_restore + F.col("_s") * (1.0 - flat_restore))
-        .otherwise(F.col("_s"))).drop("_s", "_hi", "_lo")
+    weights = gaussian_weights(sigma)
+
+    def run(mask, a):
+        smooth, ends = R.gauss(a, mask, weights), []
+        for pick in (np.fmax, np.fmin):
+            ends.append(R.extreme(R.extreme(a, mask, 1, 0, pick), mask, 1, 1, pick))
+        return [np.where(ends[0] - ends[1] <= 1.0, a * flat_restore + smooth * (1.0 - flat_restore), smooth)]
+    return R.on_blocks(grid, [value], {"smooth": "double"}, max(1, len(weights) // 2), run)
 
 
 def height_gradient_normals(grid: DataFrame, value="height", step_cm=100.0) -> DataFrame:
     """Unit surface normal and unit tangent along x, Z up."""
-    g = grid.withColumn("_dx", gradient(F.col(value), row()) / step_cm) \
-            .withColumn("_dz", gradient(F.col(value), column()) / step_cm)
+    g = R.on_blocks(grid, [value], {"_dx": "double", "_dz": "double"}, 1,
+                    lambda mask, a: [R.gradient(a, mask, axis) / step_cm for axis in (0, 1)])
     ln = F.sqrt(F.col("_dx") * F.col("_dx") + F.col("_dz") * F.col("_dz") + 1.0)
     lt = F.sqrt(F.col("_dx") * F.col("_dx") + 1.0)
     return (g.withColumn("nx", -F.col("_dx") / ln).withColumn("ny", -F.col("_dz") / ln)

@@ -4,7 +4,8 @@ Cells are first joined inside blocks of 64 x 64 columns, each block in one
 task with a bounded number of cells. Links across block borders are joined
 inside squares of 16 x 16 blocks in the same way; what crosses the borders of
 squares is a much smaller graph, which alternating large and small stars
-contract whatever its size.
+contract whatever its size. As soon as no more than ``FEW`` links are left, one
+task joins them; their count is checked, and the result is the same.
 """
 
 import numpy as np
@@ -18,6 +19,7 @@ from .voxels import corners, floor_div
 
 BLOCK = 64
 SQUARE = 16 * BLOCK
+FEW = 1_000_000
 FACES_2D = [(1, 0, 0), (0, 0, 1)]
 FACES_3D = [(1, 0, 0), (0, 1, 0), (0, 0, 1)]
 HALF_26 = [(dx, dy, dz) for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1)
@@ -82,6 +84,11 @@ def _join_links(links: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"node": nodes, "comp": nodes[label]})
 
 
+def _join_few(links: DataFrame) -> DataFrame:
+    """Roots over at most FEW links (u, v), in one task."""
+    return links.select("u", "v", F.lit(0).alias("all")).groupBy("all").applyInPandas(_join_links, "node bigint, comp bigint")
+
+
 def salted_join(big: DataFrame, small: DataFrame, key: str, spread: str, salts=16) -> DataFrame:
     """Join in which rows of a hot key on the big side go to several tasks.
     The small side has one row per key and is repeated once per salt."""
@@ -103,6 +110,8 @@ def contract_stars(edges: DataFrame) -> DataFrame:
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     seen = stamp(edges)
     while seen[0]:
+        if seen[0] <= FEW:
+            return _join_few(edges)
         near = both(edges)
         low = near.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = salted_join(near.filter("v > u"), low, "u", "v") \
@@ -122,7 +131,10 @@ def contract_stars(edges: DataFrame) -> DataFrame:
 
 def contract(links: DataFrame) -> DataFrame:
     """Root of every cell key that has a link: (node, comp), root = smallest key."""
-    links = cut_lineage(links.withColumn("square", square_of(F.col("u"))).withColumn("other", square_of(F.col("v"))))
+    links = cut_lineage(links)
+    if links.count() <= FEW:
+        return _join_few(links)
+    links = links.withColumn("square", square_of(F.col("u"))).withColumn("other", square_of(F.col("v")))
     inside = links.filter("square = other").groupBy("square").applyInPandas(_join_links, "node bigint, comp bigint")
     inside = cut_lineage(inside)
     across = links.filter("square <> other").select("u", "v")

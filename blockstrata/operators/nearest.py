@@ -1,11 +1,13 @@
-"""Exact nearest neighbour on integer coordinates, by growing buckets.
+"""Exact nearest neighbour on integer coordinates.
 
-The first round joins queries and points of neighbouring buckets. Later rounds
-look from each occupied query cell at the occupied point cells around it:
+Queries are first answered inside blocks with a halo, by lower envelopes (see
+envelope). What a block cannot settle goes on in rounds of growing buckets: a
+round looks from each occupied query cell at the occupied point cells around it;
 bounds on the distance between two cells leave only the cells that can hold a
-winner, and only their points are joined. A round settles every query whose
-best distance is no larger than the bucket; the rest goes on with buckets four
-times as wide.
+winner, and only their points are joined. A round settles every query whose best
+distance is no larger than the bucket; the rest goes on with buckets four times
+as wide. In these rounds a point between two points of a line on every axis can
+win no query, and is left out.
 """
 
 from functools import reduce
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .envelope import HALO, nearest_in_blocks
 
 
 # further than any two cells
@@ -33,12 +36,23 @@ def _around(df, dims):
     return df.drop(*["k" + d for d in dims])
 
 
+def _outer(points: DataFrame, dims) -> DataFrame:
+    """Points with a free place beside them on some axis; from any of the others
+    a step towards a query reaches a closer point."""
+    for d in dims:
+        line = Window.partitionBy(*[o for o in dims if o != d]).orderBy(d)
+        points = points.withColumn("_" + d, F.coalesce((F.lag(d).over(line) == F.col(d) - 1) & (F.lead(d).over(line) == F.col(d) + 1), F.lit(False)))
+    inner = reduce(lambda a, b: a & b, [F.col("_" + d) for d in dims])
+    return points.filter(~inner).drop(*["_" + d for d in dims])
+
+
 def nearest_points(queries: DataFrame, points: DataFrame, dims, values) -> DataFrame:
     """For each distinct query position the values of the closest point.
 
     Of equally close points the one with the smallest coordinates wins. Gives
     the query coordinates, the values and ``d2``, the squared distance. Both
-    inputs are read once per round, so pass stored tables.
+    inputs are read more than once, so pass stored tables. Points are taken as
+    one per place, with x and z among their ``dims``.
     """
     keys = ["q" + d for d in dims]
     pts = points.select(*dims, *values)
@@ -50,34 +64,33 @@ def nearest_points(queries: DataFrame, points: DataFrame, dims, values) -> DataF
     d2 = reduce(lambda a, b: a + b, [(F.col("q" + d).cast("bigint") - F.col(d))
                                      * (F.col("q" + d).cast("bigint") - F.col(d)) for d in dims])
     best = F.min_by(F.struct(d2.alias("d2"), *values), F.struct(d2, *dims)).alias("best")
-    done, unit, wide = [], 1, 4
+    first = cut_lineage(nearest_in_blocks(left, pts.dropDuplicates(list(dims)), dims, values))
+    done, left = [first.filter("settled").select(*keys, "best")], first.filter("NOT settled").select(*keys)
+    unit, wide, outer = HALO, 4 * HALO, None
     while not left.isEmpty():
-        on = ["b" + d for d in dims]
-        if unit == 1:
-            asked = _around(left.select(*keys, *[F.floor(F.col("q" + d) / wide).alias("k" + d) for d in dims]), dims)
-            found = asked.join(pts.select("*", *_bucket(dims, wide, "b")), on)
-        else:
-            ratio = wide // unit
-            home, there = ["c" + d for d in dims], ["s" + d for d in dims]
-            placed = left.select(*keys, *[F.floor(F.col("q" + d) / unit).alias("c" + d) for d in dims])
-            asked = _around(placed.select(*home).distinct().select(
-                "*", *[F.floor(F.col("c" + d) / ratio).alias("k" + d) for d in dims]), dims)
-            held = pts.select(*_bucket(dims, unit, "s")).distinct() \
-                .select("*", *[F.floor(F.col("s" + d) / ratio).alias("b" + d) for d in dims])
-            apart = [F.abs(F.col("s" + d) - F.col("c" + d)) for d in dims]
-            least = [F.greatest((k - 1) * unit + 1, F.lit(0)) for k in apart]
-            most = [(k + 1) * unit - 1 for k in apart]
-
-            def square(parts):
-                return reduce(lambda x, y: x + y, [p * p for p in parts])
-
-            # at most 12 cells per axis, so the list of a query cell is bounded
-            near = asked.join(held, on).groupBy(*home).agg(
-                F.min(square(most)).alias("ub"),
-                F.collect_list(F.struct(square(least).alias("lb"), *there)).alias("cand"))
-            near = near.select(*home, "ub", F.explode("cand").alias("c")) \
-                .filter(F.col("c.lb") <= F.col("ub")).select(*home, *["c." + c for c in there])
-            found = placed.join(near, home).join(pts.select("*", *_bucket(dims, unit, "s")), there)
+        if outer is None:
+            outer = cut_lineage(_outer(pts, dims))
+        ratio = wide // unit
+        home, there = ["c" + d for d in dims], ["s" + d for d in dims]
+        placed = left.select(*keys, *[F.floor(F.col("q" + d) / unit).alias("c" + d) for d in dims])
+        asked = _around(placed.select(*home).distinct().select(
+            "*", *[F.floor(F.col("c" + d) / ratio).alias("k" + d) for d in dims]), dims)
+        held = outer.select(*_bucket(dims, unit, "s")).distinct() \
+            .select("*", *[F.floor(F.col("s" + d) / ratio).alias("b" + d) for d in dims])
+        apart = [F.abs(F.col("s" + d) - F.col("c" + d)) for d in dims]
+        least = [F.greatest((k - 1) * unit + 1, F.lit(0)) for k in apart]
+        most = [(k + 1) * unit - 1 for k in apart]
+
+        def square(parts):
+            return reduce(lambda x, y: x + y, [p * p for p in parts])
+
+        # at most 12 cells per axis, so the list of a query cell is bounded
+        near = asked.join(held, ["b" + d for d in dims]).groupBy(*home).agg(
+            F.min(square(most)).alias("ub"),
+            F.collect_list(F.struct(square(least).alias("lb"), *there)).alias("cand"))
+        near = near.select(*home, "ub", F.explode("cand").alias("c")) \
+            .filter(F.col("c.lb") <= F.col("ub")).select(*home, *["c." + c for c in there])
+        found = placed.join(near, home).join(outer.select("*", *_bucket(dims, unit, "s")), there)
         round_best = found.groupBy(*keys).agg(best)
         settled = cut_lineage(round_best.filter(F.col("best.d2") <= wide * wide))
         done.append(settled)

@@ -75,8 +75,10 @@ def brute(points, offsets):
     return sorted(count.values())
 
 
+@pytest.mark.parametrize("few", [0, K.FEW])
 @pytest.mark.parametrize("offsets", [K.FACES_3D, K.HALF_26])
-def test_against_brute_force(spark, offsets):
+def test_against_brute_force(spark, offsets, few, monkeypatch):
+    monkeypatch.setattr(K, "FEW", few)
     rng = random.Random(7)
     n, span = (2600, 10) if offsets is K.HALF_26 else (5200, 10)
     points = {(rng.randrange(-span * 7, span * 7), rng.randrange(4), rng.randrange(-span, span)) for _ in range(n)}
@@ -84,7 +86,8 @@ def test_against_brute_force(spark, offsets):
     assert sizes(got) == brute(points, offsets)
 
 
-def test_hub_graph_contracts(spark):
+def test_hub_graph_contracts(spark, monkeypatch):
+    monkeypatch.setattr(K, "FEW", 0)
     """A star whose centre has a third of all edges, and a long path."""
     edges = [(0, i) for i in range(1, 400)] + [(1000 + i, 1001 + i) for i in range(800)]
     df = spark.createDataFrame(edges, "u long, v long")

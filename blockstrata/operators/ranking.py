@@ -26,6 +26,21 @@ def global_row_number(df: DataFrame, order, name="id") -> DataFrame:
             .drop("_part", "_row", "_start"))
 
 
+def number_in_groups(df: DataFrame, group, order, name="id") -> DataFrame:
+    """Dense number 0.. of each row within its group, in the given order.
+
+    Rows are range-partitioned by group and order and numbered inside each
+    partition; a group that spans partitions goes on where the partitions
+    before ended, so a group of any size is spread over tasks."""
+    ranged = cut_lineage(df.repartitionByRange(group, *order).withColumn("_part", F.spark_partition_id()))
+    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (ranged.groupBy("_part", group).agg(F.count(F.lit(1)).alias("_n"))
+              .select("_part", group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+    inside = Window.partitionBy("_part", group).orderBy(*order)
+    return (ranged.withColumn("_row", F.row_number().over(inside)).join(starts, ["_part", group])
+            .withColumn(name, F.col("_start") + F.col("_row") - 1).drop("_part", "_row", "_start"))
+
+
 def top_per_group(df: DataFrame, group, order, n: int) -> DataFrame:
     """First n rows of each group; Spark prunes each partition before the shuffle."""
     w = Window.partitionBy(*group).orderBy(*order)

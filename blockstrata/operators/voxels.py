@@ -73,10 +73,14 @@ def clip_bbox(df: DataFrame, x=None, y=None, z=None) -> DataFrame:
 
 
 def prune_chunks(df: DataFrame, x, z) -> DataFrame:
-    """Keep rows of chunks that overlap the box; on stored tables with cx and
-    cz as partition or clustering columns this prunes files and row groups."""
-    return df.filter((F.col("cx") * 16 <= x[1]) & (F.col("cx") * 16 + 15 >= x[0])
-                     & (F.col("cz") * 16 <= z[1]) & (F.col("cz") * 16 + 15 >= z[0]))
+    """Keep rows of chunks that overlap the box. The bounds are compared with cx
+    and cz as they are, so a stored table with these columns skips row groups,
+    and one laid out by region (rx, rz, see write_voxels) skips whole files."""
+    for axis, (low, high) in (("x", x), ("z", z)):
+        df = df.filter(F.col("c" + axis).between(low // 16, high // 16))
+        if "r" + axis in df.columns:
+            df = df.filter(F.col("r" + axis).between(low // 512, high // 512))
+    return df
 
 
 def snap_region_to_chunks(regions: DataFrame, pad_chunks=8) -> DataFrame:

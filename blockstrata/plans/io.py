@@ -1,6 +1,5 @@
 """Queries that go through source and sink formats and back."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import fixture_bytes as B
@@ -8,12 +7,14 @@ from ..operators import census as C
 from ..operators import mesh as M
 from ..operators import tiles as T
 from ..operators import voxels as X
+from ..operators.ranking import number_in_groups
 from ..session import cut_lineage
 from ..sources import images as I
 from ..sources import regions as G
 from ..sources import text as S
+from ..sources.line_packs import scan_lines
 from ..operators import quality as Q
-from ..sources.voxel_files import VoxelFile, header_counts, scan_voxel_file
+from ..sources.voxel_files import chunk_index, chunk_words, header_counts, scan_voxel_file
 from .geometry import QUAD_VIEWS, TILE_VIEWS, exported, members
 from .registry import query
 from .spatial import GRID, SOLID
@@ -70,8 +71,7 @@ def _(w):
     states = [(r["name"], r["properties"]) for r in w.palette().orderBy("palette_id").collect()]
     B.write_voxel_files(with_words(w).select("cx", "cz", "word", "local_to_global"), states, folder).count()
     stated = header_counts(w.spark, folder).select("file", F.col("voxels").alias("n"))
-    w.spark.dataSource.register(VoxelFile)
-    read = w.spark.read.format("voxelfile").option("path", folder).load().groupBy("file").agg(C.n_rows())
+    read = chunk_words(chunk_index(w.spark, folder)).groupBy("file").agg(C.n_rows())
     return Q.reconcile_counts(read, stated, "file", ["n"])
 
 
@@ -100,12 +100,12 @@ def _(w):
     return I.scan_heightmap_images(B.height_pngs(exported(w)[1].select("tile", "row", "col", "v")))
 
 
-@query("write_u16_tiles", """SELECT tile, max(col) + 1 AS width, max(row) + 1 AS height, upper(string_agg(printf('%02x%02x', v % 256, v // 256), '' ORDER BY row, col)) AS bytes
-  FROM samples GROUP BY tile""", GRID, TILE_VIEWS)
+@query("write_u16_tiles", """SELECT tile, CAST(row // 64 * 64 AS INT) AS row0, max(col) + 1 AS width, CAST(count(DISTINCT row) AS INT) AS height,
+  upper(string_agg(printf('%02x%02x', v % 256, v // 256), '' ORDER BY row, col)) AS bytes FROM samples GROUP BY tile, row // 64""", GRID, TILE_VIEWS)
 def _(w):
     folder = B.scratch(w.spark, "rasters")
     I.write_u16_tiles(exported(w)[1], folder)
-    return w.spark.read.parquet(folder).select("tile", "width", "height", F.hex("raster").alias("bytes"))
+    return w.spark.read.parquet(folder).select("tile", "row0", "width", "height", F.hex("raster").alias("bytes"))
 
 
 @query("scan_u16_tiles", SAMPLES, GRID, TILE_VIEWS)
@@ -129,27 +129,21 @@ def _(w):
 
 # --- meshes as text ----------------------------------------------------------
 
-def obj_lines(w, least=1):
-    """OBJ lines of all objects of at least ``least`` blocks."""
-    m = members(w)
-    kept = m.groupBy("object_id").agg(C.n_rows()).filter(F.col("n") >= least).select("object_id")
-    quads = M.greedy_quads(M.exposed_face_rows(m.join(kept, "object_id", "left_semi"), w.solid()))
-    order = Window.partitionBy("object_id").orderBy("material", "axis", "sign", "plane", "r0", "c0")
-    return S.quad_obj_lines(M.mesh_quads(quads.withColumn("quad", F.row_number().over(order) - 1)))
+def obj_lines(w):
+    """OBJ lines of all objects."""
+    quads = M.greedy_quads(M.exposed_face_rows(members(w), w.solid()))
+    numbered = number_in_groups(quads, "object_id", ["material", "axis", "sign", "plane", "r0", "c0"], "quad")
+    return S.quad_obj_lines(M.mesh_quads(numbered))
 
 
-BIG_QUADS = ("bigq", "SELECT * FROM quads WHERE object_id IN (SELECT object_id FROM members GROUP BY 1 HAVING count(*) >= 6)")
-
-
-@query("write_obj_tiles", """SELECT object_id, count(*) * 4 AS v, count(*) * 4 AS vt, count(*) * 4 AS vn, count(*) * 2 + count(DISTINCT material) AS f FROM bigq GROUP BY object_id""",
-       SOLID, QUAD_VIEWS + [BIG_QUADS])
+@query("write_obj_tiles", """SELECT CAST(object_id AS VARCHAR) AS name, count(*) * 4 AS v, count(*) * 4 AS vt, count(*) * 4 AS vn, count(*) * 2 + count(DISTINCT material) AS f,
+  count(*) * 14 + count(DISTINCT material) - 1 AS last_line FROM quads GROUP BY object_id""", SOLID, QUAD_VIEWS)
 def _(w):
     folder = B.scratch(w.spark, "obj")
-    S.write_obj_tiles(obj_lines(w, 6), folder)
-    back = w.spark.read.schema("value string, object_id bigint").text(folder)
-    tag = F.substring_index("value", " ", 1)
-    return back.groupBy("object_id").agg(*[F.count_if(tag == t).alias(t) for t in ("v", "vt", "vn")],
-                                         F.count_if(tag.isin("f", "usemtl")).alias("f"))
+    S.write_obj_tiles(obj_lines(w), folder)
+    tag = F.substring_index("line", " ", 1)
+    return scan_lines(w.spark, folder).groupBy("name").agg(*[F.count_if(tag == t).alias(t) for t in ("v", "vt", "vn")],
+                                                           F.count_if(tag.isin("f", "usemtl")).alias("f"), F.max("line_no").alias("last_line"))
 
 
 @query("obj_line_census", """SELECT object_id AS file, count(*) * 4 AS n_v, count(*) * 4 AS n_vt, count(*) * 4 AS n_vn, count(*) * 2 AS n_f, count(DISTINCT material) AS n_usemtl,

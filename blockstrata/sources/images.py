@@ -26,29 +26,42 @@ def png16_samples(data: bytes) -> np.ndarray:
         at += size + 12
     step = 2 * CHANNELS[colour]
     raw = np.frombuffer(zlib.decompress(b"".join(packed)), np.uint8).reshape(height, 1 + width * step)
-    above = np.zeros((width, step), np.int64)
-    out = np.empty((height, width), np.int64)
-    for y, line in enumerate(raw):
-        kind, cur = line[0], line[1:].reshape(width, step).astype(np.int64)
-        if kind == 1:
-            cur = np.cumsum(cur, axis=0) & 255
-        elif kind == 2:
-            cur = (cur + above) & 255
-        elif kind in (3, 4):
-            left, corner = np.zeros(step, np.int64), np.zeros(step, np.int64)
-            for x in range(width):
-                up = above[x]
-                if kind == 3:
-                    guess = (left + up) >> 1
-                else:
-                    far = np.abs(np.stack([up - corner, left - corner, left + up - 2 * corner]))
-                    guess = np.where((far[0] <= far[1]) & (far[0] <= far[2]), left, np.where(far[1] <= far[2], up, corner))
-                cur[x] = left = (cur[x] + guess) & 255
-                corner = up
-        elif kind != 0:
-            raise ValueError(f"row filter {kind}")
-        out[y], above = cur[:, 0] * 256 + cur[:, 1], cur
-    return out
+    kinds, lines = raw[:, 0], raw[:, 1:].reshape(height, width, step).astype(np.int16)
+    if height and kinds.max() > 4:
+        raise ValueError(f"row filter {kinds.max()}")
+    full = unfiltered(kinds, lines)
+    return full[:, :, 0].astype(np.int64) * 256 + full[:, :, 1]
+
+
+def unfiltered(kinds, lines):
+    """Bytes of an image from its filtered rows (height x width x bytes of a pixel).
+
+    Runs of rows that look left (filters 1, 3 and 4) are undone along
+    anti-diagonals: all pixels whose left, upper and upper left neighbours are
+    known form one array operation, so a run of rows takes width + rows steps.
+    """
+    height, width, step = lines.shape
+    out = np.zeros((height + 1, width + 1, step), np.int16)  # a row and a column of zeros go before
+    y = 0
+    while y < height:
+        if kinds[y] in (0, 2):
+            out[y + 1, 1:] = (lines[y] + (out[y, 1:] if kinds[y] == 2 else 0)) & 255
+            y += 1
+            continue
+        end = y + 1
+        while end < height and kinds[end] not in (0, 2):
+            end += 1
+        rows = np.arange(y, end)
+        for d in range(width + len(rows) - 1):
+            r = rows[max(0, d - width + 1):d + 1]
+            x = d - (r - y)
+            left, up, corner = out[r + 1, x], out[r, x + 1], out[r, x]
+            far = np.abs(up - corner), np.abs(left - corner), np.abs(left + up - 2 * corner)
+            paeth = np.where((far[0] <= far[1]) & (far[0] <= far[2]), left, np.where(far[1] <= far[2], up, corner))
+            kind = kinds[r][:, None]
+            out[r + 1, x + 1] = (lines[r, x] + np.where(kind == 1, left, np.where(kind == 3, (left + up) >> 1, paeth))) & 255
+        y = end
+    return out[1:, 1:]
 
 
 def _samples(frames):
@@ -95,30 +108,36 @@ def _hex16(v):
     return F.concat(F.substring(h, 3, 2), F.substring(h, 1, 2))
 
 
-def pack_u16_tiles(samples: DataFrame) -> DataFrame:
-    """One little-endian raster per tile, rows in order. A tile is bounded by
-    the planner's largest vertex grid."""
-    rows = samples.groupBy("tile", "row").agg(
+def pack_u16_tiles(samples: DataFrame, rows=64) -> DataFrame:
+    """Little-endian rasters of strips of ``rows`` rows of each tile: tile, row0
+    (the strip's first row), width, height, raster. A tile of any height is
+    packed by as many tasks as it has strips."""
+    lines = samples.groupBy("tile", "row").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("col", "v"))), lambda e: _hex16(e["v"])), "").alias("h"),
         F.count(F.lit(1)).alias("w"))
-    return rows.groupBy("tile").agg(
+    strip = (F.floor(F.col("row") / rows) * rows).cast("int").alias("row0")
+    return lines.groupBy("tile", strip).agg(
         F.unhex(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row", "h"))), lambda e: e["h"]), "")).alias("raster"),
         F.max("w").cast("int").alias("width"), F.count(F.lit(1)).cast("int").alias("height"))
 
 
 def write_u16_tiles(samples: DataFrame, folder: str):
-    """Packed tiles as a table of tile, width, height, raster."""
-    pack_u16_tiles(samples).write.mode("overwrite").parquet(folder)
+    """Packed strips as a table of tile, row0, width, height, raster, in order."""
+    packed = pack_u16_tiles(samples).repartitionByRange("tile", "row0").sortWithinPartitions("tile", "row0")
+    packed.write.mode("overwrite").parquet(folder)
 
 
 def scan_u16_tiles(rasters: DataFrame) -> DataFrame:
-    """Samples of packed tiles; a raster of the wrong length is refused."""
+    """Samples of packed strips, or of whole tiles without ``row0``; a raster of
+    the wrong length is refused."""
+    if "row0" not in rasters.columns:
+        rasters = rasters.withColumn("row0", F.lit(0))
     size = F.col("width") * F.col("height")
     checked = rasters.withColumn("raster", F.when(F.length("raster") == size * 2, F.col("raster")).otherwise(
         F.raise_error(F.lit("raster length does not match its resolution")).cast("binary")))
-    one = checked.withColumn("row", F.explode(F.sequence(F.lit(0), F.col("height") - 1))) \
-        .withColumn("line", F.expr("substring(raster, row * width * 2 + 1, width * 2)"))
-    cells = one.select("tile", "row", "line", F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("col"))
+    one = checked.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("height") - 1))) \
+        .withColumn("line", F.expr("substring(raster, i * width * 2 + 1, width * 2)"))
+    cells = one.select("tile", (F.col("row0") + F.col("i")).alias("row"), "line", F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("col"))
     return cells.select("tile", "row", "col", _number16_at("line", "col", 2, 0).alias("v"))
 
 

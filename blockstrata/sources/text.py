@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .line_packs import write_lines
+
 MODEL_JSON = """struct<parent:string, textures:map<string,string>, elements:array<struct<`from`:array<double>,
  `to`:array<double>, faces:map<string,struct<texture:string>>>>>"""
 STATE_JSON = "struct<variants:map<string,string>, multipart:array<string>>"
@@ -32,23 +34,22 @@ def quad_obj_lines(corners: DataFrame, tile="object_id") -> DataFrame:
     corner 0..3, material, ux uy uz, u v, nx ny nz. Each quad starts a
     ``usemtl`` line where the material changes.
     """
-    from pyspark.sql import Window
     k = F.col("quad") * 4 + F.col("corner")
     point = corners.select(tile, k.alias("k"), F.explode(F.array(
         F.struct(F.lit(1).alias("section"), F.format_string("v %.2f %.2f %.2f", "ux", "uy", "uz").alias("line")),
         F.struct(F.lit(2).alias("section"), F.format_string("vt %.6f %.6f", F.col("u").cast("double"), F.col("v").cast("double")).alias("line")),
         F.struct(F.lit(3).alias("section"), F.format_string("vn %.3f %.3f %.3f", *[F.col(c).cast("double") for c in ("nx", "ny", "nz")]).alias("line"))
     )).alias("e")).select(tile, "e.section", "k", "e.line")
-    before = F.col("before")
-    first = corners.filter("corner = 0").withColumn(
-        "before", F.lag("material").over(Window.partitionBy(tile).orderBy("quad")))
+    # Materials stand together, so each begins at its smallest quad.
+    heads = corners.groupBy(tile, "material").agg(F.min("quad").alias("quad"), F.lit(True).alias("head"))
+    first = corners.filter("corner = 0").join(heads, [tile, "material", "quad"], "left")
     b = F.col("quad") * 4 + 1
 
     def face(i, j, m):
         ids = [x for n in (i, j, m) for x in (b + n,) * 3]
         return F.format_string("f %d/%d/%d %d/%d/%d %d/%d/%d", *ids)
 
-    lines = F.filter(F.array(F.when(before.isNull() | (before != F.col("material")), F.concat(F.lit("usemtl "), "material")),
+    lines = F.filter(F.array(F.when(F.col("head"), F.concat(F.lit("usemtl "), "material")),
                              face(0, 1, 2), face(0, 2, 3)), lambda x: x.isNotNull())
     faces = first.select(tile, F.lit(4).alias("section"), "quad", F.posexplode(lines).alias("i", "line")) \
         .select(tile, "section", (F.col("quad") * 4 + F.col("i")).alias("k"), "line")
@@ -56,9 +57,9 @@ def quad_obj_lines(corners: DataFrame, tile="object_id") -> DataFrame:
 
 
 def write_obj_tiles(lines: DataFrame, folder: str, tile="object_id"):
-    """One text file per tile; lines in section and number order."""
-    (lines.repartition(tile).sortWithinPartitions(tile, "section", "k").select(tile, F.col("line").alias("value"))
-     .write.mode("overwrite").partitionBy(tile).text(folder))
+    """One text per tile, its lines in section and number order, in a pack of
+    part files (see line_packs)."""
+    write_lines(lines, folder, tile, "section", "k")
 
 
 def obj_line_census(lines: DataFrame) -> DataFrame:
@@ -121,8 +122,11 @@ def write_grids(grid: DataFrame, folder: str):
 
 
 def write_mesh_pack(vertices: DataFrame, triangles: DataFrame, folder: str):
-    for name, df in (("vertices", vertices), ("triangles", triangles)):
-        df.repartition("tile").write.mode("overwrite").partitionBy("tile").parquet(f"{folder}/{name}")
+    """Vertices and triangles by tile. Rows are dealt by ranges of tile and
+    number, so a large tile is written by several tasks."""
+    for name, df, number in (("vertices", vertices, "vertex"), ("triangles", triangles, "a")):
+        (df.repartitionByRange("tile", number).sortWithinPartitions("tile", number)
+         .write.mode("overwrite").partitionBy("tile").parquet(f"{folder}/{name}"))
 
 
 def scan_mesh_pack(spark, folder: str) -> DataFrame:

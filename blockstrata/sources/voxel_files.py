@@ -1,12 +1,14 @@
 """Binary voxel files as a Spark data source.
 
-``spark.read.format("voxelfile").option("path", p).load()`` gives chunk words of
-a file or of all ``.bin`` files in a folder; option ``table`` set to ``palette``
-gives the block states, ``header`` the counts of each file's header. Planning
-only lists files: each is split by its size into slices, and a slice's task
-reads the chunk table and takes the chunks whose voxels begin in its share.
-With ``spark.sql.python.filterPushdown.enabled``, range filters on cx and cz
-are applied to the chunk table, so other chunks are never read. Files may be
+A scan has two steps. ``chunk_index`` reads the chunk table of each file once,
+as rows of file, cx, cz, voxels and the place of their words. ``chunk_words``
+takes any part of such an index, deals it by bytes and reads runs of
+neighbouring chunks with one request each; chunks that were filtered out of the
+index are never read, whatever the session's settings are.
+
+``spark.read.format("voxelfile").option("path", p)`` with the option ``table``
+gives ``index``, ``palette`` (the block states) or ``header`` (the counts that
+each header states) of a file or of all ``.bin`` files in a folder. Files may be
 in any store that pyarrow.fs opens and all workers see.
 """
 
@@ -16,10 +18,12 @@ import struct
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions import fixed_values as V
+from ..session import cut_lineage
 
 # fixed values: layout of header and chunk table rows, little-endian
 HEADER = struct.Struct("<8sIB3sQQQQQQ")
@@ -48,10 +52,14 @@ def read_palette(f, head):
 
 
 def read_chunk_table(f, head):
+    """(cx, cz, voxels, place, global numbers of its states) of each chunk, the table read in one request."""
     f.seek(head["table_at"])
+    data, at = f.read(max(0, head["voxels_at"] - head["table_at"])) if head["voxels_at"] > head["table_at"] else f.read(), 0
     for _ in range(head["chunks"]):
-        cx, cz, states, _, n, at = CHUNK.unpack(f.read(CHUNK.size))
-        yield cx, cz, n, at, np.frombuffer(f.read(4 * states), "<u4")
+        cx, cz, states, _, n, place = CHUNK.unpack_from(data, at)
+        at += CHUNK.size
+        yield cx, cz, n, place, np.frombuffer(data, "<u4", states, at)
+        at += 4 * states
 
 
 def store_of(path):
@@ -61,38 +69,27 @@ def store_of(path):
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), os.path.abspath(path))
 
 
-class Slice(InputPartition):
-    """Share ``number`` of ``count`` of one file."""
+class File(InputPartition):
+    def __init__(self, path):
+        self.path = path
 
-    def __init__(self, path, number, count):
-        self.path, self.number, self.count = path, number, count
+
+INDEX = "path string, file string, dim string, cx int, cz int, n int, place bigint, states array<int>"
 
 
 class VoxelReader(DataSourceReader):
-    def __init__(self, options):
-        self.path, self.table = options["path"], options.get("table", "voxels")
-        self.bytes_per_task = int(options.get("bytesPerTask", "32000000"))
-        self.limits = []
+    """Header, palette or chunk table of each file; one task a file, which reads only that table."""
 
-    def _wanted(self, cx, cz):
-        tests = {"EqualTo": lambda a, b: a == b, "GreaterThan": lambda a, b: a > b, "GreaterThanOrEqual": lambda a, b: a >= b,
-                 "LessThan": lambda a, b: a < b, "LessThanOrEqual": lambda a, b: a <= b}
-        return all(tests[kind](cx if column == "cx" else cz, value) for column, kind, value in self.limits)
+    def __init__(self, options):
+        self.path, self.table = options["path"], options.get("table", "index")
 
     def partitions(self):
         store, path = store_of(self.path)
         found = store.get_file_info(path)
-        if found.type == fs.FileType.Directory:
-            files = [f for f in store.get_file_info(fs.FileSelector(path)) if f.is_file and f.path.endswith(".bin")]
-        else:
-            files = [found]
-        whole = self.table != "voxels"
-        root = self.path.rstrip("/") if found.type == fs.FileType.Directory else self.path.rpartition("/")[0]
-        parts = []
-        for f in sorted(files, key=lambda f: f.path):
-            count = 1 if whole else max(1, -(-f.size // self.bytes_per_task))
-            parts += [Slice(f"{root}/{f.base_name}" if root else f.base_name, i, count) for i in range(count)]
-        return parts or [Slice(None, 0, 1)]
+        if found.type != fs.FileType.Directory:
+            return [File(self.path)]
+        files = [f.base_name for f in store.get_file_info(fs.FileSelector(path)) if f.is_file and f.path.endswith(".bin")]
+        return [File(f"{self.path.rstrip('/')}/{name}") for name in sorted(files)] or [File(None)]
 
     def read(self, part):
         if part.path is None:
@@ -103,35 +100,12 @@ class VoxelReader(DataSourceReader):
             head = read_header(f)
             if self.table == "header":
                 yield (name, head["dim"], head["chunks"], head["voxels"], head["states"])
-                return
-            if self.table == "palette":
+            elif self.table == "palette":
                 for state in read_palette(f, head):
                     yield (name, *state)
-                return
-            size = max(1, f.size() - head["voxels_at"])
-            for cx, cz, n, at, to_global in list(read_chunk_table(f, head)):
-                if (at - head["voxels_at"]) * part.count // size != part.number or not self._wanted(cx, cz):
-                    continue
-                f.seek(at)
-                words = np.frombuffer(f.read(4 * n), "<u4")
-                states = to_global[(words >> 17) & V.MAX_LOCAL_INDEX]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * n, pa.string()), pa.array([head["dim"]] * n, pa.string()), pa.array(np.full(n, cx, "i4")),
-                     pa.array(np.full(n, cz, "i4")), pa.array(words.astype("i8")), pa.array(states.astype("i4"))],
-                    names=["file", "dim", "cx", "cz", "word", "palette_id"])
-
-
-class FilteringVoxelReader(VoxelReader):
-    """Used where the session allows filters to reach Python sources."""
-
-    def pushFilters(self, filters):
-        for f in filters:
-            kind = type(f).__name__
-            column = f.attribute[0] if getattr(f, "attribute", None) else None
-            if column in ("cx", "cz") and kind in ("EqualTo", "GreaterThan", "GreaterThanOrEqual", "LessThan", "LessThanOrEqual"):
-                self.limits.append((column, kind, f.value))
             else:
-                yield f
+                for cx, cz, n, at, to_global in read_chunk_table(f, head):
+                    yield (part.path, name, head["dim"], cx, cz, n, at, to_global.tolist())
 
 
 class VoxelFile(DataSource):
@@ -140,30 +114,70 @@ class VoxelFile(DataSource):
         return "voxelfile"
 
     def schema(self):
-        if self.options.get("table") == "header":
-            return "file string, dim string, chunks bigint, voxels bigint, states bigint"
-        if self.options.get("table") == "palette":
-            return "file string, palette_id int, name string, properties string"
-        return "file string, dim string, cx int, cz int, word bigint, palette_id int"
+        return {"header": "file string, dim string, chunks bigint, voxels bigint, states bigint",
+                "palette": "file string, palette_id int, name string, properties string"}.get(self.options.get("table"), INDEX)
 
     def reader(self, schema):
-        pushing = self.options.get("pushdown") == "true"
-        return (FilteringVoxelReader if pushing else VoxelReader)(self.options)
+        return VoxelReader(self.options)
+
+
+def _table(spark, path, table):
+    spark.dataSource.register(VoxelFile)
+    return spark.read.format("voxelfile").option("path", path).option("table", table).load()
+
+
+def chunk_index(spark, path: str) -> DataFrame:
+    """Chunk table of a file or folder: path, file, dim, cx, cz, n (voxels), place, states."""
+    return _table(spark, path, "index")
+
+
+def _words(batches):
+    for batch in batches:
+        rows = sorted(zip(*(batch.column(c).to_pylist() for c in ("path", "place", "n", "file", "dim", "cx", "cz", "states"))))
+        begin = 0
+        while begin < len(rows):
+            end = begin + 1
+            while end < len(rows) and rows[end][0] == rows[begin][0] and rows[end][1] == rows[end - 1][1] + 4 * rows[end - 1][2]:
+                end += 1
+            store, path = store_of(rows[begin][0])
+            with store.open_input_file(path) as f:
+                for _, place, n, file, dim, cx, cz, states in rows[begin:end]:
+                    if place != f.tell():
+                        f.seek(place)
+                    words = np.frombuffer(f.read(4 * n), "<u4")
+                    to_global = np.array(states, dtype="i4")[(words >> 17) & V.MAX_LOCAL_INDEX] if n else np.zeros(0, "i4")
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([file] * n, pa.string()), pa.array([dim] * n, pa.string()), pa.array(np.full(n, cx, "i4")),
+                         pa.array(np.full(n, cz, "i4")), pa.array(words.astype("i8")), pa.array(to_global)],
+                        names=["file", "dim", "cx", "cz", "word", "palette_id"])
+            begin = end
+
+
+def chunk_words(index: DataFrame, bytes_per_task=32_000_000) -> DataFrame:
+    """Words of the chunks of an index: file, dim, cx, cz, word, palette_id.
+
+    Chunks are dealt in the order of their place to tasks of about
+    ``bytes_per_task`` bytes, whatever files they lie in."""
+    index = cut_lineage(index)
+    size = index.agg(F.sum(F.col("n").cast("bigint") * 4)).first()[0] or 0
+    dealt = index.repartitionByRange(int(size // bytes_per_task) + 1, "path", "place")
+    return dealt.mapInArrow(_words, "file string, dim string, cx int, cz int, word bigint, palette_id int")
 
 
 def header_counts(spark, path: str):
     """Counts that the headers state: file, dim, chunks, voxels, states."""
-    spark.dataSource.register(VoxelFile)
-    return spark.read.format("voxelfile").option("path", path).option("table", "header").load()
+    return _table(spark, path, "header")
 
 
-def scan_voxel_file(spark, path: str):
-    """Voxels without air, with their block state, of one file or folder."""
+def scan_voxel_file(spark, path: str, cx=None, cz=None):
+    """Voxels without air, with their block state, of one file or folder; of
+    the chunks cx[0]..cx[1], cz[0]..cz[1] where given. The join with the block
+    states is the planner's: it broadcasts them only below its size limit."""
     from ..operators.voxels import voxel_word_fields, world_coords
-    spark.dataSource.register(VoxelFile)
-    states = spark.read.format("voxelfile").option("path", path).option("table", "palette").load()
-    pushdown = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
-    words = spark.read.format("voxelfile").option("path", path).option("pushdown", pushdown).load()
-    voxels = world_coords(voxel_word_fields(words)).select("file", "dim", "cx", "cz", "x", "y", "z", "palette_id")
-    solid = states.filter(~F.col("name").isin(V.AIR_NAMES))
-    return voxels.join(solid, ["file", "palette_id"])
+    index = chunk_index(spark, path)
+    for name, span in (("cx", cx), ("cz", cz)):
+        if span is not None:
+            index = index.filter(F.col(name).between(*span))
+    voxels = world_coords(voxel_word_fields(chunk_words(index))).select("file", "dim", "cx", "cz", "x", "y", "z", "palette_id")
+    solid = _table(spark, path, "palette").filter(~F.col("name").isin(V.AIR_NAMES))
+    return voxels.join(cut_lineage(solid), ["file", "palette_id"])

@@ -13,6 +13,7 @@ from ..operators import voxels as X
 from ..operators.mesh import heightfield_mesh
 from ..operators.tiles import world_tiles
 from ..session import cut_lineage
+from ..sources.derived import Kept, kept_table
 from ..streaming import frames as T
 from . import rule_sql as R
 from .geometry import TILES
@@ -240,13 +241,32 @@ def _(w):
     return Q.deterministic_rerun(*runs)
 
 
+def dim_stamps(df):
+    """Stamp of each dimension's voxels."""
+    per = df.groupBy(F.col("dim").alias("input")).agg(F.sum(F.xxhash64("x", "y", "z", "palette_id").cast("decimal(38,0)")).cast("string").alias("stamp"))
+    return {r["input"]: r["stamp"] for r in per.collect()}
+
+
 @query("input_stamp", """SELECT dim AS input, dim <> 'nether' AS reusable FROM (SELECT DISTINCT dim FROM dimmed) UNION ALL SELECT 'gone', FALSE""", SOLID, [DIMS])
 def _(w):
-    now = w.dim_solid().groupBy(F.col("dim").alias("input")).agg(
-        F.sum(F.xxhash64("x", "y", "z", "palette_id").cast("decimal(38,0)")).cast("string").alias("stamp"))
-    then = now.withColumn("stamp", F.when(F.col("input") == "nether", "old").otherwise(F.col("stamp"))) \
-        .unionByName(w.spark.range(1).select(F.lit("gone").alias("input"), F.lit("x").alias("stamp")))
-    return Q.input_stamp(now, then)
+    now = dim_stamps(w.dim_solid())
+    kept = Kept(w.spark, scratch(w.spark, "kept"))
+    kept.build(w.dim_solid().groupBy("dim").agg(C.n_rows()), {k: "old" if k == "nether" else v for k, v in now.items()} | {"gone": "x"})
+    return kept.agreement(now)
+
+
+@query("kept_tables", """SELECT run, run = 2 AS reused, dim, count(*) AS voxels FROM dimmed, (SELECT unnest([1, 2, 3]) AS run) WHERE run < 3 OR dim <> 'nether' GROUP BY run, dim""",
+       SOLID, [DIMS])
+def _(w):
+    folder, out = scratch(w.spark, "kept"), None
+    solid = w.dim_solid()
+    for run, df in ((1, solid), (2, solid), (3, solid.filter("dim <> 'nether'"))):
+        stamps = dim_stamps(df)
+        reused = Kept(w.spark, folder).reusable(stamps)
+        table = kept_table(w.spark, folder, stamps, lambda: df.groupBy("dim").agg(C.n_rows("voxels")))
+        rows = table.select(F.lit(run).alias("run"), F.lit(reused).alias("reused"), "dim", "voxels")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @query("offset_contiguity", """SELECT file, seq, CASE WHEN seq > 0 AND lag(bump) OVER (PARTITION BY file ORDER BY seq) <> bump THEN bump - lag(bump) OVER (PARTITION BY file ORDER BY seq)

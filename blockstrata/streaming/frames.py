@@ -108,7 +108,7 @@ def scan_kv_log(lines: DataFrame, source="source_id") -> DataFrame:
     return parsed.groupBy(source).agg(F.max("line_no").alias("line_no"), F.max_by("spec", "line_no").alias("spec"))
 
 
-def log_tail(spark, folder: str) -> DataFrame:
-    """Parsed fields of lines in files that are added to a folder."""
-    lines = spark.readStream.format("text").load(folder).withColumnRenamed("value", "line")
-    return parse_spec_lines(lines)
+def log_tail(spark, path: str) -> DataFrame:
+    """Parsed fields of the lines that are appended to a file, or to the files of a folder."""
+    from .tail import tail_lines
+    return parse_spec_lines(tail_lines(spark, path))

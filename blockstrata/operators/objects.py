@@ -1,5 +1,7 @@
 """Objects: groups of connected voxels with class, extent, pose and seat."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -7,11 +9,13 @@ from ..functions import fixed_values as V
 from ..functions import rules
 from ..session import cut_lineage
 from . import components as K
+from . import rasters
 from .census import n_rows
 from .nearest import nearest_points
 from .neighbors import neighborhood_range
 from .ranking import percentile_of, sorted_counts, weighted_mean
-from .voxels import corners, filter_labels
+from .columns import spread
+from .voxels import corners, filter_labels, floor_div
 
 
 def extents():
@@ -70,14 +74,50 @@ def object_components(solid: DataFrame, labels=V.OBJECT_LABELS, pitch=1, offsets
     return K.components_on_lattice(filter_labels(solid, wanted=labels), pitch, offsets)
 
 
+def _on_patches(objects, grid, radius, height, schema, emit):
+    """``emit(components, dx, dz, heights)`` for the objects of each raster block:
+    heights is objects x cells of a patch, NaN where the grid has none. Grid
+    cells move once, with a halo; nothing is repeated per object."""
+    R = rasters
+    homes = objects.select("component", F.col("cx").cast("int").alias("px"), F.col("cz").cast("int").alias("pz"))
+    homes = homes.withColumns({"bx": floor_div(F.col("px"), R.BLOCK), "bz": floor_div(F.col("pz"), R.BLOCK)})
+    cells = R.with_halo(grid.select("x", "z", F.col(height).cast("double").alias("h")), radius)
+
+    def run(key, asked, held):
+        if not asked.num_rows or not held.num_rows:
+            return emit(pa.array([], pa.int64()), *np.zeros((2, 1), dtype=np.int64), np.zeros((0, 1)))
+        bx, bz = (k.as_py() * R.BLOCK - radius for k in key)
+        side = R.BLOCK + 2 * radius
+        h = np.full((side, side), np.nan)
+        h[held.column("x").to_numpy() - bx, held.column("z").to_numpy() - bz] = held.column("h").to_numpy()
+        dx, dz = (d.ravel() - radius for d in np.indices((2 * radius + 1,) * 2))
+        at = asked.column("px").to_numpy() - bx, asked.column("pz").to_numpy() - bz
+        return emit(asked.column("component"), dx, dz, h[at[0][:, None] + dx, at[1][:, None] + dz])
+    return spread(homes, "bx", "bz").groupBy("bx", "bz").cogroup(spread(cells, "bx", "bz").groupBy("bx", "bz")).applyInArrow(run, schema)
+
+
 def patch_join(objects: DataFrame, grid: DataFrame, radius=6, height="height") -> DataFrame:
     """Grid cells within ``radius`` of each object on both axes, as offsets."""
-    side = F.sequence(F.lit(-radius), F.lit(radius))
-    spread = (objects.select("component", F.col("cx").cast("int").alias("px"), F.col("cz").cast("int").alias("pz"))
-              .withColumn("dx", F.explode(side)).withColumn("dz", F.explode(side))
-              .withColumn("x", F.col("px") + F.col("dx")).withColumn("z", F.col("pz") + F.col("dz")))
-    return spread.join(grid.select("x", "z", F.col(height).cast("double").alias("h")), ["x", "z"]) \
-        .select("component", "dx", "dz", "h")
+    def emit(components, dx, dz, h):
+        i, k = np.nonzero(~np.isnan(h))
+        return pa.table({"component": components.take(pa.array(i)), "dx": pa.array(dx[k], pa.int32()), "dz": pa.array(dz[k], pa.int32()), "h": pa.array(h[i, k])})
+    return _on_patches(objects, grid, radius, height, "component bigint, dx int, dz int, h double", emit)
+
+
+PATCH_SUMS = ["n", "sx", "sz", "sxx", "szz", "sxz", "sh", "sxh", "szh", "wx", "wz"]
+
+
+def patch_sums(objects: DataFrame, grid: DataFrame, radius=6, height="height") -> DataFrame:
+    """Moments of each object's patch: cells, sums of offsets and heights and of their products, and its widths."""
+    def emit(components, dx, dz, h):
+        held = ~np.isnan(h)
+        rows = np.flatnonzero(held.any(axis=1))
+        held, h = held[rows], np.where(held, h, 0.0)[rows]
+        one = held.astype(np.float64)
+        sums = [one.sum(axis=1), one @ dx, one @ dz, one @ (dx * dx), one @ (dz * dz), one @ (dx * dz), h.sum(axis=1), h @ dx, h @ dz]
+        wide = [np.where(held, d, -radius).max(axis=1, initial=-radius) - np.where(held, d, radius).min(axis=1, initial=radius) for d in (dx, dz)]
+        return pa.table({"component": components.take(pa.array(rows))} | {n: pa.array(np.asarray(v, dtype=np.float64)) for n, v in zip(PATCH_SUMS, sums + wide)})
+    return _on_patches(objects, grid, radius, height, "component bigint, " + ", ".join(f"{n} double" for n in PATCH_SUMS), emit)
 
 
 def ground_plane(objects: DataFrame, grid: DataFrame, radius=6, height="height") -> DataFrame:
@@ -87,15 +127,7 @@ def ground_plane(objects: DataFrame, grid: DataFrame, radius=6, height="height")
     the plane's value at the object is its constant term. Objects whose patch
     is narrower than two cells get no row.
     """
-    patch = patch_join(objects, grid, radius, height)
-    s = {k: F.sum(v.cast("double")).alias(k) for k, v in {
-        "sx": F.col("dx"), "sz": F.col("dz"), "sxx": F.col("dx") * F.col("dx"),
-        "szz": F.col("dz") * F.col("dz"), "sxz": F.col("dx") * F.col("dz"), "sh": F.col("h"),
-        "sxh": F.col("dx") * F.col("h"), "szh": F.col("dz") * F.col("h")}.items()}
-    m = patch.groupBy("component").agg(
-        F.count(F.lit(1)).cast("double").alias("n"), *s.values(),
-        (F.max("dx") - F.min("dx")).alias("wx"), (F.max("dz") - F.min("dz")).alias("wz"))
-    m = m.filter("wx >= 1 AND wz >= 1")
+    m = patch_sums(objects, grid, radius, height).filter("wx >= 1 AND wz >= 1")
 
     def c(ab, a, b):
         return F.col(ab) - F.col(a) * F.col(b) / F.col("n")

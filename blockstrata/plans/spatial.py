@@ -347,23 +347,30 @@ POSED = ("posed", """SELECT component, slope_x, slope_z, mh - slope_x * mx - slo
 PLANE_VIEWS = CLASS_VIEWS + HMV + [BIG] + PLANE + [POSED]
 
 
-@query("patch_join", "SELECT component, count(*) AS cells, CAST(sum(h) AS BIGINT) AS total FROM patch GROUP BY component",
-       GRID, CLASS_VIEWS + HMV + [BIG] + PLANE[:1])
+ALL = ("big", "SELECT *, voxels >= 6 AS kept FROM classed")
+
+
+def centred(w):
+    """All objects with their centre, and whether they are large enough to be placed."""
+    return composition(w).withColumns({"kept": F.col("voxels") >= 6, "cx": F.col("sum_x") / F.col("voxels"), "cz": F.col("sum_z") / F.col("voxels")})
+
+
+@query("patch_join", "SELECT component, kept, count(*) AS cells, CAST(sum(h) AS BIGINT) AS total FROM patch JOIN big USING (component) GROUP BY ALL",
+       GRID, CLASS_VIEWS + HMV + [ALL] + PLANE[:1])
 def _(w):
-    big = composition(w).filter(F.col("voxels") >= 6) \
-        .withColumn("cx", F.col("sum_x") / F.col("voxels")).withColumn("cz", F.col("sum_z") / F.col("voxels"))
-    patch = O.patch_join(big, filled(w))
-    return patch.groupBy("component").agg(C.n_rows("cells"), F.sum("h").cast("bigint").alias("total"))
+    objects = cut_lineage(centred(w))
+    patch = O.patch_join(objects, filled(w)).groupBy("component").agg(C.n_rows("cells"), F.sum("h").cast("bigint").alias("total"))
+    return patch.join(objects.select("component", "kept"), "component")
 
 
-@query("ground_plane", """SELECT component, round(slope_x, 6) + 0.0::DOUBLE AS slope_x, round(slope_z, 6) + 0.0::DOUBLE AS slope_z,
-  round(ground_y, 6) AS ground_y, round(ny, 6) AS normal_y, round(-ny, 6) AS normal_down FROM posed""", GRID, PLANE_VIEWS)
+@query("ground_plane", """SELECT component, kept, round(slope_x, 6) + 0.0::DOUBLE AS slope_x, round(slope_z, 6) + 0.0::DOUBLE AS slope_z,
+  round(ground_y, 6) AS ground_y, round(ny, 6) AS normal_y, round(-ny, 6) AS normal_down FROM posed JOIN big USING (component)""", GRID,
+       CLASS_VIEWS + HMV + [ALL] + PLANE + [POSED])
 def _(w):
-    big = composition(w).filter(F.col("voxels") >= 6) \
-        .withColumn("cx", F.col("sum_x") / F.col("voxels")).withColumn("cz", F.col("sum_z") / F.col("voxels"))
-    g = O.ground_plane(big, filled(w))
-    return g.select("component", *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in
-                                   ("slope_x", "slope_z", "ground_y", "normal_y", "normal_down")])
+    objects = cut_lineage(centred(w))
+    g = O.ground_plane(objects, filled(w)).join(objects.select("component", "kept"), "component")
+    return g.select("component", "kept", *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in
+                                           ("slope_x", "slope_z", "ground_y", "normal_y", "normal_down")])
 
 
 INSTANCES = """SELECT component, class, voxels, round(cx, 6) AS cx, round(cy, 6) AS cy, round(cz, 6) AS cz, yaw_deg + 0.0::DOUBLE AS yaw_deg,

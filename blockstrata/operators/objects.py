@@ -85,7 +85,7 @@ def _on_patches(objects, grid, radius, height, schema, emit):
 
     def run(key, asked, held):
         if not asked.num_rows or not held.num_rows:
-            return emit(pa.array([], pa.int64()), *np.zeros((2, 1), dtype=np.int64), np.zeros((0, 1)))
+            return emit(asked.column("component").slice(0, 0), *np.zeros((2, 1), dtype=np.int64), np.zeros((0, 1)))
         bx, bz = (k.as_py() * R.BLOCK - radius for k in key)
         side = R.BLOCK + 2 * radius
         h = np.full((side, side), np.nan)
@@ -93,6 +93,7 @@ def _on_patches(objects, grid, radius, height, schema, emit):
         dx, dz = (d.ravel() - radius for d in np.indices((2 * radius + 1,) * 2))
         at = asked.column("px").to_numpy() - bx, asked.column("pz").to_numpy() - bz
         return emit(asked.column("component"), dx, dz, h[at[0][:, None] + dx, at[1][:, None] + dz])
+    schema = f"component {homes.schema['component'].dataType.simpleString()}, {schema}"
     return spread(homes, "bx", "bz").groupBy("bx", "bz").cogroup(spread(cells, "bx", "bz").groupBy("bx", "bz")).applyInArrow(run, schema)
 
 
@@ -101,7 +102,7 @@ def patch_join(objects: DataFrame, grid: DataFrame, radius=6, height="height") -
     def emit(components, dx, dz, h):
         i, k = np.nonzero(~np.isnan(h))
         return pa.table({"component": components.take(pa.array(i)), "dx": pa.array(dx[k], pa.int32()), "dz": pa.array(dz[k], pa.int32()), "h": pa.array(h[i, k])})
-    return _on_patches(objects, grid, radius, height, "component bigint, dx int, dz int, h double", emit)
+    return _on_patches(objects, grid, radius, height, "dx int, dz int, h double", emit)
 
 
 PATCH_SUMS = ["n", "sx", "sz", "sxx", "szz", "sxz", "sh", "sxh", "szh", "wx", "wz"]
@@ -117,7 +118,7 @@ def patch_sums(objects: DataFrame, grid: DataFrame, radius=6, height="height") -
         sums = [one.sum(axis=1), one @ dx, one @ dz, one @ (dx * dx), one @ (dz * dz), one @ (dx * dz), h.sum(axis=1), h @ dx, h @ dz]
         wide = [np.where(held, d, -radius).max(axis=1, initial=-radius) - np.where(held, d, radius).min(axis=1, initial=radius) for d in (dx, dz)]
         return pa.table({"component": components.take(pa.array(rows))} | {n: pa.array(np.asarray(v, dtype=np.float64)) for n, v in zip(PATCH_SUMS, sums + wide)})
-    return _on_patches(objects, grid, radius, height, "component bigint, " + ", ".join(f"{n} double" for n in PATCH_SUMS), emit)
+    return _on_patches(objects, grid, radius, height, ", ".join(f"{n} double" for n in PATCH_SUMS), emit)
 
 
 def ground_plane(objects: DataFrame, grid: DataFrame, radius=6, height="height") -> DataFrame:

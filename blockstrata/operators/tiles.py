@@ -1,5 +1,7 @@
 """Tiling, resampling and height encoding of grids."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,14 +60,28 @@ def _fit(w: Column, h: Column, s: Column, cx: Column, cy: Column) -> Column:
         s.alias("section"), cx.alias("cx"), cy.alias("cy"), err_x.alias("err_x"), err_y.alias("err_y"))
 
 
-def grid_candidates(extents: DataFrame, w="width", h="depth") -> DataFrame:
-    """Every section grid in the search range that covers each extent."""
+def _too_large(w, h, most):
+    """Even the largest sections need more than ``most`` on an axis."""
+    return F.ceil(F.greatest(w, h) / max(V.SECTION_SIZES)) > most
+
+
+def _reason(most):
+    return F.lit(f"needs more than {most} sections on an axis")
+
+
+def grid_candidates(extents: DataFrame, w="width", h="depth", most=MAX_PER_AXIS) -> DataFrame:
+    """Every section grid in the search range that covers each extent, with at
+    most ``most`` sections on an axis. An extent that none covers has one row
+    with nulls and a ``reason``."""
     sized = extents.withColumn("section", F.explode(F.array(*map(F.lit, V.SECTION_SIZES))))
     nx, ny = [F.greatest(F.lit(1), F.ceil(F.col(c) / F.col("section")).cast("int")) for c in (w, h)]
-    slack = F.greatest(F.lit(2), (F.floor(MAX_PER_AXIS / F.greatest(nx, ny)) + 1).cast("int"))
-    sized = sized.filter((nx <= MAX_PER_AXIS) & (ny <= MAX_PER_AXIS))
-    return (sized.withColumn("cx", F.explode(F.sequence(nx, F.least(F.lit(MAX_PER_AXIS), nx + slack))))
-            .withColumn("cy", F.explode(F.sequence(ny, F.least(F.lit(MAX_PER_AXIS), ny + slack)))))
+    slack = F.greatest(F.lit(2), (F.floor(most / F.greatest(nx, ny)) + 1).cast("int"))
+    sized = sized.filter((nx <= most) & (ny <= most))
+    found = (sized.withColumn("cx", F.explode(F.sequence(nx, F.least(F.lit(most), nx + slack))))
+             .withColumn("cy", F.explode(F.sequence(ny, F.least(F.lit(most), ny + slack)))).withColumn("reason", F.lit(None).cast("string")))
+    none = F.lit(None).cast("int")
+    large = extents.filter(_too_large(F.col(w), F.col(h), most)).withColumns({"section": none, "cx": none, "cy": none, "reason": _reason(most)})
+    return found.unionByName(large)
 
 
 def candidate_rank(candidates: DataFrame, group, w="width", h="depth") -> DataFrame:
@@ -74,8 +90,8 @@ def candidate_rank(candidates: DataFrame, group, w="width", h="depth") -> DataFr
     return candidates.withColumn("fit", fit).groupBy(group).agg(F.min("fit").alias("fit")).select(group, "fit.*")
 
 
-def best_components(w: Column, h: Column) -> Column:
-    """Best section grid for an extent, without a shuffle.
+def best_components(w: Column, h: Column, most=MAX_PER_AXIS) -> Column:
+    """Best section grid for an extent, without a shuffle; null where none fits.
 
     A larger count on either axis never lowers any part of the rank and always
     raises the count, so the smallest covering grid of each section size is
@@ -83,25 +99,25 @@ def best_components(w: Column, h: Column) -> Column:
     """
     fits = F.transform(F.array(*map(F.lit, V.SECTION_SIZES)), lambda s: _fit(
         w, h, s, F.greatest(F.lit(1), F.ceil(w / s).cast("int")), F.greatest(F.lit(1), F.ceil(h / s).cast("int"))))
-    fits = F.filter(fits, lambda f: (f["cx"] <= MAX_PER_AXIS) & (f["cy"] <= MAX_PER_AXIS))
-    none = F.struct(F.lit(0.0).alias("over"), F.lit(0).alias("over_count"), F.lit(1).alias("count"),
-                    F.lit(0.0).alias("err"), F.lit(0.0).alias("skew"), F.lit(V.SECTION_SIZES[0]).alias("section"),
-                    F.lit(1).alias("cx"), F.lit(1).alias("cy"), F.lit(0.0).alias("err_x"), F.lit(0.0).alias("err_y"))
-    return F.coalesce(F.array_min(fits), none)
+    fits = F.filter(fits, lambda f: (f["cx"] <= most) & (f["cy"] <= most))
+    return F.array_min(fits)
 
 
-def plan_tile_components(extents: DataFrame, w="width", h="depth") -> DataFrame:
-    best = extents.withColumn("best", best_components(F.col(w), F.col(h)))
+def plan_tile_components(extents: DataFrame, w="width", h="depth", most=MAX_PER_AXIS) -> DataFrame:
+    """Best section grid of each extent; nulls and a ``reason`` where none fits."""
+    best = extents.withColumn("best", best_components(F.col(w), F.col(h), most))
     return best.select(*extents.columns, F.col("best.section").alias("section"), F.col("best.cx").alias("cx"),
                        F.col("best.cy").alias("cy"),
                        (F.col("best.cx") * F.col("best.section") + 1).alias("size_x"),
                        (F.col("best.cy") * F.col("best.section") + 1).alias("size_y"),
-                       F.col("best.err_x").alias("err_x"), F.col("best.err_y").alias("err_y"))
+                       F.col("best.err_x").alias("err_x"), F.col("best.err_y").alias("err_y"),
+                       F.when(F.col("best").isNull(), _reason(most)).alias("reason"))
 
 
 def plan_tile_grid(extents: DataFrame, max_tile_blocks: int, search=8, w="width", h="depth") -> DataFrame:
     """Tiles per axis: the fewest at or above the size limit whose tiles need a
-    section at most one step finer than the whole; else the most below it."""
+    section at most one step finer than the whole; else the most below it. An
+    extent too large to be one tile takes any section; null if no split fits."""
     if not max_tile_blocks:
         return extents.withColumn("tiles", F.lit(1))
     sizes = F.array(*map(F.lit, V.SECTION_SIZES))
@@ -111,17 +127,18 @@ def plan_tile_grid(extents: DataFrame, max_tile_blocks: int, search=8, w="width"
 
     e = extents.withColumn("_min", F.greatest(need(w), need(h)))
     base = best_components(F.col(w), F.col(h))["section"]
-    step = F.greatest(F.lit(0), (F.array_position(sizes, base) - 2).cast("int"))
+    step = F.greatest(F.lit(0), (F.array_position(sizes, F.coalesce(base, F.lit(V.SECTION_SIZES[0]))) - 2).cast("int"))
     e = e.withColumn("_allowed", F.get(sizes, step)) \
         .withColumn("n", F.explode(F.sequence(F.lit(1), F.greatest(F.col("_min"), F.lit(search)))))
     e = e.withColumn("_w", F.array(F.floor(F.col(w) / F.col("n")), F.ceil(F.col(w) / F.col("n")))) \
          .withColumn("_h", F.array(F.floor(F.col(h) / F.col("n")), F.ceil(F.col(h) / F.col("n"))))
-    finest = F.least(*[best_components(F.get("_w", i), F.get("_h", j))["section"] for i in (0, 1) for j in (0, 1)])
-    ok = e.filter(finest >= F.col("_allowed"))
+    found = [best_components(F.get("_w", i), F.get("_h", j))["section"] for i in (0, 1) for j in (0, 1)]
+    fit = reduce(lambda a, b: a & b, [f.isNotNull() & (f >= F.col("_allowed")) for f in found])
+    ok = e.filter(fit)
     above = F.min(F.when(F.col("n") >= F.col("_min"), F.col("n")))
     below = F.max(F.when(F.col("n") < F.col("_min"), F.col("n")))
     picked = ok.groupBy(*extents.columns).agg(F.coalesce(above, below).alias("tiles"))
-    return extents.join(picked, extents.columns, "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    return extents.join(picked, extents.columns, "left").withColumn("tiles", F.coalesce("tiles", F.when(base.isNotNull(), 1)))
 
 
 # --- height codes ------------------------------------------------------------
@@ -212,7 +229,11 @@ def world_tiles(bounds: DataFrame, tiles_x: int, tiles_z: int) -> DataFrame:
     t = t.select(F.format_string("%02d_%02d", "zno", "xno").alias("tile"), "zno", "xno",
                  (F.col("min_x") + F.col("xstart")).alias("x0"), (F.col("min_z") + F.col("zstart")).alias("z0"),
                  (F.col("xend") - F.col("xstart")).alias("width"), (F.col("zend") - F.col("zstart")).alias("depth"))
-    return plan_tile_components(t)
+    planned = plan_tile_components(t)
+    # A tile without a plan would lose its samples, so it is an error here.
+    section = F.when(F.col("reason").isNull(), F.col("section")).otherwise(
+        F.raise_error(F.concat(F.lit("ask for more tiles: "), "tile", F.lit(" "), "reason")).cast("int"))
+    return planned.withColumn("section", section).drop("reason")
 
 
 def export_tiles(grid: DataFrame, bounds: DataFrame, tiles_x: int, tiles_z: int, y_min, y_span, value="height"):

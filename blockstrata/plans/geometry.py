@@ -306,7 +306,8 @@ def _(w):
         C.n_rows(), F.sum("cx").alias("sx"), F.sum("cy").alias("sy"))
 
 
-BEST = "SELECT id AS extent_id, section, cx, cy, size_x, size_y, err_x, err_y FROM best"
+BEST = """SELECT id AS extent_id, section, cx, cy, size_x, size_y, err_x, err_y,
+  CASE WHEN section IS NULL THEN 'needs more than 64 sections on an axis' END AS reason FROM shapes LEFT JOIN best USING (id)"""
 
 
 @query("candidate_rank", "SELECT id AS extent_id, section, cx, cy FROM best", ["extents"], [SHAPES] + cands("shapes", "best"))

@@ -161,3 +161,72 @@ def test_packing_refuses_large_numbers(spark):
     for v in (-2, 70_000):
         with pytest.raises(Exception, match="16-bit"):
             images.pack_u16_tiles(spark.createDataFrame([("t", 0, 0, v)], "tile string, row int, col int, v int")).collect()
+
+
+def test_chunk_bounds_reach_the_reader(spark, tmp_path):
+    from blockstrata.sources import text
+    rows = [("end", x, 1, z, 3) for x in range(-600, 600, 40) for z in range(-600, 600, 40)]
+    text.write_voxels(spark.createDataFrame(rows, "dim string, x int, y int, z int, palette_id int"), str(tmp_path / "t"))
+    got = X.prune_chunks(spark.read.parquet(str(tmp_path / "t")), (-41, 70), (-1, 600))
+    want = [(x, z) for _, x, _, z, _ in rows if x // 16 * 16 <= 70 and x // 16 * 16 + 15 >= -41 and z // 16 * 16 <= 600 and z // 16 * 16 + 15 >= -1]
+    assert sorted((r["x"], r["z"]) for r in got.collect()) == want
+    plan = spark._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "formatted")
+    parts, pushed = [next(line for line in plan.splitlines() if line.startswith(k)) for k in ("PartitionFilters", "PushedFilters")]
+    assert all(f"GreaterThanOrEqual({c},{v})" in pushed for c, v in (("cx", -3), ("cz", -1))) and "rx" in parts and "rz" in parts
+
+
+def test_only_wanted_chunks_are_read(spark, tmp_path, monkeypatch):
+    from blockstrata.sources import voxel_files as VF
+    states = [("minecraft:air", ""), ("minecraft:stone", "")]
+    chunks = [(cx, cz, [0, 1], [1 << 17 | cx & 15] * 3) for cx in range(4) for cz in range(3)]
+    path = tmp_path / "w.bin"
+    path.write_bytes(B.voxel_file_bytes(chunks, states, dim=0))
+    index = VF.chunk_index(spark, str(tmp_path))
+    assert sorted((r["cx"], r["cz"], r["n"], r["states"]) for r in index.collect()) == [(a, b, 3, [0, 1]) for a in range(4) for b in range(3)]
+    for size in (4, 12, 10 ** 9):
+        words = VF.chunk_words(index.where("cx > 1 AND cz = 2"), size)
+        assert sorted((r["cx"], r["cz"], r["palette_id"]) for r in words.collect()) == [(2, 2, 1)] * 3 + [(3, 2, 1)] * 3
+    assert VF.chunk_words(index.where("cx > 9")).count() == 0
+    assert VF.scan_voxel_file(spark, str(tmp_path), cx=(1, 1), cz=(0, 1)).count() == 6
+    reads = []
+    with open(path, "rb") as f:
+        head = read_header(f)
+
+        class Counted:
+            seek = f.seek
+
+            def read(self, n=-1):
+                reads.append(n)
+                return f.read(n)
+        assert len(list(VF.read_chunk_table(Counted(), head))) == 12
+    assert len(reads) == 1
+
+
+def test_large_paeth_image_is_read_fast():
+    import time
+    rng = np.random.default_rng(5)
+    lines = rng.integers(0, 256, (2017, 2017, 2)).astype(np.int16)
+    kinds = rng.choice([3, 4, 4, 4, 1], 2017)
+    start = time.time()
+    got = I.unfiltered(kinds, lines)
+    assert time.time() - start < 6
+    above = np.zeros((2018, 2), np.int64)
+    for y in range(3):  # the first rows pixel by pixel
+        row = np.zeros((2018, 2), np.int64)
+        for x in range(2017):
+            for c in range(2):
+                a, b, d = row[x, c], above[x + 1, c], above[x, c]
+                far = abs(b - d), abs(a - d), abs(a + b - 2 * d)
+                guess = {1: a, 3: (a + b) >> 1, 4: a if far[0] <= far[1] and far[0] <= far[2] else b if far[1] <= far[2] else d}[int(kinds[y])]
+                row[x + 1, c] = (lines[y, x, c] + guess) & 255
+        assert (got[y] == row[1:]).all()
+        above = row
+
+
+def test_pictures_of_other_sizes_do_not_match(spark):
+    from blockstrata.operators import pixels as P
+    left = [(1, y, x, 10, 20, 30) for y in range(3) for x in range(3)]
+    right = [(1, y, x, 10, 20 + 9 * (x == 1), 31) for y in range(2) for x in range(4)]
+    table = "pair int, px_row int, px_col int, r int, g int, b int"
+    r = P.image_diff(spark.createDataFrame(left, table), spark.createDataFrame(right, table)).first()
+    assert (r["unmatched"], r["max"], r["changed"], r["over_8"], r["total"]) == (3 + 2, 9, 6, 2, 11)

@@ -88,3 +88,16 @@ def test_spawn_sightline_is_blocked_by_a_wall(spark):
                                  "x int, z int, top int, dx double, dz double, dist double, ok_field boolean")
     seen = {r["x"]: r["ok_sight"] for r in O.sightline(cand, tops).collect()}
     assert seen == {15: False, 45: True}
+
+
+def test_extents_beyond_the_limit_have_a_reason(spark):
+    big = 64 * 127
+    rows = {r["width"]: r for r in T.plan_tile_components(extents(spark, (big, 200), (big + 1, 200), (700, 700))).collect()}
+    assert (rows[big]["section"], rows[big]["cx"], rows[big]["reason"]) == (127, 64, None)
+    assert (rows[big + 1]["section"], rows[big + 1]["cx"], rows[big + 1]["err_x"]) == (None, None, None) and "64" in rows[big + 1]["reason"]
+    assert rows[700]["reason"] is None
+    lines = T.grid_candidates(extents(spark, (big + 1, 5)), most=64).collect()
+    assert len(lines) == 1 and lines[0]["section"] is None and "64" in lines[0]["reason"]
+    assert T.plan_tile_components(extents(spark, (big + 1, 200)), most=100).first()["cx"] == 65
+    grids = {r["width"]: r["tiles"] for r in T.plan_tile_grid(extents(spark, (big * 3, 1000), (5 * 10 ** 6, 1000)), 10 ** 4).collect()}
+    assert grids[big * 3] == 3 and grids[5 * 10 ** 6] is None

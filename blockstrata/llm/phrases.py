@@ -22,7 +22,7 @@ ENDS = np.zeros(256, dtype=bool)
 ENDS[list(b".,;:!?\n\x0b\x0c\r")] = True
 GAPS = ENDS.copy()
 GAPS[[9, 32]] = True
-#: Bits of the map of frequent words and pairs that goes to all workers: 16 MB at most.
+#: Bits of each of the two maps of frequent names that go to all workers: 16 MB.
 MAP_BITS = 2 ** 27
 SLICE = 2 ** 15
 #: Names that a task holds before it hands them on.
@@ -63,6 +63,25 @@ def pair_hashes(names):
     return mix(names[:-1] * np.uint64(0xA24BAED4963EE407) + names[1:])
 
 
+def inside(held, names):
+    """Which names have their bit in a map."""
+    place = (names & np.uint64(MAP_BITS - 1)).astype(np.int64)
+    return (held[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
+
+
+def longer_hashes(hashes, names, ends):
+    """Names of sequences with the word at ``ends`` added to each."""
+    return mix(hashes * np.uint64(0xA24BAED4963EE407) + names[ends])
+
+
+def followed(names, joined, held):
+    """Which words form a frequent pair with the next one."""
+    out = np.zeros(len(names), dtype=bool)
+    if len(names) > 1:
+        out[:-1] = joined[:-1] & inside(held, pair_hashes(names))
+    return out
+
+
 def _by_language(batch, rows=500):
     """Language and texts of a batch, in blocks; few rows at a time are held as texts."""
     for at in range(0, batch.num_rows, rows):
@@ -77,8 +96,31 @@ def _salt(lang):
     return mix(np.frombuffer(lang.encode().ljust(8, b"\0")[:8], dtype=np.uint64) + np.uint64(len(lang)))[0]
 
 
-def _names(shards, longest):
-    """How often words and pairs of neighbours occur, by name; handed on whenever many are held."""
+def _short(longest):
+    """Names of all words and, for longer phrases, pairs of neighbours."""
+    def hashes(names, joined):
+        yield names
+        if longest > 1 and len(names) > 1:
+            yield pair_hashes(names)[joined[:-1]]
+    return hashes
+
+
+def _long(sent, longest):
+    """Names of the sequences of 3 to ``longest`` words whose neighbours are all frequent pairs."""
+    def hashes(names, joined):
+        follows = followed(names, joined, sent.value)
+        starts = np.flatnonzero(follows)
+        found = pair_hashes(names)[starts] if len(starts) else names[:0]
+        for size in range(3, longest + 1):
+            more = follows[starts + size - 2]
+            starts = starts[more]
+            found = longer_hashes(found[more], names, starts + size - 1)
+            yield found
+    return hashes
+
+
+def _names(shards, hashes):
+    """How often words and sequences occur, by name; handed on whenever many are held."""
     def counted(batches):
         held, size = [], 0
         for batch in batches:
@@ -86,11 +128,9 @@ def _names(shards, longest):
                 words, joined = words_of(texts)
                 if not len(words):
                     continue
-                names = name_hashes(words) ^ _salt(lang)
-                held.append(np.unique(names, return_counts=True))
-                if longest > 1 and len(names) > 1:
-                    held.append(np.unique(pair_hashes(names)[joined[:-1]], return_counts=True))
-                size += sum(len(h[0]) for h in held[-2:])
+                for found in hashes(name_hashes(words) ^ _salt(lang), joined):
+                    held.append(np.unique(found, return_counts=True))
+                    size += len(held[-1][0])
                 if size >= FLUSH:
                     held = [_tally(held)]
                     if len(held[0][0]) >= FLUSH // 2:
@@ -125,11 +165,9 @@ def _slice(batches):
                                      names=["part", "bits"])
 
 
-def frequent_map(docs, least, longest):
-    """Bit map of the words and pairs that occur ``least`` times or more; others may share their bits."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = size // SHARD_BYTES + 1
-    places = docs.mapInArrow(_names(shards, longest), "shard int, blob binary").groupBy("shard").applyInArrow(_frequent(least), "place long")
+def frequent_map(docs, least, shards, hashes):
+    """Bit map of the names that occur ``least`` times or more; others may share their bits."""
+    places = docs.mapInArrow(_names(shards, hashes), "shard int, blob binary").groupBy("shard").applyInArrow(_frequent(least), "place long")
     parts = places.repartition(F.expr(f"place div {SLICE}")).mapInArrow(_slice, "part long, bits binary")
     out = np.zeros(MAP_BITS // 8, dtype=np.uint8)
     for r in parts.collect():  # MAP_BITS / 8 bytes at most
@@ -141,27 +179,27 @@ COUNTED = pa.schema([("phrase", pa.large_binary()), ("size", pa.int32()), ("n",
 
 
 def _windows(sent, longest):
-    """Counts of word sequences that only hold words and neighbours of the map, handed on whenever many are held."""
-    def inside(held, names):
-        place = (names & np.uint64(MAP_BITS - 1)).astype(np.int64)
-        return (held[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
-
+    """Counts of the word sequences whose parts are all in the maps, handed on whenever many are held."""
     def sequences(held, words, joined, lang):
         """Distinct sequences of a block's words, by size, with their counts."""
+        short, long = held
         names = name_hashes(words) ^ _salt(lang)
-        starts = np.flatnonzero(inside(held, names))
-        follows = np.zeros(len(names), dtype=bool)
-        if len(names) > 1:
-            follows[:-1] = joined[:-1] & inside(held, pair_hashes(names))
+        starts = np.flatnonzero(inside(short, names))
+        follows, found = followed(names, joined, short), names[starts]
         phrase = words.take(pa.array(starts))
         for size in range(1, longest + 1):
+            if size > 1:
+                more = follows[starts + size - 2]
+                starts, phrase = starts[more], phrase.filter(pa.array(more))
+                found = longer_hashes(found[more], names, starts + size - 1)
+                if size > 2:
+                    more = inside(long, found)
+                    starts, phrase, found = starts[more], phrase.filter(pa.array(more)), found[more]
+                if not len(starts):
+                    break
+                phrase = pc.binary_join_element_wise(phrase, words.take(pa.array(starts + size - 1)), pa.scalar(b" ", pa.large_binary()))
             counted = pc.value_counts(phrase)
             yield pa.table([counted.field(0), pa.array(np.full(len(counted), size, np.int32)), counted.field(1)], schema=COUNTED)
-            more = follows[starts + size - 1]
-            if size == longest or not more.any():
-                break
-            starts = starts[more]
-            phrase = pc.binary_join_element_wise(phrase.filter(pa.array(more)), words.take(pa.array(starts + size)), pa.scalar(b" ", pa.large_binary()))
 
     def summed(lang, tables):
         out = pa.concat_tables(tables).group_by(["phrase", "size"]).aggregate([("n", "sum")])
@@ -193,7 +231,11 @@ def phrase_counts(docs, least=30, longest=4):
     and of size 0 with all words of a language."""
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    sent = docs.sparkSession.sparkContext.broadcast(frequent_map(rows, least, longest))
+    context = docs.sparkSession.sparkContext
+    shards = (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SHARD_BYTES + 1
+    short = frequent_map(rows, least, shards, _short(longest))
+    long = frequent_map(rows, least, shards, _long(context.broadcast(short), longest)) if longest > 2 else np.zeros_like(short)
+    sent = context.broadcast((short, long))
     found = rows.mapInArrow(_windows(sent, longest), "lang string, phrase binary, size int, n long")
     sums = found.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
     return cut_lineage(sums.where((F.col("n") >= least) | (F.col("size") == 0)).select("lang", F.col("phrase").cast("string").alias("phrase"), "size", "n"))
@@ -260,9 +302,9 @@ def collocations(docs, least=30, longest=4, inside_percent=80, most=2000, scale=
     (null: ``und``) the first ``most`` by score and a, both falling, and phrase:
     lang, rank, phrase, a, l, r, n (words of the language), score.
 
-    Words and pairs that are too rare are left out by a bit map of at most
-    16 MB before phrases are counted; it may keep rare ones, never lose frequent
-    ones, and the counts decide. Null and empty texts have no words; repeated
+    Words, pairs and longer sequences that are too rare are left out by two bit
+    maps of 16 MB each before phrases are counted; they may keep rare ones, never
+    lose frequent ones, and the counts decide. Null and empty texts have no words; repeated
     rows count each; other columns are ignored; an empty table gives no rows.
     """
     counts = phrase_counts(docs, least, longest)

@@ -208,4 +208,4 @@ def find_built_region(density: DataFrame, bounds: DataFrame, cell=32, threshold=
         F.count(F.lit(1)).alias("cells")).select(
             "*", (x0 + F.col("x0")).alias("world_x0"), (x0 + F.col("x1") - 1).alias("world_x1"),
             (z0 + F.col("z0")).alias("world_z0"), (z0 + F.col("z1") - 1).alias("world_z1"),
-            F.round(F.col("cells") / total, 6).alias("built_fraction"))
+            F.when(F.col("cells") > 0, F.round(F.col("cells") / total, 6)).alias("built_fraction"))

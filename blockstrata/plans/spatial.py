@@ -479,9 +479,9 @@ def _(w):
     return O.object_summary(buildings(w), 12)
 
 
-@query("partition_accounting", """SELECT CAST(sum(blocks) AS BIGINT) AS labelled, CAST(sum(blocks) FILTER (blocks >= 12) AS BIGINT) AS in_buildings,
-   CAST(sum(s) FILTER (blocks >= 12) AS BIGINT) AS structure, CAST(sum(d) FILTER (blocks >= 12) AS BIGINT) AS detail,
-   CAST(sum(blocks) FILTER (blocks < 12) AS BIGINT) AS unclaimed, count(*) FILTER (blocks < 12) AS fragments, TRUE AS adds_up
+@query("partition_accounting", """SELECT CAST(sum(blocks) AS BIGINT) AS labelled, CAST(coalesce(sum(blocks) FILTER (blocks >= 12), 0) AS BIGINT) AS in_buildings,
+   CAST(coalesce(sum(s) FILTER (blocks >= 12), 0) AS BIGINT) AS structure, CAST(coalesce(sum(d) FILTER (blocks >= 12), 0) AS BIGINT) AS detail,
+   CAST(coalesce(sum(blocks) FILTER (blocks < 12), 0) AS BIGINT) AS unclaimed, count(*) FILTER (blocks < 12) AS fragments, TRUE AS adds_up
   FROM (SELECT component, count(*) AS blocks, count(*) FILTER (role = 'structure') AS s, count(*) FILTER (role = 'detail') AS d
    FROM grown JOIN solid USING (x, y, z) GROUP BY component)""", GRID, CORE_COMP + [GROWN])
 def _(w):

@@ -397,8 +397,9 @@ def score(docs, model, block_bytes=BLOCK):
     asked = rows.groupBy("block").applyInArrow(_asked(sent), "shard int, block long, words binary, pairs binary")
     # Where far more is scored than was learned from, a shard answers in several places.
     copies = 1 + size // (20 * max(model.total, 1))
-    held = model.table.select("shard", "lower", "upper", "words").withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-    asked = asked.withColumn("copy", F.pmod("block", F.lit(copies)))
+    # Both sides need keys of one type: they are dealt by hashes, and those of an int and of a long differ.
+    held = model.table.select("shard", "lower", "upper", "words").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))))
+    asked = asked.withColumn("copy", F.pmod("block", F.lit(copies)).cast("long"))
     answers = held.groupBy("shard", "copy").cogroup(asked.groupBy("shard", "copy")).applyInArrow(
         _answered(model.probes), "shard int, block long, words binary, pairs binary")
     scored = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_settled(sent), SCORED)

@@ -127,6 +127,23 @@ def test_base_scores_match_brute_force(spark):
     assert all(r["score"] <= 0 for r in got)
 
 
+def test_shards_answer_where_partitions_are_not_merged(spark):
+    rows = [(i, prose(rng.choice(list(SYLLABLES)), 30)) for i in range(60)]
+    docs, counts = docs_table(spark, rows), Counter(w for _, t in rows for w in [*words(t), None])
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    merged = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        got = lm_scores.score(docs, lm_scores.train(docs, most_common=3, shard_tokens=200)).collect()
+    finally:
+        spark.conf.set(key, merged)
+    texts, total = dict(rows), sum(counts.values())
+    for r in got:
+        own = [*words(texts[r["doc_id"]]), None]
+        base = sum(math.log10((counts[w] + 1) / (total + len(counts) + 1)) for w in own)
+        assert r["n_known"] == r["n_tokens"] == len(own) and math.isclose(r["base_score"], base) and r["score"] > base
+
+
 def test_filter_gives_levels_back():
     base, sizes = 1.6, [4096 * 8, 4096 * 8]
     hashes = lm_scores.mix(np.arange(1, 2001, dtype=np.uint64))

@@ -56,7 +56,8 @@ def _stack(low: DataFrame, high: DataFrame) -> DataFrame:
 def _salted_left(low: DataFrame, top: DataFrame, salts=8) -> DataFrame:
     left = low.withColumn("_salt", F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int"))
     right = top.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, ["up", "_salt"], "left").drop("_salt")
+    # Stored maps of texts pack so well that the planner would take this side for small and send it to everyone.
+    return left.join(right.hint("merge"), ["up", "_salt"], "left").drop("_salt")
 
 
 def texture_deref(raw, textures):

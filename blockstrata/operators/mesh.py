@@ -109,7 +109,8 @@ LAYOUT_SCHEMA = ("family string, idx int, col int, row int, px0 int, py0 int, px
 def atlas_uv(corners: DataFrame, layout: DataFrame) -> DataFrame:
     """Stretch each quad over the atlas cell of its base family."""
     from ..functions import rules
-    cells = layout.select(F.col("family").alias("base"), "u0", "v0", "u1", "v1")
+    # A row for each of the fixed families; without the hint the planner may send the corners round instead.
+    cells = F.broadcast(layout.select(F.col("family").alias("base"), "u0", "v0", "u1", "v1"))
     w, h = F.col("r1") - F.col("r0"), F.col("c1") - F.col("c0")
     return (corners.withColumn("base", rules.base_family(F.col("material"))).join(cells, "base")
             .withColumn("atlas_u", F.col("u0") + F.col("u") / w * (F.col("u1") - F.col("u0")))

@@ -26,19 +26,24 @@ def global_row_number(df: DataFrame, order, name="id") -> DataFrame:
             .drop("_part", "_row", "_start"))
 
 
-def number_in_groups(df: DataFrame, group, order, name="id") -> DataFrame:
+def number_in_groups(df: DataFrame, group, order, name="id", first=None) -> DataFrame:
     """Dense number 0.. of each row within its group, in the given order.
 
     Rows are range-partitioned by group and order and numbered inside each
     partition; a group that spans partitions goes on where the partitions
-    before ended, so a group of any size is spread over tasks."""
+    before ended, so a group of any size is spread over tasks. ``first`` names
+    a flag of the rows whose first order column has a new value in the group."""
     ranged = cut_lineage(df.repartitionByRange(group, *order).withColumn("_part", F.spark_partition_id()))
     before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (ranged.groupBy("_part", group).agg(F.count(F.lit(1)).alias("_n"))
-              .select("_part", group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+    starts = (ranged.groupBy("_part", group).agg(F.count(F.lit(1)).alias("_n"), F.max(order[0]).alias("_top"))
+              .select("_part", group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"), F.max("_top").over(before).alias("_held")))
     inside = Window.partitionBy("_part", group).orderBy(*order)
-    return (ranged.withColumn("_row", F.row_number().over(inside)).join(starts, ["_part", group])
-            .withColumn(name, F.col("_start") + F.col("_row") - 1).drop("_part", "_row", "_start"))
+    out = ranged.withColumn("_row", F.row_number().over(inside)).withColumn("_last", F.lag(order[0]).over(inside)) \
+        .join(starts, ["_part", group]).withColumn(name, F.col("_start") + F.col("_row") - 1)
+    if first:
+        last = F.when(F.col("_row") == 1, F.col("_held")).otherwise(F.col("_last"))
+        out = out.withColumn(first, (F.col(name) == 0) | ~last.eqNullSafe(F.col(order[0])))
+    return out.drop("_part", "_row", "_start", "_held", "_last")
 
 
 def top_per_group(df: DataFrame, group, order, n: int) -> DataFrame:

@@ -5,11 +5,14 @@ A pack is a folder of part files, an index beside each, and a manifest. Rows of
 lines of its partition to one part, whatever names they belong to, and an index
 of its runs (name, offset, bytes, lines). The commit lists the parts in the order
 of their partitions with the line number at which each begins its first name, so
-a text that spans parts is read in order. Parts of lost attempts are not listed
+a text that spans parts is read in order. Packed parts (.gz) hold each run as
+gzip members of its own; offsets and bytes of their runs are those of the
+members, so one run can be read alone from them as well. Parts of lost attempts are not listed
 and never read. The folder may be in any store that pyarrow.fs opens and all
 workers see.
 """
 
+import gzip
 import json
 import uuid
 from dataclasses import dataclass
@@ -24,6 +27,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 
 from .voxel_files import store_of
 
+MEMBER = 1 << 20  # bytes of text in a gzip member
 RUNS = pa.schema([("name", pa.string()), ("offset", pa.int64()), ("bytes", pa.int64()), ("lines", pa.int64())])
 
 
@@ -42,6 +46,7 @@ class Written(WriterCommitMessage):
 class PackWriter(DataSourceArrowWriter):
     def __init__(self, options):
         self.folder = options["path"].rstrip("/")
+        self.packed = str(options.get("packed", "false")).lower() == "true"
 
     def write(self, batches):
         partition, name = TaskContext.get().partitionId(), None
@@ -49,21 +54,37 @@ class PackWriter(DataSourceArrowWriter):
         store, place = store_of(self.folder)
         store.create_dir(place, recursive=True)
         runs, at, total = {c: [] for c in RUNS.names}, 0, 0
-        with store.open_output_stream(f"{place}/{file}.txt") as out:
+        held, size = [], 0  # lines of the run that are not yet packed
+        with store.open_output_stream(f"{place}/{file}.{'gz' if self.packed else 'txt'}", compression=None) as out:
+            def pack():
+                nonlocal at, held, size
+                if held:
+                    data = gzip.compress(b"".join(held), 1, mtime=0)
+                    out.write(data)
+                    runs["bytes"][-1] += len(data)
+                    at, held, size = at + len(data), [], 0
             for batch in batches:
                 texts = []
                 for own, line in zip(batch.column("name").to_pylist(), batch.column("line").to_pylist()):
                     data = (line or "").encode() + b"\n"
                     if own != name or not runs["name"]:
+                        pack()
                         for c, v in zip(RUNS.names, (own, at, 0, 0)):
                             runs[c].append(v)
                         name = own
-                    runs["bytes"][-1] += len(data)
                     runs["lines"][-1] += 1
+                    total += 1
+                    if self.packed:
+                        held.append(data)
+                        size += len(data)
+                        if size > MEMBER:
+                            pack()
+                        continue
+                    runs["bytes"][-1] += len(data)
                     at += len(data)
                     texts.append(data)
-                total += len(texts)
                 out.write(b"".join(texts))
+            pack()
         with store.open_output_stream(f"{place}/{file}.runs") as out:
             pq.write_table(pa.table(runs, schema=RUNS), out)
         names = runs["name"] or [None]
@@ -80,7 +101,7 @@ class PackWriter(DataSourceArrowWriter):
         before = manifest(self.folder)
         fresh = f"{place}/manifest-{uuid.uuid4().hex}.json"
         with store.open_output_stream(fresh) as f:
-            f.write(json.dumps({"parts": parts}).encode())
+            f.write(json.dumps({"parts": parts} | ({"packed": True} if self.packed else {})).encode())
         store.move(fresh, f"{place}/manifest.json")
         self._remove([p["file"] for p in before["parts"]] + [m.file for m in messages if m is not None and not m.runs])
 
@@ -90,7 +111,7 @@ class PackWriter(DataSourceArrowWriter):
     def _remove(self, files):
         store, place = store_of(self.folder)
         for file in files:
-            for kind in ("txt", "runs"):
+            for kind in ("txt", "gz", "runs"):
                 if store.get_file_info(f"{place}/{file}.{kind}").is_file:
                     store.delete_file(f"{place}/{file}.{kind}")
 
@@ -105,8 +126,8 @@ def manifest(folder: str):
 
 
 class Part(InputPartition):
-    def __init__(self, file, base):
-        self.file, self.base = file, base
+    def __init__(self, file, base, packed=False):
+        self.file, self.base, self.packed = file, base, packed
 
 
 class PackReader(DataSourceReader):
@@ -114,21 +135,24 @@ class PackReader(DataSourceReader):
         self.folder, self.table = options["path"].rstrip("/"), options.get("table", "lines")
 
     def partitions(self):
-        return [Part(p["file"], p["base"]) for p in manifest(self.folder)["parts"]] or [Part(None, 0)]
+        held = manifest(self.folder)
+        return [Part(p["file"], p["base"], held.get("packed", False)) for p in held["parts"]] or [Part(None, 0)]
 
     def read(self, part):
         if part.file is None:
             return
         store, place = store_of(self.folder)
+        kind = "gz" if part.packed else "txt"
         with store.open_input_file(f"{place}/{part.file}.runs") as f:
             runs = pq.read_table(f).to_pylist()
         if self.table == "index":
             for i, r in enumerate(runs):
-                yield (r["name"], f"{part.file}.txt", r["offset"], r["bytes"], part.base if i == 0 else 0, r["lines"])
+                yield (r["name"], f"{part.file}.{kind}", r["offset"], r["bytes"], part.base if i == 0 else 0, r["lines"])
             return
-        with store.open_input_file(f"{place}/{part.file}.txt") as f:
+        with store.open_input_file(f"{place}/{part.file}.{kind}") as f:
             for i, r in enumerate(runs):
-                lines = f.read(r["bytes"]).decode().split("\n")[:-1]
+                data = f.read(r["bytes"])
+                lines = (gzip.decompress(data) if part.packed else data).decode().split("\n")[:-1]
                 first = part.base if i == 0 else 0
                 yield pa.RecordBatch.from_arrays([pa.array([r["name"]] * len(lines), pa.string()), pa.array(range(first, first + len(lines)), pa.int64()), pa.array(lines, pa.string())],
                                                  names=["name", "line_no", "line"])
@@ -150,21 +174,31 @@ class LinePack(DataSource):
         return PackWriter(self.options)
 
 
-def write_lines(lines: DataFrame, folder: str, name: str, *order):
+def _known(spark):
+    """Make the source known. Spark looks it up in the active session, which a
+    thread has only after a call such as createDataFrame."""
+    spark.createDataFrame([], "name string")
+    spark.dataSource.register(LinePack)
+
+
+def write_lines(rows: DataFrame, folder: str, name: str, *order, lines=None, packed=False):
     """Write the ``line`` of each row under its ``name``, in the given order.
 
     Rows are dealt by ranges of name and order, so a text of any length goes to
-    as many tasks as it needs and many short ones share a task. A folder's
-    former content is replaced when all is written."""
-    spark = lines.sparkSession
-    spark.dataSource.register(LinePack)
+    as many tasks as it needs and many short ones share a task. Short rows that
+    stand for several lines are given with ``lines``, which turns rows in order
+    to lines in order without a shuffle. A folder's former content is replaced
+    when all is written. ``packed`` parts are compressed."""
+    spark = rows.sparkSession
+    _known(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))  # a stated number is not merged again
-    (lines.repartitionByRange(parts, name, *order).sortWithinPartitions(name, *order)
+    dealt = rows.repartitionByRange(parts, name, *order).sortWithinPartitions(name, *order)
+    ((lines(dealt) if lines else dealt)
      .select(F.col(name).cast("string").alias("name"), F.col("line").cast("string").alias("line"))
-     .write.format("linepack").option("path", folder).mode("overwrite").save())
+     .write.format("linepack").option("path", folder).option("packed", str(packed).lower()).mode("overwrite").save())
 
 
 def scan_lines(spark, folder: str, table="lines") -> DataFrame:
     """Lines of a pack (name, line_no, line), or its ``index`` of runs."""
-    spark.dataSource.register(LinePack)
+    _known(spark)
     return spark.read.format("linepack").option("path", folder).option("table", table).load()

@@ -1,7 +1,10 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
+from blockstrata.operators import nearest
 from blockstrata.operators.nearest import nearest_points, nearest_valid
 
 
@@ -60,3 +63,17 @@ def test_holes_take_the_closest_cell(spark, share):
 def test_no_valid_cell_gives_nulls(spark):
     g = spark.createDataFrame([(x, 0, None) for x in range(3)], "x int, z int, height int")
     assert [tuple(r) for r in nearest_valid(g).orderBy("x").collect()] == [(x, 0, None, False) for x in range(3)]
+
+
+def test_work_of_a_hole_is_its_own_distance(monkeypatch):
+    """One wide hole beside thousands of single ones: only its cells look far."""
+    n, looked, where = 40_000, [], np.where
+    z = np.arange(n)
+    valid = (z % 2 == 0) & ((z < 20_000) | (z > 20_400))
+    table = pa.table({"x": pa.array(np.zeros(n), pa.int32()), "z": pa.array(z, pa.int32()), "valid": valid,
+                      "source": pa.array(np.zeros(n), pa.int32(), mask=~valid), "height": pa.array(z, pa.int32(), mask=~valid)})
+    monkeypatch.setattr(nearest.np, "where", lambda c, *rest: looked.append(len(c)) or where(c, *rest))
+    out = nearest._along_columns("height")(table)
+    assert sum(looked) < 100 * n
+    got = dict(zip(out.column("z").to_pylist(), out.column("height").to_pylist()))
+    assert got[1] == 0 and got[20_100] == 19_998 and got[20_399] == 20_402 and len(got) == n - valid.sum()

@@ -5,7 +5,9 @@ a line of cells whose costs so far are known, every cell offers a parabola; the
 lowest parabola at each place (their lower envelope) is found in one pass over
 the line, for all lines of a block at once. Work is linear in the cells of a
 block, however far its points are. Of equally close points the one with the
-smallest x, then y, then z wins.
+smallest x, then y, then z wins. Queries with a point within ``NEAR`` are answered
+before that, by looking at the places around them from near to far, ``LOOKS`` times
+the cells of the block at most.
 """
 
 import numpy as np
@@ -18,6 +20,11 @@ from .voxels import floor_div
 
 BLOCK, HALO = 64, 32
 NONE = np.int64(1 << 40)
+NEAR, LOOKS = 8, 4
+# steps to the places within NEAR in the order of preference
+STEPS = np.indices((2 * NEAR + 1,) * 3).reshape(3, -1).T - NEAR
+STEPS = STEPS[(STEPS ** 2).sum(axis=1) <= NEAR * NEAR]
+STEPS = STEPS[np.argsort((STEPS ** 2).sum(axis=1), kind="stable")]
 
 
 def lower_envelope(cost, targets):
@@ -69,6 +76,28 @@ def nearest_along_z(held, low, high):
 
 def nearest_in_box(queries, points):
     """For each query (x, y, z) the number of its nearest point, points distinct; both as int64 arrays."""
+    low = np.minimum(queries.min(axis=0), points.min(axis=0)) - NEAR
+    size = np.maximum(queries.max(axis=0), points.max(axis=0)) + NEAR - low + 1
+    number = np.full(size.prod(), -1, dtype=np.int32)
+    number[np.ravel_multi_index((points - low).T, size)] = np.arange(len(points))
+    at = np.ravel_multi_index((queries - low).T, size)
+    best, todo = np.full(len(queries), -1), np.arange(len(queries))
+    looks = 0
+    for step in STEPS @ np.array([size[1] * size[2], size[2], 1]):
+        looks += len(todo)
+        if looks > LOOKS * len(number):
+            break
+        found = number[at[todo] + step]
+        best[todo] = found
+        todo = todo[found < 0]
+        if not len(todo):
+            return best
+    best[todo] = nearest_by_envelopes(queries[todo], points)
+    return best
+
+
+def nearest_by_envelopes(queries, points):
+    """The same by lower envelopes along z, y and x."""
     low = np.minimum(queries.min(axis=0), points.min(axis=0))
     size = np.maximum(queries.max(axis=0), points.max(axis=0)) - low + 1
     q, p = queries - low, points - low

@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from blockstrata.operators import nearest
+from blockstrata.operators import envelope, nearest
 from blockstrata.operators.nearest import nearest_points, nearest_valid
 
 
@@ -65,6 +65,22 @@ def test_no_valid_cell_gives_nulls(spark):
     assert [tuple(r) for r in nearest_valid(g).orderBy("x").collect()] == [(x, 0, None, False) for x in range(3)]
 
 
+def test_near_points_need_no_envelopes(monkeypatch):
+    rng = np.random.default_rng(5)
+    points = np.argwhere(rng.random((40, 8, 40)) < 0.1)
+    queries = np.argwhere(rng.random((40, 8, 40)) < 0.2) + (0, 0, 1)
+    queries = queries[rng.permutation(len(queries))]
+    want = envelope.nearest_by_envelopes(queries, points)
+    assert (envelope.nearest_in_box(queries, points) == want).all()
+
+    def refuse(*_):
+        raise AssertionError("whole block searched")
+    d2 = ((queries - points[want]) ** 2).sum(axis=1)
+    monkeypatch.setattr(envelope, "lower_envelope", refuse)
+    near = d2 <= envelope.NEAR ** 2
+    assert (envelope.nearest_in_box(queries[near], points) == want[near]).all()
+
+
 def test_work_of_a_hole_is_its_own_distance(monkeypatch):
     """One wide hole beside thousands of single ones: only its cells look far."""
     n, looked, where = 40_000, [], np.where

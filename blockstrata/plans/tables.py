@@ -419,7 +419,8 @@ def _(w):
 
 @query("unmapped_names", f"SELECT DISTINCT name FROM blocks WHERE {R.material_family('name')} = 'other'", ["blocks"])
 def _(w):
-    names = w.blocks().select("name").distinct()
+    # stored, or the planner would try the rule on every row before the names are made distinct
+    names = cut_lineage(w.blocks().select("name").distinct())
     return names.filter(rules.material_family(F.col("name")) == "other").orderBy("name")
 
 

@@ -34,6 +34,14 @@ def exposed_face_rows(members: DataFrame, occupied: DataFrame) -> DataFrame:
         .select("object_id", "material", "f.*")
 
 
+def _place(keys, at):
+    """Place 0.. of a row in its stretch of consecutive values, by windows that
+    all use one sort: a window of the stretch itself would sort once more."""
+    line = Window.partitionBy(*keys).orderBy(at)
+    begins = F.coalesce(F.col(at) - F.lag(at).over(line) != 1, F.lit(True))
+    return F.col(at) - F.max(F.when(begins, F.col(at))).over(line.rowsBetween(Window.unboundedPreceding, 0))
+
+
 def horizontal_runs(faces: DataFrame, cap=4, cap_columns=True) -> DataFrame:
     """Longest stretches of one material along each row: c0 up to c1."""
     keys = FACE_KEYS + ["row", "material"]
@@ -42,8 +50,7 @@ def horizontal_runs(faces: DataFrame, cap=4, cap_columns=True) -> DataFrame:
     if not cap_columns:
         return runs.groupBy(*keys, "_island").agg(F.min("col").alias("c0"),
                                                   (F.max("col") + 1).alias("c1")).drop("_island")
-    place = F.row_number().over(Window.partitionBy(*keys, "_island").orderBy("col")) - 1
-    return runs.withColumn("_part", F.floor(place / cap)) \
+    return runs.withColumn("_part", F.floor(_place(keys, "col") / cap)) \
         .groupBy(*keys, "_island", "_part") \
         .agg(F.min("col").alias("c0"), (F.max("col") + 1).alias("c1")).drop("_island", "_part")
 
@@ -54,8 +61,7 @@ def greedy_quads(faces: DataFrame, cap=4, cap_columns=True) -> DataFrame:
     runs = horizontal_runs(faces, cap, cap_columns)
     at = F.row_number().over(Window.partitionBy(*keys).orderBy("row"))
     runs = runs.withColumn("_island", F.col("row") - at)
-    place = F.row_number().over(Window.partitionBy(*keys, "_island").orderBy("row")) - 1
-    return runs.withColumn("_part", F.floor(place / cap)).groupBy(*keys, "_island", "_part") \
+    return runs.withColumn("_part", F.floor(_place(keys, "row") / cap)).groupBy(*keys, "_island", "_part") \
         .agg(F.min("row").alias("r0"), (F.max("row") + 1).alias("r1")).drop("_island", "_part")
 
 
@@ -68,23 +74,21 @@ def mesh_quads(quads: DataFrame) -> DataFrame:
     outward normal. Engine axes are (x, z, y), a mirror of the block axes, so
     corner order is reversed once more; uv stays with its corner."""
     parity = F.when(F.col("axis") == "y", -1).otherwise(1)
-    corners = F.array(*[F.struct(F.col(r).alias("r"), F.col(c).alias("c"), u.alias("u"), v.alias("v"))
-                        for r, c, u, v in (
-        ("r0", "c0", F.lit(0), F.lit(0)), ("r1", "c0", F.col("r1") - F.col("r0"), F.lit(0)),
-        ("r1", "c1", F.col("r1") - F.col("r0"), F.col("c1") - F.col("c0")),
-        ("r0", "c1", F.lit(0), F.col("c1") - F.col("c0")))])
-    order = F.when(parity * F.col("sign") > 0, F.array(*map(F.lit, (3, 2, 1, 0)))) \
-        .otherwise(F.array(*map(F.lit, (1, 2, 3, 0))))
-    out = quads.withColumn("_c", corners).select("*", F.posexplode(order).alias("corner", "_i")) \
-        .withColumn("_p", F.get("_c", F.col("_i")))
-    x = F.when(F.col("axis") == "x", F.col("plane")).otherwise(F.col("_p.r"))
-    y = F.when(F.col("axis") == "y", F.col("plane")).when(F.col("axis") == "x", F.col("_p.r")).otherwise(F.col("_p.c"))
-    z = F.when(F.col("axis") == "z", F.col("plane")).otherwise(F.col("_p.c"))
+    corner = F.col("corner")
+    out = quads.withColumn("corner", F.explode(F.array(*map(F.lit, range(4))))) \
+        .withColumn("_i", F.when(parity * F.col("sign") > 0, 3 - corner).otherwise((corner + 1) % 4))
+    # corners 0 to 3 lie at (r0, c0), (r1, c0), (r1, c1), (r0, c1); arrays of them would make the code of a task too long to be compiled
+    far_r, far_c = F.col("_i").isin(1, 2), F.col("_i") >= 2
+    out = out.withColumn("_r", F.when(far_r, F.col("r1")).otherwise(F.col("r0"))).withColumn("_c", F.when(far_c, F.col("c1")).otherwise(F.col("c0")))
+    x = F.when(F.col("axis") == "x", F.col("plane")).otherwise(F.col("_r"))
+    y = F.when(F.col("axis") == "y", F.col("plane")).when(F.col("axis") == "x", F.col("_r")).otherwise(F.col("_c"))
+    z = F.when(F.col("axis") == "z", F.col("plane")).otherwise(F.col("_c"))
     cm = V.BLOCK_CM
     for name, axis in (("nx", "x"), ("ny", "z"), ("nz", "y")):
         out = out.withColumn(name, F.when(F.col("axis") == axis, F.col("sign")).otherwise(0))
     return (out.withColumn("ux", x * cm).withColumn("uy", z * cm).withColumn("uz", y * cm)
-            .withColumn("u", F.col("_p.u")).withColumn("v", F.col("_p.v")).drop("_c", "_i", "_p"))
+            .withColumn("u", F.when(far_r, F.col("r1") - F.col("r0")).otherwise(0))
+            .withColumn("v", F.when(far_c, F.col("c1") - F.col("c0")).otherwise(0)).drop("_r", "_c", "_i"))
 
 
 def atlas_layout(families=V.ATLAS_FAMILIES, tile=V.ATLAS_TILE, cols=V.ATLAS_COLS, pad=V.ATLAS_PAD):

@@ -12,12 +12,14 @@ and never read. The folder may be in any store that pyarrow.fs opens and all
 workers see.
 """
 
-import gzip
 import json
 import uuid
+import zlib
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark import TaskContext
@@ -43,6 +45,69 @@ class Written(WriterCommitMessage):
     last_lines: int
 
 
+def _runs_of(batches):
+    """Name, number of lines and text of each stretch of equal names."""
+    for batch in batches:
+        lines = pc.binary_join_element_wise(batch.column("line").fill_null(""), "", "\n").cast(pa.large_binary())
+        names = batch.column("name").dictionary_encode(null_encoding="encode")
+        if not len(lines):
+            continue
+        ids, known = np.asarray(names.indices), names.dictionary.to_pylist()
+        ends = np.frombuffer(lines.buffers()[1], np.int64)[lines.offset:lines.offset + len(lines) + 1]
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(ids)) + 1, [len(ids)]])
+        data, places = memoryview(lines.buffers()[2]), ends[cuts].tolist()
+        cuts = cuts.tolist()
+        for i, own in enumerate(ids[cuts[:-1]].tolist()):
+            yield known[own], cuts[i + 1] - cuts[i], bytes(data[places[i]:places[i + 1]])
+
+
+def _members(f, size):
+    """Texts of the gzip members in the next ``size`` bytes; each holds whole lines."""
+    data, texts, member = b"", [], None
+    while size or data:
+        if not data:
+            data = f.read(min(size, MEMBER))
+            if not data:
+                break
+            size -= len(data)
+        member = member or zlib.decompressobj(wbits=31)
+        texts.append(member.decompress(data))
+        data = member.unused_data
+        if member.eof:
+            yield b"".join(texts)
+            texts, member = [], None
+    if member or size:
+        raise EOFError("a part of a pack ends before its runs do")
+
+
+def _blocks(f, size):
+    """The next ``size`` bytes in blocks of whole lines."""
+    rest = b""
+    while size:
+        data = f.read(min(size, MEMBER))
+        if not data:
+            raise EOFError("a part of a pack ends before its runs do")
+        size -= len(data)
+        whole, end, rest = (rest + data).rpartition(b"\n")
+        if end:
+            yield whole + end
+
+
+def _line_batch(texts):
+    """Rows (name, line_no, line) of texts given as name, number of the first line and bytes."""
+    names, firsts, data = zip(*texts)
+    counts = np.array([t.count(b"\n") for t in data], np.int64)
+    data = b"".join(data)
+    n = int(counts.sum())
+    ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 10) - np.arange(n)
+    offsets = pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32))
+    lines = pa.StringArray.from_buffers(n, offsets, pa.py_buffer(data.replace(b"\n", b"")))
+    lines.validate(full=True)
+    numbers = np.arange(n) + np.repeat(np.array(firsts, np.int64) - (np.cumsum(counts) - counts), counts)
+    owners = pa.array(names, pa.string()).take(pa.array(np.repeat(np.arange(len(names)), counts)))
+    return pa.RecordBatch.from_arrays([owners, pa.array(numbers, pa.int64()), lines], names=["name", "line_no", "line"])
+
+
 class PackWriter(DataSourceArrowWriter):
     def __init__(self, options):
         self.folder = options["path"].rstrip("/")
@@ -54,36 +119,27 @@ class PackWriter(DataSourceArrowWriter):
         store, place = store_of(self.folder)
         store.create_dir(place, recursive=True)
         runs, at, total = {c: [] for c in RUNS.names}, 0, 0
-        held, size = [], 0  # lines of the run that are not yet packed
+        held, size = [], 0  # texts of the run that are not yet packed
         with store.open_output_stream(f"{place}/{file}.{'gz' if self.packed else 'txt'}", compression=None) as out:
             def pack():
                 nonlocal at, held, size
                 if held:
-                    data = gzip.compress(b"".join(held), 1, mtime=0)
+                    data = zlib.compress(b"".join(held), 1, wbits=31) if self.packed else b"".join(held)
                     out.write(data)
                     runs["bytes"][-1] += len(data)
                     at, held, size = at + len(data), [], 0
-            for batch in batches:
-                texts = []
-                for own, line in zip(batch.column("name").to_pylist(), batch.column("line").to_pylist()):
-                    data = (line or "").encode() + b"\n"
-                    if own != name or not runs["name"]:
-                        pack()
-                        for c, v in zip(RUNS.names, (own, at, 0, 0)):
-                            runs[c].append(v)
-                        name = own
-                    runs["lines"][-1] += 1
-                    total += 1
-                    if self.packed:
-                        held.append(data)
-                        size += len(data)
-                        if size > MEMBER:
-                            pack()
-                        continue
-                    runs["bytes"][-1] += len(data)
-                    at += len(data)
-                    texts.append(data)
-                out.write(b"".join(texts))
+            for own, lines, text in _runs_of(batches):
+                if own != name or not runs["name"]:
+                    pack()
+                    for c, v in zip(RUNS.names, (own, at, 0, 0)):
+                        runs[c].append(v)
+                    name = own
+                runs["lines"][-1] += lines
+                total += lines
+                held.append(text)
+                size += len(text)
+                if size > MEMBER:
+                    pack()
             pack()
         with store.open_output_stream(f"{place}/{file}.runs") as out:
             pq.write_table(pa.table(runs, schema=RUNS), out)
@@ -149,13 +205,18 @@ class PackReader(DataSourceReader):
             for i, r in enumerate(runs):
                 yield (r["name"], f"{part.file}.{kind}", r["offset"], r["bytes"], part.base if i == 0 else 0, r["lines"])
             return
-        with store.open_input_file(f"{place}/{part.file}.{kind}") as f:
+        with store.open_input_stream(f"{place}/{part.file}.{kind}", compression=None, buffer_size=MEMBER) as f:
+            held, size = [], 0
             for i, r in enumerate(runs):
-                data = f.read(r["bytes"])
-                lines = (gzip.decompress(data) if part.packed else data).decode().split("\n")[:-1]
-                first = part.base if i == 0 else 0
-                yield pa.RecordBatch.from_arrays([pa.array([r["name"]] * len(lines), pa.string()), pa.array(range(first, first + len(lines)), pa.int64()), pa.array(lines, pa.string())],
-                                                 names=["name", "line_no", "line"])
+                at = part.base if i == 0 else 0
+                for text in (_members if part.packed else _blocks)(f, r["bytes"]):
+                    held.append((r["name"], at, text))
+                    at, size = at + text.count(b"\n"), size + len(text)
+                    if size > 4 * MEMBER:
+                        yield _line_batch(held)
+                        held, size = [], 0
+            if held:
+                yield _line_batch(held)
 
 
 class LinePack(DataSource):

@@ -1,7 +1,10 @@
 """Global numbering without a single-task sort."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from ..session import cut_lineage
 
@@ -26,24 +29,64 @@ def global_row_number(df: DataFrame, order, name="id") -> DataFrame:
             .drop("_part", "_row", "_start"))
 
 
+def _changes(column, before):
+    """Places of a column whose value is not that of the row before (of the
+    batches before, if it is the first), and its last value."""
+    coded = column.dictionary_encode(null_encoding="encode")
+    ids, known = np.asarray(coded.indices), coded.dictionary
+    new = np.ones(len(ids), bool)
+    new[1:] = ids[1:] != ids[:-1]
+    new[0] = before != [known[int(ids[0])].as_py()]
+    return new, [known[int(ids[-1])].as_py()]
+
+
+def _numbered(batches, group, value):
+    """Sorted rows of a partition with their number in the group (_row), and if
+    their ``value`` is not that of the row before in the group (_new)."""
+    in_group = in_value = None
+    held = 0  # rows of the last group so far
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        starts, in_group = _changes(batch.column(group), in_group)
+        new, in_value = _changes(batch.column(value), in_value)
+        at = np.arange(batch.num_rows)
+        begun = np.maximum.accumulate(np.where(starts, at, -1))
+        rows = np.where(begun >= 0, at - begun, at + held)
+        held = int(rows[-1]) + 1
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows), pa.array(new | starts)],
+                                         names=[*batch.schema.names, "_row", "_new"])
+
+
 def number_in_groups(df: DataFrame, group, order, name="id", first=None) -> DataFrame:
     """Dense number 0.. of each row within its group, in the given order.
 
-    Rows are range-partitioned by group and order and numbered inside each
-    partition; a group that spans partitions goes on where the partitions
-    before ended, so a group of any size is spread over tasks. ``first`` names
-    a flag of the rows whose first order column has a new value in the group."""
-    ranged = cut_lineage(df.repartitionByRange(group, *order).withColumn("_part", F.spark_partition_id()))
+    Rows are range-partitioned by group and order into a stated number of parts
+    and numbered inside each; a group that spans parts goes on where the parts
+    before ended, so a group of any size is spread over tasks. Only the first
+    group of a part may have begun before it, so only one row per part, never
+    the groups, is joined. ``first`` names a flag of the rows whose first order
+    column has a new value in the group. Rows without a group are left out."""
+    df = cut_lineage(df.filter(F.col(group).isNotNull()))  # dealing reads its input twice
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(parts, group, *order).sortWithinPartitions(group, *order).withColumn("_part", F.spark_partition_id())
+    schema, value = StructType(dealt.schema.fields + [StructField("_row", LongType()), StructField("_new", BooleanType())]), order[0]
+    ranged = cut_lineage(dealt.mapInArrow(lambda batches: _numbered(batches, group, value), schema))
+    ends = ranged.groupBy("_part").agg(F.min(group).alias("_first"), F.max(F.struct(group, (F.col("_row") + 1).alias("_n"))).alias("_end"),
+                                       F.max_by(value, F.struct(group, "_row")).alias("_top"))
+    # the last group of each part with its rows and value; the first one, where it is another, only asks
+    last, asks = F.struct(F.col(f"_end.{group}").alias(group), "_end._n", "_top"), \
+        F.struct(F.col("_first").alias(group), F.lit(0).cast("bigint").alias("_n"), F.lit(None).cast(df.schema[value].dataType).alias("_top"))
     before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (ranged.groupBy("_part", group).agg(F.count(F.lit(1)).alias("_n"), F.max(order[0]).alias("_top"))
-              .select("_part", group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"), F.max("_top").over(before).alias("_held")))
-    inside = Window.partitionBy("_part", group).orderBy(*order)
-    out = ranged.withColumn("_row", F.row_number().over(inside)).withColumn("_last", F.lag(order[0]).over(inside)) \
-        .join(starts, ["_part", group]).withColumn(name, F.col("_start") + F.col("_row") - 1)
+    starts = (ends.select("_part", "_first", F.inline(F.when(F.col("_first") == F.col(f"_end.{group}"), F.array(last)).otherwise(F.array(asks, last))))
+              .withColumn("_start", F.sum("_n").over(before)).withColumn("_held", F.max("_top").over(before))
+              .filter((F.col(group) == F.col("_first")) & F.col("_start").isNotNull()).select("_part", group, "_start", "_held"))
+    # one row per part at most: the size of this side is the part count
+    out = ranged.join(F.broadcast(starts), ["_part", group], "left").withColumn(name, F.coalesce("_start", F.lit(0)) + F.col("_row"))
     if first:
-        last = F.when(F.col("_row") == 1, F.col("_held")).otherwise(F.col("_last"))
-        out = out.withColumn(first, (F.col(name) == 0) | ~last.eqNullSafe(F.col(order[0])))
-    return out.drop("_part", "_row", "_start", "_held", "_last")
+        goes_on = (F.col("_row") == 0) & F.col("_start").isNotNull()
+        out = out.withColumn(first, F.when(goes_on, ~F.col("_held").eqNullSafe(F.col(value))).otherwise(F.col("_new")))
+    return out.select(*df.columns, name, *([first] if first else []))
 
 
 def top_per_group(df: DataFrame, group, order, n: int) -> DataFrame:
